@@ -1,0 +1,6 @@
+"""Nothing to build here: the workload is batch only.
+
+The narrow operators (target derivation, scaling, split assignment, scoring)
+are plain projections, so Structured Streaming frames pass through them as they
+are; there is no stateful operator, window or watermark to provide.
+"""
