@@ -2,9 +2,10 @@
 
 from rowmill.functions.columns import (
     binary_target,
-    is_missing,
     key_hash,
     match_flag,
+    missing_condition,
+    quoted,
     safe_ratio,
     within_tolerance,
 )
@@ -13,9 +14,10 @@ from rowmill.functions.tables import SMALL_ROWS, require_columns, small_table
 __all__ = [
     "SMALL_ROWS",
     "binary_target",
-    "is_missing",
     "key_hash",
     "match_flag",
+    "missing_condition",
+    "quoted",
     "require_columns",
     "safe_ratio",
     "small_table",

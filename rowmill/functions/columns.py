@@ -25,15 +25,21 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
     )
 
 
-def is_missing(name: str, data_type: DataType) -> Column:
-    """True for NULL and, in floating point columns, for NaN.
+def quoted(name: str) -> str:
+    """Column name as it is written inside an SQL expression."""
+    return "`" + name.replace("`", "``") + "`"
 
-    Written as plain IS NULL tests so that the scan can push their negation down.
+
+def missing_condition(name: str, data_type: DataType) -> str:
+    """SQL condition: the cell is NULL or, in floating point columns, NaN.
+
+    Wide tables state it per column, which as text is one expression to build.
+    A plain IS NULL test lets the scan push its negation down.
     """
-    column = F.col(f"`{name}`")
+    column = quoted(name)
     if isinstance(data_type, (DoubleType, FloatType)):
-        return column.isNull() | F.isnan(column)
-    return column.isNull()
+        return f"({column} IS NULL OR isnan({column}))"
+    return f"({column} IS NULL)"
 
 
 def key_hash(key: str | Sequence[str], seed: int) -> Column:
@@ -43,7 +49,7 @@ def key_hash(key: str | Sequence[str], seed: int) -> Column:
     survives repartitioning, reordering and additional columns.
     """
     names = [key] if isinstance(key, str) else list(key)
-    parts = [F.lit(str(seed))] + [F.col(f"`{n}`").cast("string") for n in names]
+    parts = [F.lit(str(seed))] + [F.col(quoted(n)).cast("string") for n in names]
     return F.md5(F.concat_ws(":", *parts))
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.functions import match_flag, require_columns, small_table, within_tolerance
+from rowmill.functions import match_flag, quoted, require_columns, small_table, within_tolerance
 from rowmill.operators.metrics import metrics_by_run
 
 # Tolerances of the score comparison.
@@ -14,7 +14,7 @@ ATOL = 1e-10
 
 def require_unique(df: DataFrame, key: str) -> None:
     """Raise ValueError if a key value occurs more than once."""
-    repeated = df.groupBy(F.col(f"`{key}`")).count().where(F.col("count") > 1)
+    repeated = df.groupBy(F.col(quoted(key))).count().where(F.col("count") > 1)
     example = repeated.limit(1).collect()
     if example:
         raise ValueError(f"{key} is not unique: {example[0][0]!r} occurs {example[0][1]} times")
@@ -34,10 +34,10 @@ def attach_target(
 
 def unmatched_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(n_matched, n_left_only, n_right_only): one shuffle of the keys."""
-    sides = left.select(F.col(f"`{key}`"), F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
-        right.select(F.col(f"`{key}`"), F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    sides = left.select(F.col(quoted(key)), F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
+        right.select(F.col(quoted(key)), F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
-    per_key = sides.groupBy(F.col(f"`{key}`")).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    per_key = sides.groupBy(F.col(quoted(key))).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
     return per_key.agg(
         F.count_if((F.col("_l") == 1) & (F.col("_r") == 1)).alias("n_matched"),
         F.count_if(F.col("_r") == 0).alias("n_left_only"),
@@ -82,15 +82,15 @@ def compare_runs(
     a grouped count per run; keys missing on either side show in the counts.
     """
     require_columns(runs, [run_id, key, "y_true", "y_pred", "y_pred_proba"])
-    base = runs.where(F.col(f"`{run_id}`") == F.lit(first)).select(
-        F.col(f"`{key}`").alias("_key"),
+    base = runs.where(F.col(quoted(run_id)) == F.lit(first)).select(
+        F.col(quoted(key)).alias("_key"),
         F.col("y_true").alias("_true"),
         F.col("y_pred").alias("_pred"),
         F.col("y_pred_proba").cast("double").alias("_score"),
     )
-    others = runs.where(F.col(f"`{run_id}`") != F.lit(first)).select(
-        F.col(f"`{run_id}`"),
-        F.col(f"`{key}`").alias("_key"),
+    others = runs.where(F.col(quoted(run_id)) != F.lit(first)).select(
+        F.col(quoted(run_id)),
+        F.col(quoted(key)).alias("_key"),
         "y_true",
         "y_pred",
         F.col("y_pred_proba").cast("double").alias("y_pred_proba"),
@@ -104,7 +104,7 @@ def compare_runs(
     def differing(same: Column) -> Column:
         return F.count_if(matched & ~F.coalesce(same, F.lit(False)))
 
-    counts = joined.groupBy(F.col(f"`{run_id}`")).agg(
+    counts = joined.groupBy(F.col(quoted(run_id))).agg(
         F.lit(n_first).cast("long").alias("n_first"),
         F.count(F.lit(1)).alias("n_run"),
         F.count_if(matched).alias("n_matched"),
@@ -123,12 +123,12 @@ def compare_runs(
 
 def compare_labels(runs: DataFrame, first: str, key: str, run_id: str = "run_id") -> DataFrame:
     """(run_id, same_labels)."""
-    return compare_runs(runs, first, key, run_id).select(F.col(f"`{run_id}`"), "same_labels")
+    return compare_runs(runs, first, key, run_id).select(F.col(quoted(run_id)), "same_labels")
 
 
 def compare_predictions(runs: DataFrame, first: str, key: str, run_id: str = "run_id") -> DataFrame:
     """(run_id, same_predictions); False whenever the labels differ."""
-    return compare_runs(runs, first, key, run_id).select(F.col(f"`{run_id}`"), "same_predictions")
+    return compare_runs(runs, first, key, run_id).select(F.col(quoted(run_id)), "same_predictions")
 
 
 def compare_scores(
@@ -141,12 +141,12 @@ def compare_scores(
 ) -> DataFrame:
     """(run_id, same_scores) within tolerance; False whenever the labels differ."""
     compared = compare_runs(runs, first, key, run_id, rtol, atol)
-    return compared.select(F.col(f"`{run_id}`"), "same_scores")
+    return compared.select(F.col(quoted(run_id)), "same_scores")
 
 
 def run_summary(runs: DataFrame, first: str, key: str, run_id: str = "run_id") -> DataFrame:
     """Metrics of every run and its agreement with the first (NULL for the first)."""
     flags = compare_runs(runs, first, key, run_id).select(
-        F.col(f"`{run_id}`"), "same_labels", "same_predictions", "same_scores"
+        F.col(quoted(run_id)), "same_labels", "same_predictions", "same_scores"
     )
     return metrics_by_run(runs, run_id).join(small_table(flags), run_id, "left")

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowmill.functions import match_flag, require_columns, safe_ratio
+from rowmill.functions import match_flag, quoted, require_columns, safe_ratio
 from rowmill.operators.ranges import MAX_BUCKETS, ROWS_PER_BUCKET, range_bounds, range_bucket
 
 # Names and order of the binary metrics.
@@ -18,7 +18,7 @@ METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
 
 
 def _columns(names: Sequence[str]) -> list[Column]:
-    return [F.col(f"`{c}`") for c in names]
+    return [F.col(quoted(c)) for c in names]
 
 
 def confusion_cells(
@@ -26,7 +26,7 @@ def confusion_cells(
 ) -> DataFrame:
     """(by, y_true, y_pred, n) for the label pairs that occur."""
     return df.groupBy(
-        *_columns(by), F.col(f"`{y_true}`").alias("y_true"), F.col(f"`{y_pred}`").alias("y_pred")
+        *_columns(by), F.col(quoted(y_true)).alias("y_true"), F.col(quoted(y_pred)).alias("y_pred")
     ).agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -36,18 +36,22 @@ def confusion_matrix(
     y_pred: str = "y_pred",
     labels: Sequence | None = None,
 ) -> DataFrame:
-    """(y_true, y_pred, n) for every pair of labels, 0 where none occurs.
+    """(y_true, y_pred, n) for every pair of labels, 0 where none occurs."""
+    return matrix_from_cells(confusion_cells(df, y_true, y_pred), labels)
+
+
+def matrix_from_cells(cells: DataFrame, labels: Sequence | None = None) -> DataFrame:
+    """Fill the grid of all label pairs from the counted ones.
 
     The labels are those found in either column, or the given ones. The grid and
     the join that fills it have one row per pair of labels, whatever the table's
     size; the counted cells are the only thing derived from the rows.
     """
-    cells = confusion_cells(df, y_true, y_pred)
     if labels is None:
         found = cells.agg(F.collect_set("y_true").alias("_t"), F.collect_set("y_pred").alias("_p"))
         axis = found.select(F.array_union("_t", "_p").alias("_labels"))
     else:
-        axis = df.sparkSession.range(1).select(F.array(*[F.lit(v) for v in labels]).alias("_labels"))
+        axis = cells.sparkSession.range(1).select(F.array(*[F.lit(v) for v in labels]).alias("_labels"))
     grid = axis.select("_labels", F.explode("_labels").alias("y_true")).select(
         "y_true", F.explode("_labels").alias("y_pred")
     )
@@ -57,13 +61,14 @@ def confusion_matrix(
 
 def confusion_table(matrix: DataFrame, labels: Sequence) -> DataFrame:
     """The matrix with one row per actual and one column per predicted label."""
-    actual = F.concat(F.lit("Actual "), F.col("y_true").cast("string")).alias("actual")
-    wide = matrix.groupBy("y_true").pivot("y_pred", list(labels)).agg(F.sum("n"))
     counts = [
-        F.coalesce(F.col(f"`{label}`"), F.lit(0).cast("long")).alias(f"Predicted {label}")
-        for label in labels
+        F.sum(F.when(F.col("y_pred") == F.lit(v), F.col("n")).otherwise(F.lit(0).cast("long")))
+        .alias(f"Predicted {v}")
+        for v in labels
     ]
-    return wide.orderBy("y_true").select(actual, *counts)
+    wide = matrix.groupBy("y_true").agg(*counts).coalesce(1).sortWithinPartitions("y_true")
+    actual = F.concat(F.lit("Actual "), F.col("y_true").cast("string")).alias("actual")
+    return wide.select(actual, *[quoted(f"Predicted {v}") for v in labels])
 
 
 def _rates(n: Column, hits: Column, tp: Column, fp: Column, positives: Column) -> list[Column]:
@@ -97,8 +102,8 @@ def binary_metrics(
     the count below the whole range.
     """
     require_columns(df, [*by, y_true, y_pred, *([score] if score else [])])
-    actual = match_flag(F.col(f"`{y_true}`"), F.lit(positive)).cast("long")
-    called = match_flag(F.col(f"`{y_pred}`"), F.lit(positive)).cast("long")
+    actual = match_flag(F.col(quoted(y_true)), F.lit(positive)).cast("long")
+    called = match_flag(F.col(quoted(y_pred)), F.lit(positive)).cast("long")
     counts = [
         F.count(F.lit(1)).alias("n"),
         F.sum("_hit").alias("_hits"),
@@ -108,10 +113,10 @@ def binary_metrics(
     ]
     flagged = df.select(
         *_columns(by),
-        *([F.col(f"`{score}`").alias("_score")] if score else []),
+        *([F.col(quoted(score)).alias("_score")] if score else []),
         actual.alias("_actual"),
         called.alias("_called"),
-        match_flag(F.col(f"`{y_true}`"), F.col(f"`{y_pred}`")).cast("long").alias("_hit"),
+        match_flag(F.col(quoted(y_true)), F.col(quoted(y_pred))).cast("long").alias("_hit"),
     )
     rates = _rates(F.col("n"), F.col("_hits"), F.col("tp"), F.col("fp"), F.col("_pos"))
     cells = [
@@ -181,7 +186,7 @@ def metrics_by_run(df: DataFrame, run_id: str = "run_id", **ranges) -> DataFrame
 
 def train_accuracy(df: DataFrame, y_true: str = "y_true", y_pred: str = "y_pred") -> DataFrame:
     """Share of rows whose prediction equals the truth."""
-    hit = match_flag(F.col(f"`{y_true}`"), F.col(f"`{y_pred}`")).cast("double")
+    hit = match_flag(F.col(quoted(y_true)), F.col(quoted(y_pred))).cast("double")
     return df.agg(F.avg(hit).alias("accuracy"))
 
 
@@ -194,7 +199,11 @@ def classification_report(
     The accuracy row has its value in ``f1`` and no precision or recall, as in
     the printed report.
     """
-    cells = confusion_cells(df, y_true, y_pred)
+    return report_from_cells(confusion_cells(df, y_true, y_pred))
+
+
+def report_from_cells(cells: DataFrame) -> DataFrame:
+    """The report from the counted label pairs."""
     zero = F.lit(0).cast("long")
     hit = F.when(F.col("y_true") == F.col("y_pred"), F.col("n")).otherwise(zero)
     sides = cells.select(
@@ -261,7 +270,7 @@ def classification_report(
 
 def report_text(report: DataFrame, digits: int = 2) -> str:
     """The report as aligned text: a header, the classes and three summary rows."""
-    rows = report.orderBy("position").collect()
+    rows = sorted(report.collect(), key=lambda r: r["position"])
     width = max(len("weighted avg"), *(len(r["label"]) for r in rows)) if rows else 12
 
     def cell(value) -> str:

@@ -6,13 +6,17 @@ from collections.abc import Mapping, Sequence
 from numbers import Real
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    LogisticRegression,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from rowmill.functions import require_columns
+from rowmill.functions import quoted, require_columns
 
 # Algorithm names and default hyper-parameters.
 ALGORITHMS = ("random_forest", "logistic_regression")
@@ -33,6 +37,22 @@ LOGISTIC_OPTIONS = (*LOGISTIC_DEFAULTS, "penalty", "fit_intercept", "tol", *WITH
 MAX_TREE_DEPTH = 30
 
 
+class ForestModel(RandomForestClassificationModel):
+    """Fitted forest that wraps its trees in Python objects when asked for them, not
+    when it is created: for 100 trees that takes seconds."""
+
+    @property
+    def trees(self):
+        return super().trees
+
+
+class Forest(RandomForestClassifier):
+    """Forest whose fit returns a ForestModel."""
+
+    def _create_model(self, java_model):
+        return ForestModel(java_model)
+
+
 def check_algorithm(algorithm: str) -> None:
     """Raise ValueError for anything but the known algorithms."""
     if algorithm not in ALGORITHMS:
@@ -52,7 +72,7 @@ def _subset_strategy(max_features) -> str:
     return str(max_features)
 
 
-def random_forest(params: Mapping | None = None) -> RandomForestClassifier:
+def random_forest(params: Mapping | None = None) -> Forest:
     """Unfitted forest. Splits are searched over ``max_bins`` quantile bins."""
     p = _merged(FOREST_DEFAULTS, FOREST_OPTIONS, params)
     depth = p["max_depth"]
@@ -67,7 +87,7 @@ def random_forest(params: Mapping | None = None) -> RandomForestClassifier:
     )
     if criterion is None:
         raise ValueError(f"unknown criterion {p['criterion']!r}")
-    forest = RandomForestClassifier(
+    forest = Forest(
         numTrees=p["n_estimators"],
         maxDepth=depth,
         minInstancesPerNode=p["min_samples_leaf"],
@@ -121,7 +141,7 @@ def canonical_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
     it depends on rows, seed and partition count only. A fixed count is not
     coalesced at run time.
     """
-    return df.repartition(partitions, F.col(f"`{key}`")).sortWithinPartitions(F.col(f"`{key}`"))
+    return df.repartition(partitions, F.col(quoted(key))).sortWithinPartitions(F.col(quoted(key)))
 
 
 def train_model(
@@ -143,11 +163,11 @@ def train_model(
     require_columns(df, [key, target, *features])
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = [F.col(f"`{c}`") for c in (key, target, *features)]
+    columns = [F.col(quoted(c)) for c in (key, target, *features)]
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
     laid_out = canonical_layout(df.select(*columns), key, parts)
     ready = assembler.transform(laid_out).select(
-        F.col(f"`{target}`").cast("double").alias("_label"), "_features"
+        F.col(quoted(target)).cast("double").alias("_label"), "_features"
     )
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -169,14 +189,14 @@ def _transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``y_pred``, the class label."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    columns = [F.col(quoted(c)) for c in df.columns]
     label = F.col("_prediction").cast("int").alias("y_pred")
     return _transformed(model, df).select(*columns, label)
 
 
 def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``y_proba``, an array whose entry k is the probability of class k."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    columns = [F.col(quoted(c)) for c in df.columns]
     return _transformed(model, df).select(
         *columns, vector_to_array("_probability").alias("y_proba")
     )
@@ -184,7 +204,7 @@ def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     """Add ``y_pred`` and ``y_pred_proba``, the probability of class 1, in one pass."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
+    columns = [F.col(quoted(c)) for c in df.columns]
     return _transformed(model, df).select(
         *columns,
         F.col("_prediction").cast("int").alias("y_pred"),

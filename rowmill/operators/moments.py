@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.functions import require_columns
+from rowmill.functions import quoted, require_columns
 
 
 def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -22,17 +22,15 @@ def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] =
     NaN becomes NULL, so both count as missing.
     """
     require_columns(df, [*features, *keep])
-    values = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
-    pairs = df.select(
-        *[F.col(f"`{c}`") for c in keep], F.posexplode(values).alias("position", "_raw")
-    )
-    value = F.when(~F.isnan("_raw"), F.col("_raw")).alias("value")
-    return pairs.select(*[F.col(f"`{c}`") for c in keep], "position", value)
+    kept = [quoted(c) for c in keep]
+    values = ", ".join(f"CAST({quoted(c)} AS DOUBLE)" for c in features)
+    pairs = df.selectExpr(*kept, f"posexplode(array({values})) AS (position, _raw)")
+    return pairs.selectExpr(*kept, "position", "IF(isnan(_raw), NULL, _raw) AS value")
 
 
 def feature_name(features: Sequence[str]) -> Column:
     """Feature name of a position; applied to per-feature tables only."""
-    return F.get(F.array(*[F.lit(c) for c in features]), F.col("position")).alias("feature")
+    return F.get(F.lit(list(features)), F.col("position")).alias("feature")
 
 
 def moments(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -41,9 +39,10 @@ def moments(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> D
     The mean of a feature that is constant within its group is that constant
     exactly, not a rounded quotient.
     """
+    kept = [quoted(c) for c in by]
     folded = (
         long_features(df, features, by)
-        .groupBy(*[F.col(f"`{c}`") for c in by], "position")
+        .groupBy(*kept, "position")
         .agg(
             F.count("value").alias("n"),
             F.count_if(F.col("value").isNull()).alias("n_missing"),
@@ -55,7 +54,7 @@ def moments(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> D
     )
     mean = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(F.col("_mean"))
     return folded.select(
-        *[F.col(f"`{c}`") for c in by],
+        *kept,
         "position",
         feature_name(features),
         "n",
@@ -67,24 +66,43 @@ def moments(df: DataFrame, features: Sequence[str], by: Sequence[str] = ()) -> D
     )
 
 
-def total_moments(class_moments: DataFrame) -> DataFrame:
-    """Combine per-class moments into per-feature ones without another scan."""
-    overall = class_moments.groupBy("position", "feature").agg(
-        F.sum("n").alias("n"),
-        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_mean"),
-        F.min("low").alias("low"),
-        F.max("high").alias("high"),
-        F.collect_list(F.struct("n", "mean", "var_pop")).alias("_groups"),
+def combine_classes(class_moments: DataFrame) -> DataFrame:
+    """Per-feature moments from per-class ones, without another scan.
+
+    (position, feature, n, mean, var_pop, low, high, classes, between, within):
+    ``between`` and ``within`` are the sums of squares of the class means around
+    the overall mean and of the values around their class mean.
+    """
+    overall = (
+        class_moments.where(F.col("n") > 0)
+        .groupBy("position", "feature")
+        .agg(
+            F.sum("n").alias("n"),
+            F.count(F.lit(1)).alias("classes"),
+            F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_mean"),
+            F.sum(F.col("n") * F.col("var_pop")).alias("within"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.collect_list(F.struct("n", "mean")).alias("_groups"),
+        )
     )
     constant = F.col("low") == F.col("high")
-    mean = F.when(constant, F.col("low")).otherwise(F.col("_mean"))
-    squares = F.aggregate(
+    between = F.aggregate(
         "_groups",
         F.lit(0.0),
-        lambda total, g: total
-        + g["n"] * (g["var_pop"] + F.pow(g["mean"] - F.col("_mean"), F.lit(2))),
+        lambda total, g: total + g["n"] * F.pow(g["mean"] - F.col("_mean"), F.lit(2)),
     )
-    variance = F.when(constant, F.lit(0.0)).otherwise(F.try_divide(squares, F.col("n")))
     return overall.select(
-        "position", "feature", "n", mean.alias("mean"), variance.alias("var_pop"), "low", "high"
+        "position",
+        "feature",
+        "n",
+        F.when(constant, F.col("low")).otherwise(F.col("_mean")).alias("mean"),
+        F.when(constant, F.lit(0.0))
+        .otherwise(F.try_divide(F.col("within") + between, F.col("n")))
+        .alias("var_pop"),
+        "low",
+        "high",
+        "classes",
+        F.when(constant, F.lit(0.0)).otherwise(between).alias("between"),
+        "within",
     )

@@ -3,11 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
-from rowmill.functions import SMALL_ROWS, binary_target, is_missing, require_columns, small_table
+from rowmill.functions import (
+    SMALL_ROWS,
+    binary_target,
+    missing_condition,
+    quoted,
+    require_columns,
+    small_table,
+)
 from rowmill.operators.ranges import dense_index
 
 # The label types that are taken as numeric codes already.
@@ -19,7 +24,7 @@ def derive_binary_target(
 ) -> DataFrame:
     """Replace the label column by a 0/1 target."""
     require_columns(df, [label])
-    flagged = df.withColumn("_target", binary_target(F.col(f"`{label}`"), positive))
+    flagged = df.withColumn("_target", binary_target(F.col(quoted(label)), positive))
     return flagged.drop(label).withColumnRenamed("_target", target)
 
 
@@ -41,17 +46,17 @@ def label_table(
         labelled = derive_binary_target(df, label, positive, target)
     else:
         require_columns(df, [target])
-        labelled = df.withColumn(target, F.col(f"`{target}`").cast("int"))
+        labelled = df.withColumn(target, F.col(quoted(target)).cast("int"))
     names = list(features) if features else [
         c for c in labelled.columns if c not in (key, target)
     ]
     require_columns(labelled, names)
-    values = [F.col(f"`{c}`").cast("double").alias(c) for c in names]
+    values = [F.col(quoted(c)).cast("double").alias(c) for c in names]
     if key is None or key not in labelled.columns:
         key = key or "id"
-        content = F.md5(F.to_json(F.struct(F.col(f"`{target}`"), *values)))
-        return labelled.select(content.alias(key), F.col(f"`{target}`"), *values)
-    return labelled.select(F.col(f"`{key}`"), F.col(f"`{target}`"), *values)
+        content = F.md5(F.to_json(F.struct(F.col(quoted(target)), *values)))
+        return labelled.select(content.alias(key), F.col(quoted(target)), *values)
+    return labelled.select(F.col(quoted(key)), F.col(quoted(target)), *values)
 
 
 def feature_names(df: DataFrame, key: str, target: str) -> list[str]:
@@ -62,8 +67,8 @@ def feature_names(df: DataFrame, key: str, target: str) -> list[str]:
 def drop_incomplete(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Keep rows whose features are all present (neither NULL nor NaN)."""
     require_columns(df, features)
-    present = [~is_missing(c, df.schema[c].dataType) for c in features]
-    return df.where(reduce(lambda a, b: a & b, present)) if present else df
+    present = [f"NOT {missing_condition(c, df.schema[c].dataType)}" for c in features]
+    return df.where(" AND ".join(present)) if present else df
 
 
 def dedup_rows(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
@@ -74,12 +79,11 @@ def dedup_rows(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
     """
     require_columns(df, [*features, key])
     rest = [c for c in df.columns if c != key and c not in features]
-    first = F.min(F.struct(*[F.col(f"`{c}`") for c in (key, *rest)])).alias("_first")
-    kept = df.groupBy(*[F.col(f"`{c}`") for c in features]).agg(first)
-    columns = [
-        F.col(f"`{c}`") if c in features else F.col(f"_first.`{c}`").alias(c) for c in df.columns
-    ]
-    return kept.select(*columns)
+    first = F.min(F.struct(*[quoted(c) for c in (key, *rest)])).alias("_first")
+    kept = df.groupBy(*[quoted(c) for c in features]).agg(first)
+    return kept.select(
+        *[quoted(c) if c in features else f"_first.{quoted(c)}" for c in df.columns]
+    )
 
 
 def clean_data(
@@ -98,14 +102,14 @@ def label_codes(df: DataFrame, label: str) -> DataFrame:
 
     A missing label, if there is one, gets the last code.
     """
-    values = df.select(F.col(f"`{label}`")).distinct()
+    values = df.select(F.col(quoted(label))).distinct()
     known = small_table(values)
-    coded = dense_index(known.where(F.col(f"`{label}`").isNotNull()), label, "code")
-    coded = coded.select(F.col(f"`{label}`"), F.col("code").cast("int").alias("code"))
-    if known.where(F.col(f"`{label}`").isNull()).isEmpty():
+    coded = dense_index(known.where(F.col(quoted(label)).isNotNull()), label, "code")
+    coded = coded.select(F.col(quoted(label)), F.col("code").cast("int").alias("code"))
+    if known.where(F.col(quoted(label)).isNull()).isEmpty():
         return coded
-    missing = known.where(F.col(f"`{label}`").isNull()).select(
-        F.col(f"`{label}`"), F.lit(coded.count()).cast("int").alias("code")
+    missing = known.where(F.col(quoted(label)).isNull()).select(
+        F.col(quoted(label)), F.lit(coded.count()).cast("int").alias("code")
     )
     return coded.unionByName(missing)
 
@@ -114,9 +118,9 @@ def encode_target(df: DataFrame, label: str, code: str = "code") -> DataFrame:
     """Add integer codes for a label column; numeric labels are passed through."""
     require_columns(df, [label])
     if df.schema[label].dataType.simpleString() in NUMERIC_LABEL_TYPES:
-        return df.withColumn(code, F.col(f"`{label}`"))
+        return df.withColumn(code, F.col(quoted(label)))
     codes = small_table(label_codes(df, label), SMALL_ROWS).select(
-        F.col(f"`{label}`").alias("_label"), F.col("code").alias("_code")
+        F.col(quoted(label)).alias("_label"), F.col("code").alias("_code")
     )
-    joined = df.join(codes, F.col(f"`{label}`").eqNullSafe(F.col("_label")), "left")
+    joined = df.join(codes, F.col(quoted(label)).eqNullSafe(F.col("_label")), "left")
     return joined.withColumn(code, F.col("_code")).drop("_label", "_code")

@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowmill.functions import is_missing, require_columns
+from rowmill.functions import missing_condition, quoted, require_columns
 from rowmill.operators.moments import moments
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """(class, n, share)."""
-    counts = df.groupBy(F.col(f"`{target}`")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(F.col(quoted(target))).agg(F.count(F.lit(1)).alias("n"))
     # One row per class: the total is a sum over the counts.
     total = F.sum("n").over(Window.partitionBy())
     share = F.try_divide(F.col("n").cast("double"), total.cast("double"))
@@ -21,7 +21,7 @@ def class_distribution(df: DataFrame, target: str) -> DataFrame:
 
 def prediction_distribution(df: DataFrame, y_pred: str = "y_pred") -> DataFrame:
     """(prediction, n): distinct predicted values and their counts."""
-    return df.groupBy(F.col(f"`{y_pred}`")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(F.col(quoted(y_pred))).agg(F.count(F.lit(1)).alias("n"))
 
 
 def feature_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -47,7 +47,7 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
     require_columns(df, names)
     counted = df.agg(
         *[
-            F.count_if(is_missing(c, df.schema[c].dataType)).alias(f"_{i}")
+            F.expr(f"count_if({missing_condition(c, df.schema[c].dataType)})").alias(f"_{i}")
             for i, c in enumerate(names)
         ]
     )

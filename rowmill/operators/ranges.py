@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
-from rowmill.functions import require_columns, small_table
+from rowmill.functions import quoted, require_columns, small_table
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
@@ -31,9 +31,9 @@ def range_bounds(
     Empty when the table fits one range. The sample fetched to place the cuts
     has about SAMPLES_PER_BUCKET values per range, whatever the table's size.
     """
-    values = df.select(column).where(F.col(f"`{column}`").isNotNull())
+    values = df.select(column).where(F.col(quoted(column)).isNotNull())
     if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
-        values = values.where(~F.isnan(F.col(f"`{column}`")))
+        values = values.where(~F.isnan(F.col(quoted(column))))
     rows = values.count()
     buckets = min(math.ceil(rows / rows_per_bucket), max_buckets)
     if buckets <= 1:
@@ -71,8 +71,8 @@ def dense_index(
     require_columns(df, [key])
     bounds = range_bounds(df, key, rows_per_bucket, max_buckets)
     data_type = df.schema[key].dataType.simpleString()
-    bucketed = df.withColumn("_bucket", range_bucket(F.col(f"`{key}`"), bounds, data_type))
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(f"`{key}`")))
+    bucketed = df.withColumn("_bucket", range_bucket(F.col(quoted(key)), bounds, data_type))
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(quoted(key))))
     position = rank.cast("long") - F.lit(1)
     if not bounds:
         return bucketed.withColumn(name, position).drop("_bucket")
@@ -86,5 +86,5 @@ def dense_index(
         bucketed.withColumn("_position", position)
         .join(offsets, "_bucket")
         .withColumn(name, F.col("_offset") + F.col("_position"))
-        .select(*[f"`{c}`" for c in df.columns], name)
+        .select(*[quoted(c) for c in df.columns], name)
     )

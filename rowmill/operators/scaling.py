@@ -7,7 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.functions import small_table
+from rowmill.functions import quoted, small_table
 from rowmill.operators.moments import moments
 
 
@@ -45,7 +45,7 @@ def scaler_values(scaler: DataFrame) -> dict[str, Scale]:
 
 def standardised(name: str, scale: Scale) -> Column:
     """(x - mean) / std; a feature without any value at fit time stays NULL."""
-    value = F.col(f"`{name}`").cast("double")
+    value = F.col(quoted(name)).cast("double")
     if scale.mean is None or scale.std is None:
         return F.lit(None).cast("double").alias(name)
     return ((value - F.lit(scale.mean)) / F.lit(scale.std)).alias(name)
@@ -59,7 +59,7 @@ def apply_scaler(df: DataFrame, scaler: DataFrame | dict[str, Scale]) -> DataFra
     if absent:
         raise ValueError(f"the scaler was fitted on columns the table lacks: {absent}")
     return df.select(
-        *[standardised(c, scales[c]) if c in scales else F.col(f"`{c}`") for c in df.columns]
+        *[standardised(c, scales[c]) if c in scales else F.col(quoted(c)) for c in df.columns]
     )
 
 
@@ -70,7 +70,7 @@ def apply_params(long: DataFrame, scaler: DataFrame, value: str = "value") -> Da
     """
     params = small_table(scaler.select("feature", "mean", "std"))
     joined = long.join(params, "feature")
-    scaled = (F.col(f"`{value}`") - F.col("mean")) / F.col("std")
+    scaled = (F.col(quoted(value)) - F.col("mean")) / F.col("std")
     return joined.withColumn("scaled", scaled).drop("mean", "std")
 
 

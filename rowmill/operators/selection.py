@@ -7,37 +7,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from rowmill.operators.moments import moments
+from rowmill.functions import quoted
+from rowmill.operators.moments import combine_classes, moments
 
 
-def f_scores_from_moments(class_moments: DataFrame) -> DataFrame:
-    """(position, feature, f_score) from per-class moments.
+def f_scores_from_moments(combined: DataFrame) -> DataFrame:
+    """(position, feature, f_score) from combined class moments.
 
     A feature constant over all rows has no score (NULL); one constant within
     each class but different between classes scores +infinity.
     """
-    groups = class_moments.where(F.col("n") > 0).groupBy("position", "feature")
-    combined = groups.agg(
-        F.count(F.lit(1)).alias("_classes"),
-        F.sum("n").alias("_rows"),
-        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_centre"),
-        F.sum(F.col("n") * F.col("var_pop")).alias("_within"),
-        F.collect_list(F.struct("n", "mean")).alias("_groups"),
-        F.min("low").alias("_low"),
-        F.max("high").alias("_high"),
-    )
-    between = F.aggregate(
-        "_groups",
-        F.lit(0.0),
-        lambda total, g: total + g["n"] * F.pow(g["mean"] - F.col("_centre"), F.lit(2)),
-    )
-    explained = F.try_divide(between, (F.col("_classes") - 1).cast("double"))
-    residual = F.try_divide(
-        F.col("_within"), (F.col("_rows") - F.col("_classes")).cast("double")
-    )
+    explained = F.try_divide(F.col("between"), (F.col("classes") - 1).cast("double"))
+    residual = F.try_divide(F.col("within"), (F.col("n") - F.col("classes")).cast("double"))
+    none = F.lit(None).cast("double")
     score = (
-        F.when(F.col("_low") == F.col("_high"), F.lit(None).cast("double"))
-        .when(explained.isNull() | residual.isNull(), F.lit(None).cast("double"))
+        F.when(F.col("low") == F.col("high"), none)
+        .when(explained.isNull() | residual.isNull(), none)
         .when(residual == 0, F.lit(float("inf")))
         .otherwise(F.try_divide(explained, residual))
     )
@@ -46,7 +31,7 @@ def f_scores_from_moments(class_moments: DataFrame) -> DataFrame:
 
 def anova_f(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     """F score of every feature against the class label: one scan of the table."""
-    return f_scores_from_moments(moments(df, features, [target]))
+    return f_scores_from_moments(combine_classes(moments(df, features, [target])))
 
 
 def rank_features(scores: DataFrame, k: int) -> DataFrame:
@@ -71,8 +56,8 @@ def select_k_best(
 
 def selected_names(ranked: DataFrame) -> list[str]:
     """Names of the selected features in the table's column order."""
-    rows = ranked.where(F.col("selected") == 1).orderBy("position").select("feature").collect()
-    return [r["feature"] for r in rows]
+    rows = ranked.where(F.col("selected") == 1).select("position", "feature").collect()
+    return [r["feature"] for r in sorted(rows)]
 
 
 def top_features(ranked: DataFrame, n: int = 5) -> DataFrame:
@@ -86,7 +71,7 @@ def project_selected(
 ) -> DataFrame:
     """Kept columns and the named features, in the table's column order."""
     wanted = set(names) | set(keep)
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c in wanted])
+    return df.select(*[F.col(quoted(c)) for c in df.columns if c in wanted])
 
 
 def preprocess_features(

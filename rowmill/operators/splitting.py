@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from rowmill.functions import SMALL_ROWS, key_hash, require_columns
+from rowmill.functions import SMALL_ROWS, key_hash, quoted, require_columns
 
 # Rows of one class sharing a digest prefix that are ranked in one task.
 RANK_LIMIT = 200_000
@@ -80,7 +80,7 @@ def class_quotas(counts: list[tuple[object, int]], test_size: float | int) -> li
 
 
 def _class_counts(df: DataFrame, target: str) -> list[tuple[object, int]]:
-    counted = df.groupBy(F.col(f"`{target}`").alias("value")).count().limit(SMALL_ROWS + 1)
+    counted = df.groupBy(F.col(quoted(target)).alias("value")).count().limit(SMALL_ROWS + 1)
     rows = [(r["value"], r["count"]) for r in counted.collect()]
     if len(rows) > SMALL_ROWS:
         raise ValueError(f"{target} has more than {SMALL_ROWS} values; it is not a class label")
@@ -115,7 +115,7 @@ def split_cuts(
     spark = df.sparkSession
     class_type = df.schema[target].dataType
     quotas = class_quotas(_class_counts(df, target), test_size)
-    hashed = df.select(F.col(f"`{target}`").alias("_class"), key_hash(key, seed).alias("_hash"))
+    hashed = df.select(F.col(quoted(target)).alias("_class"), key_hash(key, seed).alias("_hash"))
 
     def table(rows, *fields):
         schema = StructType([StructField("_class", class_type), *fields])
@@ -167,10 +167,10 @@ def assign_split(
 ) -> DataFrame:
     """Add 'train' or 'test' to every row. The cuts have one row per class, at most
     SMALL_ROWS, and are broadcast; the table itself is not shuffled."""
-    small = F.broadcast(cuts.select(F.col(f"`{target}`").alias("_class"), "cut"))
-    joined = df.join(small, F.col(f"`{target}`") == F.col("_class"))
+    small = F.broadcast(cuts.select(F.col(quoted(target)).alias("_class"), "cut"))
+    joined = df.join(small, F.col(quoted(target)) == F.col("_class"))
     side = F.when(key_hash(key, seed) <= F.col("cut"), F.lit("train")).otherwise(F.lit("test"))
-    return joined.select(*[F.col(f"`{c}`") for c in df.columns], side.alias(name))
+    return joined.select(*[F.col(quoted(c)) for c in df.columns], side.alias(name))
 
 
 def stratified_split(
@@ -201,11 +201,11 @@ def train_test_split(
 def split_overlap(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
     """(n_train, n_test, n_total, n_overlap): counts of both sides, of their
     distinct keys and of keys on both sides. One shuffle of the keys."""
-    sides = train.select(F.col(f"`{key}`"), F.lit(1).alias("_train"), F.lit(0).alias("_test"))
+    sides = train.select(F.col(quoted(key)), F.lit(1).alias("_train"), F.lit(0).alias("_test"))
     sides = sides.unionByName(
-        test.select(F.col(f"`{key}`"), F.lit(0).alias("_train"), F.lit(1).alias("_test"))
+        test.select(F.col(quoted(key)), F.lit(0).alias("_train"), F.lit(1).alias("_test"))
     )
-    per_key = sides.groupBy(F.col(f"`{key}`")).agg(
+    per_key = sides.groupBy(F.col(quoted(key))).agg(
         F.sum("_train").alias("_train"), F.sum("_test").alias("_test")
     )
     return per_key.agg(
@@ -219,7 +219,7 @@ def split_overlap(train: DataFrame, test: DataFrame, key: str) -> DataFrame:
 def split_balance(assigned: DataFrame, target: str) -> DataFrame:
     """(class, share, train_share, test_share) from one grouped count."""
     in_train = F.count_if(F.col("split") == "train")
-    counts = assigned.groupBy(F.col(f"`{target}`")).agg(
+    counts = assigned.groupBy(F.col(quoted(target))).agg(
         F.count(F.lit(1)).alias("_all"),
         in_train.alias("_train"),
         F.count_if(F.col("split") == "test").alias("_test"),
@@ -227,7 +227,7 @@ def split_balance(assigned: DataFrame, target: str) -> DataFrame:
     # One row per class from here on.
     everything = Window.partitionBy()
     return counts.select(
-        F.col(f"`{target}`"),
+        F.col(quoted(target)),
         *[
             F.try_divide(F.col(c).cast("double"), F.sum(c).over(everything).cast("double")).alias(n)
             for c, n in (("_all", "share"), ("_train", "train_share"), ("_test", "test_share"))

@@ -13,10 +13,10 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from rowmill.functions import require_columns, small_table
+from rowmill.functions import quoted, require_columns, small_table
 from rowmill.operators import metrics as m
 from rowmill.operators.models import score, train_model
-from rowmill.operators.moments import moments, total_moments
+from rowmill.operators.moments import combine_classes, moments
 from rowmill.operators.prepare import clean_data, feature_names
 from rowmill.operators.scaling import apply_scaler, scaler_from_moments, scaler_values
 from rowmill.operators.selection import f_scores_from_moments, rank_features, selected_names
@@ -59,7 +59,7 @@ def run_job(
     config = config or JobConfig()
     names = list(features) if features else feature_names(df, key, target)
     require_columns(df, [key, target, *names])
-    wanted = [F.col(f"`{c}`") for c in (key, target, *names)]
+    wanted = [F.col(quoted(c)) for c in (key, target, *names)]
 
     def place(*parts: str) -> str:
         return join_path(out, *parts)
@@ -70,14 +70,15 @@ def run_job(
     train_rows = assigned.where(F.col("split") == "train")
 
     basis = cleaned if config.fit_on == "all" else train_rows
-    by_class = small_table(moments(basis, names, [target]))
-    scaler = small_table(scaler_from_moments(total_moments(by_class)))
+    # One scan serves scaler and scores; from here on one row per feature.
+    found = small_table(combine_classes(moments(basis, names, [target])))
+    scaler = scaler_from_moments(found)
     artifacts.save_scaler(scaler, place("feature_scaler"))
-    ranking = small_table(rank_features(f_scores_from_moments(by_class), config.n_features))
+    ranking = small_table(rank_features(f_scores_from_moments(found), config.n_features))
     chosen = selected_names(ranking)
 
     prepared = assigned.select(
-        F.col(f"`{key}`"), F.col(f"`{target}`"), *[F.col(f"`{c}`") for c in chosen], "split"
+        F.col(quoted(key)), F.col(quoted(target)), *[F.col(quoted(c)) for c in chosen], "split"
     )
     if config.use_scaling:
         scales = scaler_values(scaler)
@@ -94,8 +95,8 @@ def run_job(
     artifacts.save_model(model, place("model"))
 
     result_columns = [
-        F.col(f"`{key}`"),
-        F.col(f"`{target}`").cast("int").alias("y_true"),
+        F.col(quoted(key)),
+        F.col(quoted(target)).cast("int").alias("y_true"),
         "y_pred",
         "y_pred_proba",
     ]
@@ -113,8 +114,9 @@ def run_job(
     area = "y_pred_proba" if "roc_auc" in config.metrics else None
     evaluated = m.binary_metrics(predictions, score=area)
     evaluated = small_table(evaluated.select("n", *config.metrics, "tn", "fp", "fn", "tp"))
-    confusion = small_table(m.confusion_matrix(predictions, labels=[0, 1]))
-    report = small_table(m.classification_report(predictions))
+    cells = small_table(m.confusion_cells(predictions))
+    confusion = m.matrix_from_cells(cells, labels=[0, 1])
+    report = m.report_from_cells(cells)
     artifacts.write_metrics_json(evaluated.select(*config.metrics), place("metrics.json"))
     artifacts.write_confusion_csv(confusion, place("confusion_matrix.csv"))
     artifacts.write_report_text(report, place("classification_report.txt"))

@@ -8,7 +8,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from rowmill.functions import match_flag, require_columns
+from rowmill.functions import match_flag, quoted, require_columns
 from rowmill.operators.metrics import confusion_table, report_text
 from rowmill.sources.tables import write_dataset
 
@@ -77,7 +77,7 @@ def write_run_result(df: DataFrame, path: str, run_id: str, key: str) -> None:
     run. Repeating a run replaces its own partition and no other."""
     require_columns(df, [key, "y_true", "y_pred", "y_pred_proba"])
     rows = df.select(
-        F.col(f"`{key}`"), "y_true", "y_pred", "y_pred_proba", F.lit(run_id).alias("run_id")
+        F.col(quoted(key)), "y_true", "y_pred", "y_pred_proba", F.lit(run_id).alias("run_id")
     )
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("run_id").parquet(path)
