@@ -9,14 +9,13 @@ from __future__ import annotations
 
 import os
 import sys
-import uuid
 from collections.abc import Callable
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F  # noqa: E402
 
-from rowmill.functions import match_flag  # noqa: E402
+from rowmill.functions import match_flag, new_folder  # noqa: E402
 from rowmill.operators import comparison, metrics, models, prepare, profiles  # noqa: E402
 from rowmill.operators import scaling, selection, splitting  # noqa: E402
 from rowmill.operators.moments import long_features  # noqa: E402
@@ -27,10 +26,7 @@ from rowmill.sources import artifacts  # noqa: E402
 from rowmill.sources.tables import (  # noqa: E402
     Catalog,
     Dataset,
-    join_path,
-    labelled_schema,
     read_labeled,
-    shared_folder,
     write_dataset,
     write_stage,
 )
@@ -50,10 +46,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
-def new_folder(spark: SparkSession) -> str:
-    return join_path(shared_folder(spark), f"rowmill-{uuid.uuid4().hex}")
-
-
 def rounded(column: str | Column, digits: int = 6) -> Column:
     value = F.col(column) if isinstance(column, str) else column
     return F.round(value, digits) + F.lit(0.0)

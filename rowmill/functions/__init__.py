@@ -9,17 +9,31 @@ from rowmill.functions.columns import (
     safe_ratio,
     within_tolerance,
 )
-from rowmill.functions.tables import SMALL_ROWS, require_columns, small_table
+from rowmill.functions.tables import (
+    SMALL_ROWS,
+    join_path,
+    local_table,
+    new_folder,
+    require_columns,
+    shared_folder,
+    small_table,
+    stored,
+)
 
 __all__ = [
     "SMALL_ROWS",
     "binary_target",
+    "join_path",
     "key_hash",
+    "local_table",
     "match_flag",
     "missing_condition",
+    "new_folder",
     "quoted",
     "require_columns",
     "safe_ratio",
+    "shared_folder",
     "small_table",
+    "stored",
     "within_tolerance",
 ]

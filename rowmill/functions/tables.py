@@ -1,10 +1,16 @@
-"""Helpers for tables whose size is checked before they are joined."""
+"""Helpers for small tables of checked size and for tables stored between steps."""
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import os
+import posixpath
+import tempfile
+import uuid
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 # Rows up to which a parameter table is fetched and handed back as a local
 # relation. Its exact size is then known to the optimiser, which broadcasts it
@@ -28,3 +34,46 @@ def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     absent = [n for n in names if n not in df.columns]
     if absent:
         raise ValueError(f"columns not found: {absent}; the table has {df.columns}")
+
+
+def local_table(spark: SparkSession, rows: Iterable[Sequence], schema: StructType) -> DataFrame:
+    """A local relation from driver rows; its size is known to the optimiser."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    values = {f.name: pa.array(list(c)) for f, c in zip(schema, columns)}
+    return spark.createDataFrame(pa.table(values), schema)
+
+
+def join_path(base: str, *parts: str) -> str:
+    """Path below a base folder, local or remote."""
+    return posixpath.join(base, *parts) if "://" in base else os.path.join(base, *parts)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach, from spark.checkpoint.dir.
+
+    Only a local session without that setting gets a new temporary folder.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="rowmill-")
+        spark.conf.set("spark.checkpoint.dir", folder)
+    return folder
+
+
+def new_folder(spark: SparkSession) -> str:
+    """An unused path below the shared folder."""
+    return join_path(shared_folder(spark), f"rowmill-{uuid.uuid4().hex}")
+
+
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """The table written as Parquet and read back.
+
+    What led to it is not computed again, later steps read only the columns they
+    use, and a lost executor costs a re-read. Goes to a new shared folder unless a
+    path is given.
+    """
+    target = path or new_folder(df.sparkSession)
+    df.write.mode("overwrite").parquet(target)
+    return df.sparkSession.read.schema(df.schema).parquet(target)

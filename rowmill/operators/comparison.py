@@ -34,10 +34,10 @@ def attach_target(
 
 def unmatched_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """(n_matched, n_left_only, n_right_only): one shuffle of the keys."""
-    sides = left.select(F.col(quoted(key)), F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionByName(
-        right.select(F.col(quoted(key)), F.lit(0).alias("_l"), F.lit(1).alias("_r"))
-    )
-    per_key = sides.groupBy(F.col(quoted(key))).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
+    on_left = left.select(quoted(key), F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+    on_right = right.select(quoted(key), F.lit(0).alias("_l"), F.lit(1).alias("_r"))
+    sides = on_left.unionByName(on_right)
+    per_key = sides.groupBy(quoted(key)).agg(F.max("_l").alias("_l"), F.max("_r").alias("_r"))
     return per_key.agg(
         F.count_if((F.col("_l") == 1) & (F.col("_r") == 1)).alias("n_matched"),
         F.count_if(F.col("_r") == 0).alias("n_left_only"),

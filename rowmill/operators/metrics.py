@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowmill.functions import match_flag, quoted, require_columns, safe_ratio
+from rowmill.functions import match_flag, quoted, require_columns, safe_ratio, small_table
 from rowmill.operators.ranges import MAX_BUCKETS, ROWS_PER_BUCKET, range_bounds, range_bucket
 
 # Names and order of the binary metrics.
@@ -37,7 +37,7 @@ def confusion_matrix(
     labels: Sequence | None = None,
 ) -> DataFrame:
     """(y_true, y_pred, n) for every pair of labels, 0 where none occurs."""
-    return matrix_from_cells(confusion_cells(df, y_true, y_pred), labels)
+    return matrix_from_cells(small_table(confusion_cells(df, y_true, y_pred)), labels)
 
 
 def matrix_from_cells(cells: DataFrame, labels: Sequence | None = None) -> DataFrame:
@@ -51,7 +51,7 @@ def matrix_from_cells(cells: DataFrame, labels: Sequence | None = None) -> DataF
         found = cells.agg(F.collect_set("y_true").alias("_t"), F.collect_set("y_pred").alias("_p"))
         axis = found.select(F.array_union("_t", "_p").alias("_labels"))
     else:
-        axis = cells.sparkSession.range(1).select(F.array(*[F.lit(v) for v in labels]).alias("_labels"))
+        axis = cells.sparkSession.range(1).select(F.lit(list(labels)).alias("_labels"))
     grid = axis.select("_labels", F.explode("_labels").alias("y_true")).select(
         "y_true", F.explode("_labels").alias("y_pred")
     )
@@ -199,7 +199,7 @@ def classification_report(
     The accuracy row has its value in ``f1`` and no precision or recall, as in
     the printed report.
     """
-    return report_from_cells(confusion_cells(df, y_true, y_pred))
+    return report_from_cells(small_table(confusion_cells(df, y_true, y_pred)))
 
 
 def report_from_cells(cells: DataFrame) -> DataFrame:

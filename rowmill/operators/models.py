@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from numbers import Real
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassificationModel,
@@ -29,6 +29,9 @@ FOREST_DEFAULTS = {
 }
 LOGISTIC_DEFAULTS = {"C": 1.0, "solver": "lbfgs", "max_iter": 1000, "random_state": 42}
 
+# Split criteria by either name.
+IMPURITIES = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}
+
 # Accepted for compatibility; the cluster decides parallelism and logging.
 WITHOUT_EFFECT = ("n_jobs", "verbose")
 FOREST_OPTIONS = (*FOREST_DEFAULTS, "criterion", "max_features", "bootstrap", "max_samples",
@@ -66,14 +69,11 @@ def _merged(defaults: Mapping, options: Sequence[str], params: Mapping | None) -
     return {**defaults, **(params or {})}
 
 
-def _subset_strategy(max_features) -> str:
-    if max_features is None:
-        return "all"
-    return str(max_features)
-
+def forest_settings(params: Mapping | None = None) -> dict:
+    """MLlib settings of a forest; ValueError for what MLlib cannot honour.
 
-def random_forest(params: Mapping | None = None) -> Forest:
-    """Unfitted forest. Splits are searched over ``max_bins`` quantile bins."""
+    Splits are searched over ``max_bins`` quantile bins per feature.
+    """
     p = _merged(FOREST_DEFAULTS, FOREST_OPTIONS, params)
     depth = p["max_depth"]
     if depth is None or not 0 <= depth <= MAX_TREE_DEPTH:
@@ -82,30 +82,28 @@ def random_forest(params: Mapping | None = None) -> Forest:
         raise ValueError("only min_samples_split=2 is available; use min_samples_leaf")
     if not isinstance(p["min_samples_leaf"], int):
         raise ValueError("min_samples_leaf must be a number of rows")
-    criterion = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}.get(
-        p.get("criterion", "gini")
-    )
-    if criterion is None:
-        raise ValueError(f"unknown criterion {p['criterion']!r}")
-    forest = Forest(
-        numTrees=p["n_estimators"],
-        maxDepth=depth,
-        minInstancesPerNode=p["min_samples_leaf"],
-        seed=p["random_state"],
-        impurity=criterion,
-        featureSubsetStrategy=_subset_strategy(p.get("max_features", "sqrt")),
-        bootstrap=p.get("bootstrap", True),
-        maxBins=p.get("max_bins", 32),
-    )
-    if p.get("max_samples") is not None:
-        if not isinstance(p["max_samples"], float):
-            raise ValueError("max_samples must be a share of the rows")
-        forest.setSubsamplingRate(p["max_samples"])
-    return forest
-
-
-def logistic_regression(rows: int, params: Mapping | None = None) -> LogisticRegression:
-    """Unfitted ridge-penalised regression for ``rows`` training rows.
+    criterion = p.get("criterion", "gini")
+    if criterion not in IMPURITIES:
+        raise ValueError(f"unknown criterion {criterion!r}")
+    share = p.get("max_samples")
+    if share is not None and not isinstance(share, float):
+        raise ValueError("max_samples must be a share of the rows")
+    max_features = p.get("max_features", "sqrt")
+    return {
+        "numTrees": p["n_estimators"],
+        "maxDepth": depth,
+        "minInstancesPerNode": p["min_samples_leaf"],
+        "seed": p["random_state"],
+        "impurity": IMPURITIES[criterion],
+        "featureSubsetStrategy": "all" if max_features is None else str(max_features),
+        "bootstrap": p.get("bootstrap", True),
+        "maxBins": p.get("max_bins", 32),
+        "subsamplingRate": 1.0 if share is None else share,
+    }
+
+
+def logistic_settings(rows: int, params: Mapping | None = None) -> dict:
+    """MLlib settings of a ridge-penalised regression for ``rows`` training rows.
 
     MLlib minimises the mean loss, so a penalty of 1/C on the summed loss becomes
     1/(C * rows). The intercept is not penalised.
@@ -118,20 +116,23 @@ def logistic_regression(rows: int, params: Mapping | None = None) -> LogisticReg
         raise ValueError(f"only the l2 penalty or None is available, got {penalty!r}")
     if not isinstance(p["C"], Real) or p["C"] <= 0:
         raise ValueError(f"C must be positive, got {p['C']}")
-    return LogisticRegression(
-        regParam=0.0 if penalty is None else 1.0 / (p["C"] * max(rows, 1)),
-        elasticNetParam=0.0,
-        standardization=False,
-        fitIntercept=p.get("fit_intercept", True),
-        maxIter=p["max_iter"],
-        tol=p.get("tol", 1e-9),
-    )
+    return {
+        "regParam": 0.0 if penalty is None else 1.0 / (p["C"] * max(rows, 1)),
+        "elasticNetParam": 0.0,
+        "standardization": False,
+        "fitIntercept": p.get("fit_intercept", True),
+        "maxIter": p["max_iter"],
+        "tol": p.get("tol", 1e-9),
+    }
 
 
 def check_params(algorithm: str, params: Mapping | None = None) -> None:
     """Reject a wrong algorithm or parameter before any data is read."""
     check_algorithm(algorithm)
-    random_forest(params) if algorithm == "random_forest" else logistic_regression(1, params)
+    if algorithm == "random_forest":
+        forest_settings(params)
+    else:
+        logistic_settings(1, params)
 
 
 def canonical_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
@@ -172,9 +173,9 @@ def train_model(
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if algorithm == "random_forest":
-            estimator = random_forest(params)
+            estimator = Forest(**forest_settings(params))
         else:
-            estimator = logistic_regression(ready.count(), params)
+            estimator = LogisticRegression(**logistic_settings(ready.count(), params))
         estimator = estimator.setFeaturesCol("_features").setLabelCol("_label")
         estimator = estimator.setRawPredictionCol("_raw").setProbabilityCol("_probability")
         classifier = estimator.setPredictionCol("_prediction").fit(ready)

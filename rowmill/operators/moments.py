@@ -73,18 +73,15 @@ def combine_classes(class_moments: DataFrame) -> DataFrame:
     ``between`` and ``within`` are the sums of squares of the class means around
     the overall mean and of the values around their class mean.
     """
-    overall = (
-        class_moments.where(F.col("n") > 0)
-        .groupBy("position", "feature")
-        .agg(
-            F.sum("n").alias("n"),
-            F.count(F.lit(1)).alias("classes"),
-            F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_mean"),
-            F.sum(F.col("n") * F.col("var_pop")).alias("within"),
-            F.min("low").alias("low"),
-            F.max("high").alias("high"),
-            F.collect_list(F.struct("n", "mean")).alias("_groups"),
-        )
+    # A class in which every value is missing has neither mean nor variance.
+    overall = class_moments.groupBy("position", "feature").agg(
+        F.sum("n").alias("n"),
+        F.count_if(F.col("n") > 0).alias("classes"),
+        F.try_divide(F.sum(F.col("n") * F.col("mean")), F.sum("n")).alias("_mean"),
+        F.sum(F.col("n") * F.col("var_pop")).alias("within"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean"))).alias("_groups"),
     )
     constant = F.col("low") == F.col("high")
     between = F.aggregate(

@@ -12,6 +12,7 @@ from rowmill.functions import (
     quoted,
     require_columns,
     small_table,
+    stored,
 )
 from rowmill.operators.ranges import dense_index
 
@@ -91,10 +92,11 @@ def clean_data(
 ) -> DataFrame:
     """Complete, distinct rows; key, target and other columns stay attached.
 
-    With ``index`` a contiguous row number in key order is added.
+    With ``index`` a contiguous row number in key order is added; numbering reads
+    the keys more than once, so the cleaned table is stored first.
     """
     cleaned = dedup_rows(drop_incomplete(df, features), features, key)
-    return dense_index(cleaned, key, index) if index else cleaned
+    return dense_index(stored(cleaned), key, index) if index else cleaned
 
 
 def label_codes(df: DataFrame, label: str) -> DataFrame:

@@ -17,7 +17,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from rowmill.functions import SMALL_ROWS, key_hash, quoted, require_columns
+from rowmill.functions import SMALL_ROWS, key_hash, local_table, quoted, require_columns
 
 # Rows of one class sharing a digest prefix that are ranked in one task.
 RANK_LIMIT = 200_000
@@ -98,7 +98,7 @@ def split_quota(df: DataFrame, target: str, test_size: float | int = 0.2) -> Dat
             StructField("n_test", LongType()),
         ]
     )
-    return df.sparkSession.createDataFrame([tuple(q) for q in quotas], schema)
+    return local_table(df.sparkSession, quotas, schema)
 
 
 def split_cuts(
@@ -119,7 +119,7 @@ def split_cuts(
 
     def table(rows, *fields):
         schema = StructType([StructField("_class", class_type), *fields])
-        return F.broadcast(spark.createDataFrame(rows, schema))
+        return F.broadcast(local_table(spark, rows, schema))
 
     prefix_field = StructField("_prefix", StringType())
     wanted_field = StructField("_wanted", LongType())
@@ -159,7 +159,7 @@ def split_cuts(
         )
         cuts += [(r["_class"], r["_hash"]) for r in ranked.collect()]
     schema = StructType([StructField(target, class_type), StructField("cut", StringType())])
-    return spark.createDataFrame(sorted(cuts), schema)
+    return local_table(spark, sorted(cuts), schema)
 
 
 def assign_split(

@@ -17,6 +17,8 @@ class JobConfig:
 
     ``fit_on`` says which rows the scaler and the feature scores are fitted on:
     "train" keeps the test rows out; "all" uses every row before splitting.
+    ``partitions`` is the layout a forest is grown in, ``keep_stages`` also stores
+    the raw target and the table with all features scaled.
     """
 
     # Defaults of the job.
@@ -30,6 +32,7 @@ class JobConfig:
     metrics: tuple[str, ...] = METRICS
     fit_on: str = "train"
     partitions: int | None = None
+    keep_stages: bool = False
 
     def __post_init__(self):
         if self.fit_on not in ("train", "all"):
@@ -64,6 +67,7 @@ class JobConfig:
             "metrics": (config.get("evaluation") or {}).get("metrics"),
             "fit_on": own.get("fit_on"),
             "partitions": own.get("partitions"),
+            "keep_stages": own.get("keep_stages"),
         }
         given = {name: value for name, value in found.items() if value is not None}
         if "metrics" in given:

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from rowmill.functions import quoted, require_columns, small_table
+from rowmill.functions import join_path, quoted, require_columns, small_table
 from rowmill.operators import metrics as m
 from rowmill.operators.models import score, train_model
 from rowmill.operators.moments import combine_classes, moments
@@ -23,7 +23,7 @@ from rowmill.operators.selection import f_scores_from_moments, rank_features, se
 from rowmill.operators.splitting import assign_split, split_cuts
 from rowmill.plans.config import JobConfig
 from rowmill.sources import artifacts
-from rowmill.sources.tables import join_path, write_stage
+from rowmill.sources.tables import write_dataset, write_stage
 
 
 @dataclass(frozen=True)
@@ -76,12 +76,15 @@ def run_job(
     artifacts.save_scaler(scaler, place("feature_scaler"))
     ranking = small_table(rank_features(f_scores_from_moments(found), config.n_features))
     chosen = selected_names(ranking)
+    scales = scaler_values(scaler)
+    if config.keep_stages:
+        write_dataset(df.select(quoted(key), quoted(target)), place("raw_target"))
+        write_dataset(apply_scaler(cleaned, scales), place("normalized_data"))
 
     prepared = assigned.select(
         F.col(quoted(key)), F.col(quoted(target)), *[F.col(quoted(c)) for c in chosen], "split"
     )
     if config.use_scaling:
-        scales = scaler_values(scaler)
         prepared = apply_scaler(prepared, {c: scales[c] for c in chosen})
     # One pass writes both sides; reading one side opens only its folder.
     prepared.write.mode("overwrite").partitionBy("split").parquet(place("prepared_data"))

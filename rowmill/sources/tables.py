@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import posixpath
-import tempfile
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -12,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
+from rowmill.functions import join_path
 from rowmill.operators.prepare import label_table
 
 
@@ -47,20 +45,6 @@ def read_labeled(
     return label_table(table, key, label, positive, target)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, from spark.checkpoint.dir.
-
-    Only a local session without that setting gets a new temporary folder.
-    """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="rowmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
-
-
 # Catalogue type suffixes and the formats they stand for.
 DATASET_TYPES = {
     "CSVDataset": "csv",
@@ -105,9 +89,7 @@ class Catalog:
         return self.datasets[name]
 
     def path(self, name: str) -> str:
-        return posixpath.normpath(posixpath.join(self.base, self._entry(name).path)) if (
-            "://" not in self.base
-        ) else posixpath.join(self.base, self._entry(name).path)
+        return join_path(self.base, self._entry(name).path)
 
     def read(self, name: str, schema: StructType | None = None):
         """The table or, for format "model", the fitted model."""
@@ -157,8 +139,3 @@ def write_stage(df: DataFrame, path: str, format: str = "parquet") -> DataFrame:
     only the columns they need and never recompute what led to it."""
     write_dataset(df, path, format)
     return read_dataset(df.sparkSession, path, format, df.schema)
-
-
-def join_path(base: str, *parts: str) -> str:
-    """Path below a base folder, local or remote."""
-    return posixpath.join(base, *parts) if "://" in base else os.path.join(base, *parts)
