@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowmill.functions import match_flag, quoted, require_columns, safe_ratio, small_table
-from rowmill.operators.ranges import MAX_BUCKETS, ROWS_PER_BUCKET, range_bounds, range_bucket
+from rowmill.operators.ranges import MAX_BUCKETS, ROWS_PER_BUCKET, range_bounds, with_bucket
 
 # Names and order of the binary metrics.
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
@@ -130,12 +130,9 @@ def binary_metrics(
         return totals.where(F.col("n") > 0).select(*_columns(by), "n", *rates, *cells)
 
     bounds = range_bounds(flagged, "_score", rows_per_bucket, max_buckets)
-    data_type = flagged.schema["_score"].dataType.simpleString()
-    folded = (
-        flagged.groupBy(*_columns(by), "_score")
-        .agg(*counts)
-        .withColumn("_neg", F.col("n") - F.col("_pos"))
-        .withColumn("_range", range_bucket(F.col("_score"), bounds, data_type))
+    folded = flagged.groupBy(*_columns(by), "_score").agg(*counts)
+    folded = with_bucket(
+        folded.withColumn("_neg", F.col("n") - F.col("_pos")), "_score", bounds, "_range"
     )
     below = Window.partitionBy(*_columns(by), "_range").orderBy("_score")
     below = below.rowsBetween(Window.unboundedPreceding, -1)

@@ -10,10 +10,21 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DateType,
+    DoubleType,
+    FloatType,
+    NumericType,
+    StructField,
+    StructType,
+    TimestampType,
+)
 
-from rowmill.functions import quoted, require_columns, small_table
+from rowmill.functions import local_table, quoted, require_columns, small_table
 
 ROWS_PER_BUCKET = 1_000_000
 MAX_BUCKETS = 10_000
@@ -45,19 +56,61 @@ def range_bounds(
     return sorted(set(cuts))
 
 
-def range_bucket(column: Column, bounds: list, data_type: str) -> Column:
-    """Number of cut points not above the value: a binary search over ``bounds``."""
+def order_number(column: str, data_type: DataType) -> Column | None:
+    """The column as a double that never decreases where the column increases, or
+    None for types without one. Distinct values may share a number."""
+    value = F.col(quoted(column))
+    if isinstance(data_type, NumericType):
+        return value.cast("double")
+    if isinstance(data_type, DateType):
+        return F.unix_date(value).cast("double")
+    if isinstance(data_type, TimestampType):
+        return F.unix_micros(value).cast("double")
+    return None
+
+
+def with_bucket(df: DataFrame, column: str, bounds: list, name: str) -> DataFrame:
+    """Add the number of cut points not above the value.
+
+    Missing values come first and NaN last, as in Spark's ascending order.
+    """
     if not bounds:
-        return F.lit(0)
-    cuts = F.array(*[F.lit(b) for b in bounds]).cast(f"array<{data_type}>")
+        return df.withColumn(name, F.lit(0.0))
+    data_type = df.schema[column].dataType
+    number = order_number(column, data_type)
+    if number is None:
+        return df.withColumn(name, _searched(F.col(quoted(column)), bounds, data_type))
+    # The cut points go through the same conversion as the column.
+    cuts = local_table(
+        df.sparkSession,
+        [(b,) for b in bounds],
+        StructType([StructField(column, data_type)]),
+    ).select(number.alias("cut"))
+    splits = sorted({r["cut"] for r in cuts.collect()} - {float("-inf"), float("inf")})
+    if not splits:
+        return df.withColumn(name, F.lit(0.0))
+    known = df.withColumn("_number", F.coalesce(number, F.lit(float("-inf"))))
+    bucketizer = Bucketizer(
+        splits=[float("-inf"), *splits, float("inf")],
+        inputCol="_number",
+        outputCol=name,
+        handleInvalid="keep",
+    )
+    return bucketizer.transform(known).drop("_number")
+
+
+def _searched(value: Column, bounds: list, data_type: DataType) -> Column:
+    """Binary search over the cut points, for types without an order number."""
+    cuts = F.lit(bounds).cast(ArrayType(data_type))
     halves = len(bounds).bit_length()
-    steps = F.array(*[F.lit(1 << i) for i in reversed(range(halves))])
-    return F.aggregate(
+    steps = F.lit([1 << i for i in reversed(range(halves))])
+    found = F.aggregate(
         steps,
         F.lit(0),
-        lambda low, step: F.when(F.get(cuts, low + step - F.lit(1)) <= column, low + step)
+        lambda low, step: F.when(F.get(cuts, low + step - F.lit(1)) <= value, low + step)
         .otherwise(low),
     )
+    return found.cast("double")
 
 
 def dense_index(
@@ -70,8 +123,7 @@ def dense_index(
     """Add a contiguous index 0..n-1 in the order of a unique key."""
     require_columns(df, [key])
     bounds = range_bounds(df, key, rows_per_bucket, max_buckets)
-    data_type = df.schema[key].dataType.simpleString()
-    bucketed = df.withColumn("_bucket", range_bucket(F.col(quoted(key)), bounds, data_type))
+    bucketed = with_bucket(df, key, bounds, "_bucket")
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(quoted(key))))
     position = rank.cast("long") - F.lit(1)
     if not bounds:

@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from rowmill.operators.ranges import dense_index, range_bounds, range_bucket
+from rowmill.operators.ranges import dense_index, range_bounds, with_bucket
 
 
 @settings(
@@ -17,9 +17,24 @@ from rowmill.operators.ranges import dense_index, range_bounds, range_bucket
     values=st.lists(st.integers(-60, 60), min_size=1, max_size=30),
 )
 def test_bucket_is_the_number_of_bounds_not_above(spark, bounds, values):
-    df = spark.createDataFrame([(v,) for v in values], "v long")
-    found = df.select("v", range_bucket(F.col("v"), bounds, "bigint").alias("b")).collect()
+    df = spark.createDataFrame([(v, f"k{v + 100}") for v in values], "v long, t string")
+    names = [f"k{b + 100}" for b in bounds]
+    found = with_bucket(with_bucket(df, "v", bounds, "b"), "t", sorted(names), "c").collect()
     assert all(r["b"] == bisect.bisect_right(bounds, r["v"]) for r in found)
+    assert all(r["c"] == bisect.bisect_right(sorted(names), r["t"]) for r in found)
+
+
+def test_missing_values_come_first_and_nan_last(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (1.0,), (5.0,)], "v double")
+    found = {str(r["v"]): r["b"] for r in with_bucket(df, "v", [2.0, 4.0], "b").collect()}
+    assert found["None"] == found["1.0"] == 0 and found["5.0"] == 2 and found["nan"] > 2
+
+
+def test_whole_numbers_beyond_double_precision_stay_in_order(spark):
+    big = 2**60
+    df = spark.range(big, big + 500).toDF("k")
+    found = dense_index(df, "k", rows_per_bucket=50).collect()
+    assert all(r["index"] == r["k"] - big for r in found)
 
 
 def test_one_range_needs_no_bounds(events):
@@ -29,7 +44,7 @@ def test_one_range_needs_no_bounds(events):
 def test_bounds_balance_the_ranges(spark):
     df = spark.range(20_000).select((F.col("id") * F.col("id")).cast("double").alias("v"))
     bounds = range_bounds(df, "v", rows_per_bucket=1000)
-    counts = df.groupBy(range_bucket(F.col("v"), bounds, "double").alias("b")).count().collect()
+    counts = with_bucket(df, "v", bounds, "b").groupBy("b").count().collect()
     assert len(counts) == 20
     assert max(r["count"] for r in counts) < 4000
 
