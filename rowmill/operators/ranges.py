@@ -26,7 +26,7 @@ from pyspark.sql.types import (
 
 from rowmill.functions import local_table, quoted, require_columns, small_table
 
-ROWS_PER_BUCKET = 1_000_000
+ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 10_000
 SAMPLES_PER_BUCKET = 30
 

@@ -2,10 +2,12 @@
 
 Rows are ordered at random by a digest of their key, and each class gives its
 lowest digests to the training side. The class quotas are exact, so all that has
-to be found is one digest per class: the cut. It is found by counting digest
-prefixes per class (a grouped count, map-side combined, whatever the class
-sizes), narrowing to the prefix that holds the cut until few enough rows share
-it to rank them. With the cuts known, membership is a comparison per row: both
+to be found is one digest per class: the cut. Digests are spread evenly, so the
+cut lies within a few standard deviations of the quota's share of the digest
+range. One pass counts the rows below that bracket (a grouped count, combined
+inside each task) and keeps the digests inside it, of the order of the square
+root of the class size; ranking those gives the cut. If it is not among them the
+bracket is widened. With the cuts known, membership is a comparison per row: both
 sides are plain filters of the table, without shuffle or window.
 """
 
@@ -19,11 +21,10 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from rowmill.functions import SMALL_ROWS, key_hash, local_table, quoted, require_columns
 
-# Rows of one class sharing a digest prefix that are ranked in one task.
-RANK_LIMIT = 200_000
-# Hex digits counted per narrowing pass: at most 16**3 groups per class and task,
-# so what a task shuffles stays small next to what it reads.
-PREFIX_DIGITS = 3
+# Half width of the first bracket in standard deviations of the cut's position.
+SIGMAS = 6.0
+# Hex digits that place a bracket's ends; 'g' is above every hex digest.
+BRACKET_DIGITS = 12
 
 
 class Quota(NamedTuple):
@@ -101,65 +102,65 @@ def split_quota(df: DataFrame, target: str, test_size: float | int = 0.2) -> Dat
     return local_table(df.sparkSession, quotas, schema)
 
 
+def _bracket(quota: Quota, sigmas: float) -> tuple[str, str]:
+    """Digests [low, high) expected to hold the cut of a class."""
+    share = quota.train / quota.rows
+    margin = sigmas * math.sqrt(quota.rows * share * (1 - share)) + 1
+    steps = 16**BRACKET_DIGITS
+    low = math.floor((quota.train - margin) / quota.rows * steps)
+    high = math.ceil((quota.train + margin) / quota.rows * steps)
+    return (
+        f"{max(low, 0):0{BRACKET_DIGITS}x}",
+        f"{high:0{BRACKET_DIGITS}x}" if high < steps else "g",
+    )
+
+
 def split_cuts(
     df: DataFrame,
     key: str,
     target: str,
     test_size: float | int = 0.2,
     seed: int = 42,
-    rank_limit: int = RANK_LIMIT,
-    prefix_digits: int = PREFIX_DIGITS,
+    sigmas: float = SIGMAS,
 ) -> DataFrame:
-    """(class, cut): the highest training digest of each class."""
+    """(class, cut): the highest training digest of each class.
+
+    Reads class and key of the table twice: for the class counts and for the cuts.
+    """
     require_columns(df, [key, target])
     spark = df.sparkSession
-    class_type = df.schema[target].dataType
+    class_field = StructField("_class", df.schema[target].dataType)
     quotas = class_quotas(_class_counts(df, target), test_size)
     hashed = df.select(F.col(quoted(target)).alias("_class"), key_hash(key, seed).alias("_hash"))
-
-    def table(rows, *fields):
-        schema = StructType([StructField("_class", class_type), *fields])
-        return F.broadcast(local_table(spark, rows, schema))
-
-    prefix_field = StructField("_prefix", StringType())
-    wanted_field = StructField("_wanted", LongType())
-    # Per class: the prefix holding the cut, the rank of the cut among the rows
-    # with that prefix, and how many rows those are.
-    cuts = [(q.value, "") for q in quotas if q.train == 0]
-    pending = [(q.value, "", q.train, q.rows) for q in quotas if q.train > 0]
-    while any(rows > rank_limit for *_, rows in pending):
-        length = len(pending[0][1])
-        state = table([p[:3] for p in pending], prefix_field, wanted_field)
-        longer = F.substring("_hash", 1, length + prefix_digits)
-        counts = (
-            hashed.join(state, "_class")
-            .where(F.substring("_hash", 1, length) == F.col("_prefix"))
-            .groupBy("_class", "_wanted", longer.alias("_longer"))
+    texts = [StructField(c, StringType()) for c in ("_low", "_high")]
+    schema = StructType([class_field, StructField("_wanted", LongType()), *texts])
+
+    cuts = {q.value: "" for q in quotas if q.train == 0}
+    pending = [q for q in quotas if q.train > 0]
+    while pending:
+        brackets = [(q.value, q.train, *_bracket(q, sigmas)) for q in pending]
+        inside = F.when(F.col("_hash") >= F.col("_low"), F.col("_hash"))
+        counted = (
+            hashed.join(F.broadcast(local_table(spark, brackets, schema)), "_class")
+            .where(F.col("_hash") < F.col("_high"))
+            .groupBy("_class", "_wanted", inside.alias("_digest"))
             .agg(F.count(F.lit(1)).alias("_rows"))
         )
-        running = F.sum("_rows").over(Window.partitionBy("_class").orderBy("_longer"))
-        holding = (
-            counts.withColumn("_upto", running)
-            .where((F.col("_upto") >= F.col("_wanted")))
+        # The rows below the bracket are one row here, and come first.
+        upward = Window.partitionBy("_class").orderBy(F.col("_digest").asc_nulls_first())
+        upto = F.sum("_rows").over(upward.rowsBetween(Window.unboundedPreceding, 0))
+        found = (
+            counted.withColumn("_upto", upto)
+            .where(F.col("_digest").isNotNull() & (F.col("_upto") >= F.col("_wanted")))
             .where(F.col("_upto") - F.col("_rows") < F.col("_wanted"))
         )
-        pending = [
-            (r["_class"], r["_longer"], r["_wanted"] - (r["_upto"] - r["_rows"]), r["_rows"])
-            for r in holding.collect()
-        ]
-    if pending:
-        length = len(pending[0][1])
-        state = table([p[:3] for p in pending], prefix_field, wanted_field)
-        rank = F.row_number().over(Window.partitionBy("_class").orderBy("_hash"))
-        ranked = (
-            hashed.join(state, "_class")
-            .where(F.substring("_hash", 1, length) == F.col("_prefix"))
-            .withColumn("_rank", rank)
-            .where(F.col("_rank") == F.col("_wanted"))
-        )
-        cuts += [(r["_class"], r["_hash"]) for r in ranked.collect()]
-    schema = StructType([StructField(target, class_type), StructField("cut", StringType())])
-    return local_table(spark, sorted(cuts), schema)
+        cuts |= {r["_class"]: r["_digest"] for r in found.collect()}
+        pending = [q for q in pending if q.value not in cuts]
+        sigmas *= 8
+    schema = StructType(
+        [StructField(target, class_field.dataType), StructField("cut", StringType())]
+    )
+    return local_table(spark, sorted(cuts.items()), schema)
 
 
 def assign_split(
@@ -179,11 +180,10 @@ def stratified_split(
     target: str,
     test_size: float | int = 0.2,
     seed: int = 42,
-    rank_limit: int = RANK_LIMIT,
-    prefix_digits: int = PREFIX_DIGITS,
+    sigmas: float = SIGMAS,
 ) -> DataFrame:
     """Table with a ``split`` column; class quotas are met exactly."""
-    cuts = split_cuts(df, key, target, test_size, seed, rank_limit, prefix_digits)
+    cuts = split_cuts(df, key, target, test_size, seed, sigmas)
     return assign_split(df, cuts, key, target, seed)
 
 

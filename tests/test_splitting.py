@@ -63,10 +63,10 @@ def by_ranking(df, key, target, size, seed):
     return train
 
 
-@pytest.mark.parametrize("rank_limit,digits", [(200_000, 3), (40, 1), (3, 1), (1, 2)])
-def test_narrowing_finds_the_same_cut(events, rank_limit, digits):
+@pytest.mark.parametrize("sigmas", [6.0, 1.0, 0.01, 0.0])
+def test_narrow_brackets_find_the_same_cut(events, sigmas):
     assigned = splitting.stratified_split(
-        events, "event_id", "event_type", 0.3, 42, rank_limit, digits
+        events, "event_id", "event_type", 0.3, 42, sigmas or 1e-6
     )
     train = {r["event_id"] for r in assigned.where("split = 'train'").collect()}
     assert train == by_ranking(events, "event_id", "event_type", 0.3, 42)
@@ -76,7 +76,7 @@ def test_a_class_holding_most_rows(events):
     skewed = events.withColumn(
         "c", F.when(F.col("event_id") < 10, "rare").otherwise("common")
     )
-    assigned = splitting.stratified_split(skewed, "event_id", "c", 0.3, 1, rank_limit=5)
+    assigned = splitting.stratified_split(skewed, "event_id", "c", 0.3, 1, sigmas=0.5)
     train = {r["event_id"] for r in assigned.where("split = 'train'").collect()}
     assert train == by_ranking(skewed, "event_id", "c", 0.3, 1)
 
