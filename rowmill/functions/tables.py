@@ -7,6 +7,7 @@ import posixpath
 import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -54,12 +55,16 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local session without that setting gets a new temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="rowmill-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if folder:
+        return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="rowmill-")
 
 
 def new_folder(spark: SparkSession) -> str:

@@ -80,12 +80,20 @@ def class_quotas(counts: list[tuple[object, int]], test_size: float | int) -> li
     return quotas
 
 
-def _class_counts(df: DataFrame, target: str) -> list[tuple[object, int]]:
-    counted = df.groupBy(F.col(quoted(target)).alias("value")).count().limit(SMALL_ROWS + 1)
-    rows = [(r["value"], r["count"]) for r in counted.collect()]
-    if len(rows) > SMALL_ROWS:
+def _class_counts(
+    df: DataFrame, target: str, key: str | None = None
+) -> list[tuple[object, int]]:
+    """Rows per class; a missing key raises, since it would fall on no side for sure."""
+    absent = F.count_if(F.col(quoted(key)).isNull()) if key else F.lit(0)
+    counted = df.groupBy(F.col(quoted(target)).alias("value")).agg(
+        F.count(F.lit(1)).alias("rows"), absent.alias("absent")
+    )
+    found = counted.limit(SMALL_ROWS + 1).collect()
+    if len(found) > SMALL_ROWS:
         raise ValueError(f"{target} has more than {SMALL_ROWS} values; it is not a class label")
-    return rows
+    if any(r["absent"] for r in found):
+        raise ValueError(f"{sum(r['absent'] for r in found)} rows have no {key}")
+    return [(r["value"], r["rows"]) for r in found]
 
 
 def split_quota(df: DataFrame, target: str, test_size: float | int = 0.2) -> DataFrame:
@@ -130,7 +138,7 @@ def split_cuts(
     require_columns(df, [key, target])
     spark = df.sparkSession
     class_field = StructField("_class", df.schema[target].dataType)
-    quotas = class_quotas(_class_counts(df, target), test_size)
+    quotas = class_quotas(_class_counts(df, target, key), test_size)
     hashed = df.select(F.col(quoted(target)).alias("_class"), key_hash(key, seed).alias("_hash"))
     texts = [StructField(c, StringType()) for c in ("_low", "_high")]
     schema = StructType([class_field, StructField("_wanted", LongType()), *texts])

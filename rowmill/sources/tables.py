@@ -7,18 +7,22 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import StructType
 
-from rowmill.functions import join_path
+from rowmill.functions import join_path, quoted
 from rowmill.operators.prepare import label_table
 
 
 def labelled_schema(
-    names: Sequence[str], key: str = "id", label: str = "diagnosis", target: str = "target"
-) -> StructType:
-    """Types by column role: long key, string label, integer target, double features."""
-    types = {key: LongType(), label: StringType(), target: IntegerType()}
-    return StructType([StructField(n, types.get(n, DoubleType())) for n in names])
+    names: Sequence[str],
+    key: str = "id",
+    label: str = "diagnosis",
+    target: str = "target",
+    key_type: str = "bigint",
+) -> str:
+    """Types by column role: key, string label, integer target, double features."""
+    types = {key: key_type, label: "string", target: "int"}
+    return ", ".join(f"{quoted(name)} {types.get(name, 'double')}" for name in names)
 
 
 def read_labeled(
@@ -28,7 +32,8 @@ def read_labeled(
     label: str = "diagnosis",
     positive="M",
     target: str = "target",
-    schema: StructType | None = None,
+    schema: StructType | str | None = None,
+    key_type: str = "bigint",
 ) -> DataFrame:
     """(key, target, features) from CSV files with a header line.
 
@@ -38,7 +43,7 @@ def read_labeled(
     """
     if schema is None:
         header = spark.read.csv(path, header=True, inferSchema=False).columns
-        schema = labelled_schema(header, key or "id", label, target)
+        schema = labelled_schema(header, key or "id", label, target, key_type)
     table = spark.read.schema(schema).csv(
         path, header=True, mode="PERMISSIVE", enforceSchema=False
     )

@@ -1,6 +1,7 @@
 import json
 import math
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from conftest import rows
@@ -46,6 +47,12 @@ def test_csv_with_an_encoded_target_and_no_id(spark, tmp_path):
     assert sorted((r["target"], r["a"]) for r in table.collect()) == [(0, 3.0), (1, 2.0)]
 
 
+def test_csv_with_text_keys(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("id,diagnosis,a\nx1,M,2.0\nx2,B,3.0\n")
+    table = read_labeled(spark, str(tmp_path / "t.csv"), key_type="string")
+    assert rows(table) == [("x1", 1, 2.0), ("x2", 0, 3.0)]
+
+
 def test_missing_file_and_missing_label_raise(spark, tmp_path):
     with pytest.raises(AnalysisException):
         read_labeled(spark, str(tmp_path / "nothing.csv"))
@@ -127,6 +134,20 @@ def test_stored_tables_live_in_the_shared_folder(spark, events):
     assert kept.count() == events.count()
 
 
+def session_with(master, folder):
+    conf = SimpleNamespace(get=lambda name, default: folder or default)
+    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+
+def test_the_shared_folder_comes_from_the_session():
+    assert shared_folder(session_with("yarn", "hdfs://x/shared")) == "hdfs://x/shared"
+    assert shared_folder(session_with("local[2]", None)) == shared_folder(
+        session_with("local[2]", None)
+    )
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session_with("yarn", None))
+
+
 def test_small_tables_are_local_and_large_ones_unchanged(spark, events):
     types = events.select("event_type").distinct()
     assert small_table(types) is not types

@@ -113,6 +113,12 @@ def test_absolute_test_size(events):
     assert test.count() == 17
 
 
+def test_missing_keys_raise(events):
+    gaps = events.withColumn("event_id", F.when(F.col("event_id") > 3, F.col("event_id")))
+    with pytest.raises(ValueError, match="4 rows have no event_id"):
+        splitting.stratified_split(gaps, "event_id", "event_type")
+
+
 def test_a_class_without_training_rows(spark):
     rows = [(i, "big") for i in range(96)] + [(100 + i, c) for i, c in enumerate(["b", "b", "c", "c"])]
     df = spark.createDataFrame(rows, "k long, c string")
