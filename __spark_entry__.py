@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F  # noqa: E402
 
-from rowmill.functions import match_flag, new_folder  # noqa: E402
+from rowmill.functions import match_flag, new_folder, stored  # noqa: E402
 from rowmill.operators import comparison, metrics, models, prepare, profiles  # noqa: E402
 from rowmill.operators import scaling, selection, splitting  # noqa: E402
 from rowmill.operators.moments import long_features  # noqa: E402
@@ -444,7 +444,8 @@ def apply_params(spark, sf_dir):
     names = F.get(F.array(*[F.lit(c) for c in ITEM_FEATURES]), F.col("position"))
     values = long_features(orders, ITEM_FEATURES, ["l_orderkey", "l_linenumber"])
     scaled = scaling.apply_params(values.withColumn("feature", names).drop("position"), params)
-    return scaled.select("l_orderkey", "l_linenumber", "feature", rounded("scaled", 5).alias("scaled"))
+    kept = ["l_orderkey", "l_linenumber", "feature"]
+    return scaled.select(*kept, rounded("scaled", 5).alias("scaled"))
 
 
 # ---------------------------------------------------------------------------
@@ -452,7 +453,8 @@ def apply_params(spark, sf_dir):
 
 
 def scaler_columns(scaler: DataFrame) -> DataFrame:
-    return scaler.select("feature", rounded("mean", 4).alias("mean"), rounded("std", 4).alias("std"))
+    values = [rounded(c, 4).alias(c) for c in ("mean", "std")]
+    return scaler.select("feature", *values)
 
 
 def fit_scaler(spark, sf_dir):
@@ -579,16 +581,20 @@ def fitted_model(spark, sf_dir, algorithm, params=None):
     return model, train, assigned
 
 
+def training_metrics(spark, sf_dir, algorithm):
+    """Metrics on the training side; scored once, since the area reads scores again."""
+    model, train, _ = fitted_model(spark, sf_dir, algorithm)
+    scored = models.score(model, train).withColumnRenamed("target", "y_true")
+    kept = stored(scored.select("vec_id", "y_true", "y_pred", "y_pred_proba"))
+    return metrics.binary_metrics(kept, score="y_pred_proba")
+
+
 def train_random_forest(spark, sf_dir):
-    model, train, _ = fitted_model(spark, sf_dir, "random_forest")
-    scored = models.score(model, train).withColumn("y_true", F.col("target"))
-    return metrics.binary_metrics(scored, score="y_pred_proba")
+    return training_metrics(spark, sf_dir, "random_forest")
 
 
 def train_logistic_regression(spark, sf_dir):
-    model, train, _ = fitted_model(spark, sf_dir, "logistic_regression")
-    scored = models.score(model, train).withColumn("y_true", F.col("target"))
-    return metrics.binary_metrics(scored, score="y_pred_proba")
+    return training_metrics(spark, sf_dir, "logistic_regression")
 
 
 def held_out(assigned: DataFrame) -> DataFrame:
@@ -655,9 +661,8 @@ def class_distribution(spark, sf_dir):
 
 def feature_profile(spark, sf_dir):
     found = profiles.feature_profile(table(spark, sf_dir, "lineitem"), ITEM_FEATURES)
-    return found.select(
-        "feature", "n", "n_missing", rounded("mean", 4).alias("mean"), rounded("std", 4).alias("std")
-    )
+    values = [rounded(c, 4).alias(c) for c in ("mean", "std")]
+    return found.select("feature", "n", "n_missing", *values)
 
 
 def profile_summary(spark, sf_dir):
