@@ -31,6 +31,11 @@ from rowmill.sources.tables import (  # noqa: E402
     write_stage,
 )
 
+try:
+    from rowmill.llm import queries as corpus
+except ImportError:
+    corpus = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 ITEM_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 DIMENSIONS = 64
@@ -706,7 +711,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """One entry per operator."""
-    return {
+    own = {
         "load_labeled": load_labeled,
         "load_label_fallback": load_label_fallback,
         "read_write_dataset": named_datasets,
@@ -767,6 +772,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "null_counts": null_counts,
         "split_balance": split_balance,
     }
+    return own | (corpus.QUERIES if corpus else {})
 
 
 def per_feature(expression: str, separator: str = ", ") -> str:
@@ -801,7 +807,7 @@ def oracle_sql() -> dict[str, str]:
       SELECT event_id, event_type, band, user_id{{index}} FROM kept WHERE place = 1"""
     encoded = """SELECT {key}, {label},
         CAST(dense_rank() OVER (ORDER BY {label}) - 1 AS INTEGER) AS code FROM {table}"""
-    return {
+    own = {
         "load_labeled": RAW_ITEMS,
         "load_label_fallback": """SELECT doc_id, quality AS target,
             CAST(toxic AS DOUBLE) AS toxic FROM labels""",
@@ -956,3 +962,4 @@ def oracle_sql() -> dict[str, str]:
               / sum(count(*) FILTER (split = 'test')) OVER (), 6) + 0e0 AS test_share
           FROM assigned GROUP BY event_type""",
     }
+    return own | (corpus.ORACLES if corpus else {})
