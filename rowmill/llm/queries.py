@@ -5,20 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm import bpe
-from rowmill.llm.common import table
+from rowmill.llm import bpe, token_files, warc
+from rowmill.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: The id that ends each document in token files.
+END_ID = 2
+
+
+def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"), scratch(spark))
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_token_files(
+        table(spark, sf_dir, "documents"), TOKENIZER, END_ID, scratch(spark)
+    )
+    return token_files.read_token_files(manifest).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
+    )
+
+
 def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_warc_archive": op4_warc_archive,
+    "op8_token_files": op8_token_files,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op4_warc_archive": """WITH p AS (
+        SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+      d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS h FROM p),
+      g AS (SELECT *, min(page_id) OVER (PARTITION BY h, n) AS first FROM d)
+      SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+        array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+          CAST(((CAST('0x' || substr(h, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT)
+            >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31) + 1 AS INTEGER), 1)), '') AS payload_digest,
+        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+      FROM g""",
+}
