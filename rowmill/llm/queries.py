@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm import bpe, token_files, warc
+from rowmill.llm import bpe, decontaminate, token_files, warc
 from rowmill.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -21,6 +21,12 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), scratch(spark))
 
 
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(
         table(spark, sf_dir, "documents"), TOKENIZER, END_ID, scratch(spark)
@@ -36,10 +42,15 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_archive": op4_warc_archive,
+    "op6_decontaminate": op6_decontaminate,
     "op8_token_files": op8_token_files,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
 
+BENCHMARK_WORDS = r"""regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
 ORACLES: dict[str, str] = {
     "op4_warc_archive": """WITH p AS (
         SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
@@ -52,4 +63,25 @@ ORACLES: dict[str, str] = {
         CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
         CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
       FROM g""",
+    "op6_decontaminate": rf"""WITH d AS (
+        SELECT doc_id, row_number() OVER () AS r, {BENCHMARK_WORDS} AS w FROM documents),
+      b AS (SELECT item_id, {BENCHMARK_WORDS} AS w FROM benchmark),
+      starts AS (SELECT item_id, w, least(10, len(w)) AS size,
+          unnest(range(1, len(w) - least(10, len(w)) + 2)) AS s FROM b WHERE len(w) > 0),
+      windows AS (SELECT DISTINCT item_id, size, array_to_string(w[s:s + size - 1], ' ') AS k FROM starts),
+      sizes AS (SELECT DISTINCT size FROM windows),
+      places AS (SELECT r, w, size, unnest(range(1, len(w) - size + 2)) AS s FROM d, sizes
+          WHERE len(w) >= size),
+      hits AS (SELECT r, p.size, s, item_id FROM
+          (SELECT r, size, s, array_to_string(w[s:s + size - 1], ' ') AS k FROM places) p
+          JOIN windows v ON p.size = v.size AND p.k = v.k),
+      marked AS (SELECT r, count(DISTINCT word) AS n_hit FROM
+          (SELECT r, unnest(range(s, s + size)) AS word FROM hits) GROUP BY r),
+      listed AS (SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+          FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM hits
+                WHERE item_id IS NOT NULL) GROUP BY r)
+      SELECT doc_id, CAST(coalesce(len(w), 0) AS BIGINT) AS n_words,
+        CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+      FROM d LEFT JOIN marked USING (r) LEFT JOIN listed USING (r)""",
 }
