@@ -84,13 +84,15 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def rolled(values: np.ndarray, width: int) -> np.ndarray:
-    """A hash of each ``width`` neighbours in order; one per start, over text bounds too."""
+    """A hash of each ``width`` neighbours in order; one per start, over text bounds too.
+    The values have to be well mixed."""
     n = len(values) - width + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for i in range(width):
-        out = mix(out + np.uint64(0x9E3779B97F4A7C15)) ^ values[i : n + i]
+    out = values[:n].copy()
+    for i in range(1, width):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += values[i : n + i]
     return mix(out)
 
 

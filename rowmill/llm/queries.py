@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm import bpe, decontaminate, token_files, warc
+from rowmill.llm import bpe, decontaminate, quality, setsketch, substring_dedup, token_files, unigram, warc
 from rowmill.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -15,6 +15,15 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 #: The id that ends each document in token files.
 END_ID = 2
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return setsketch.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80).drop("class_id")
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return unigram.token_counts(table(spark, sf_dir, "documents"), PIECES, byte_fallback=True)
 
 
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +36,15 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), report=True)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_token_files(
         table(spark, sf_dir, "documents"), TOKENIZER, END_ID, scratch(spark)
@@ -41,8 +59,12 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_duplicates": op1_near_duplicates,
+    "op3_token_counts": op3_token_counts,
     "op4_warc_archive": op4_warc_archive,
     "op6_decontaminate": op6_decontaminate,
+    "op7_quality_rules": op7_quality_rules,
+    "op9_substring_dedup": op9_substring_dedup,
     "op8_token_files": op8_token_files,
     "op10_bpe_round_trip": op10_bpe_round_trip,
 }
@@ -52,6 +74,24 @@ BENCHMARK_WORDS = r"""regexp_extract_all(
   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 
 ORACLES: dict[str, str] = {
+    "op1_near_duplicates": r"""WITH RECURSIVE t AS (
+        SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(
+          translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+          '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+      sets AS (SELECT doc_id, r, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN w
+          ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+        FROM t),
+      members AS (SELECT doc_id, unnest(s) AS x FROM sets),
+      pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+        FROM members a JOIN members b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+      links AS (SELECT a, b FROM pairs JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+        WHERE 100 * common >= 80 * (len(p.s) + len(q.s) - common)),
+      sym AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+      reach AS (SELECT doc_id AS a, doc_id AS b FROM sets
+        UNION SELECT reach.a, sym.b FROM reach JOIN sym ON reach.b = sym.a),
+      found AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+      SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id,
+        doc_id = component_id AS kept FROM sets JOIN found USING (doc_id)""",
     "op4_warc_archive": """WITH p AS (
         SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
       d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS h FROM p),
