@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm import bpe, decontaminate, quality, setsketch, substring_dedup, token_files, unigram, warc
+from rowmill.llm import bpe, ctw, decontaminate, quality, setsketch, substring_dedup, token_files, unigram, warc
 from rowmill.llm.common import scratch, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -30,6 +30,11 @@ def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages"), scratch(spark))
 
 
+def op5_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    return ctw.score_texts(table(spark, sf_dir, "documents"), fold == 1)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op3_token_counts": op3_token_counts,
     "op4_warc_archive": op4_warc_archive,
+    "op5_context_tree_scores": op5_context_tree_scores,
     "op6_decontaminate": op6_decontaminate,
     "op7_quality_rules": op7_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
