@@ -19,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """The default place of a public tokenizer's file; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def keyed_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Just (doc_id, text); whatever else the table holds can't clash with results."""
     return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))

@@ -172,8 +172,9 @@ def remove_benchmark(
     if mode not in ("spans", "documents"):
         raise ValueError(f"mode {mode!r} is neither spans nor documents")
     rows = _scanned(docs, text, benchmark, item_key, item_text, window, block_bytes, True)
+    names = docs.columns
     if mode == "documents":
-        return rows.where(F.size(f"{HITS}.spans") == 0).select(*docs.columns)
+        return rows.where(F.size(f"{HITS}.spans") == 0).select(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches, text):
@@ -181,8 +182,7 @@ def remove_benchmark(
             texts = part.column(text)
             if any(spans):
                 texts = pa.array([_cut(t, s) for t, s in zip(texts.to_pylist(), spans)], pa.string())
-            columns = [texts if c == text else part.column(c) for c in docs.columns]
-            yield pa.record_batch(columns, docs.columns)
+            yield pa.record_batch([texts if c == text else part.column(c) for c in names], names)
 
     return rows.mapInArrow(run, docs.schema)
 

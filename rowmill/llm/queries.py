@@ -4,24 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm import bpe, ctw, decontaminate, quality, setsketch, substring_dedup, token_files, unigram, warc
-from rowmill.llm.common import scratch, table
-
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
-
+import corpus_pipeline
+from rowmill.llm import bpe, ctw, decontaminate, html_text, quality, setsketch, substring_dedup
+from rowmill.llm import token_files, unigram, warc
+from rowmill.llm.common import scratch, table, tokenizer_path
 
+TOKENIZER = tokenizer_path("byte_bpe_50k.json")
+PIECES = tokenizer_path("piece_bpe_32k.model")
 #: The id that ends each document in token files.
 END_ID = 2
-PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_duplicates(table(spark, sf_dir, "documents"), width=2, percent=80).drop("class_id")
 
 
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.extract(pages, html_text.fit(pages))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unigram.token_counts(table(spark, sf_dir, "documents"), PIECES, byte_fallback=True)
 
@@ -65,6 +69,7 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_main_text": op2_main_text,
     "op3_token_counts": op3_token_counts,
     "op4_warc_archive": op4_warc_archive,
     "op5_context_tree_scores": op5_context_tree_scores,
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op8_token_files": op8_token_files,
     "op10_bpe_round_trip": op10_bpe_round_trip,
+    "pipeline": corpus_pipeline.run,
 }
 
 BENCHMARK_WORDS = r"""regexp_extract_all(
