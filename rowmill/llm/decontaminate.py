@@ -242,9 +242,9 @@ def _scanned(
     return rows
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document: doc_id, n_words, n_hit, n_items, items_sha256, contaminated."""
-    found = find_benchmark(docs, benchmark)
+    found = find_benchmark(docs, benchmark, block_bytes=block_bytes)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.stop - s.start)
     names = F.array_join(F.array_sort(F.transform("item_ids", lambda i: i.cast("string"))), ",")
     return found.select(
