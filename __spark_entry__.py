@@ -360,7 +360,7 @@ def save_load_model(spark, sf_dir):
 def write_run_result(spark, sf_dir):
     folder = new_folder(spark)
     results = runs(spark, sf_dir)
-    for name in ("first", "longer", "first"):
+    for name in ("first", "echo", "longer", "swapped", "first"):
         one = results.where(F.col("run_id") == name).drop("run_id")
         artifacts.write_run_result(one, folder, name, "doc_id")
     return artifacts.read_run_results(spark, folder)
@@ -433,7 +433,9 @@ def clean_data(spark, sf_dir):
 
 def attach_target(spark, sf_dir):
     features = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
-    return comparison.attach_target(features, table(spark, sf_dir, "labels"), "doc_id")
+    return comparison.attach_target(
+        features, table(spark, sf_dir, "labels"), "doc_id", partial=True
+    )
 
 
 def join_predictions(spark, sf_dir):
@@ -832,7 +834,7 @@ def oracle_sql() -> dict[str, str]:
             CAST(0 AS BIGINT) AS n_changed FROM embeddings""",
         "save_load_scaler": scaler,
         "write_run_result": f"""WITH {RUNS} SELECT doc_id, run_id, y_true, y_pred, y_pred_proba
-          FROM runs WHERE run_id IN ('first', 'longer')""",
+          FROM runs""",
         "derive_binary_target": RAW_ITEMS,
         "drop_columns": "SELECT l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem",
         "project_selected": f"""WITH {F_SCORES}

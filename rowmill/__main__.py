@@ -50,8 +50,10 @@ def main(arguments: list[str] | None = None) -> None:
         print(report_text(result.report))
     else:
         runs = read_run_results(spark, options.runs)
-        # One row per run.
-        run_summary(runs, options.first, options.key).orderBy("run_id").show(1000, truncate=False)
+        summary = run_summary(runs, options.first, options.key).orderBy("run_id")
+        print(*summary.columns, sep="\t")
+        for row in summary.toLocalIterator():  # every run, a line each
+            print(*row, sep="\t")
 
 
 if __name__ == "__main__":

@@ -10,10 +10,10 @@ from rowmill.functions.columns import (
     within_tolerance,
 )
 from rowmill.functions.tables import (
-    SMALL_ROWS,
     join_path,
     local_table,
     new_folder,
+    remove_folders,
     require_columns,
     shared_folder,
     small_table,
@@ -21,7 +21,6 @@ from rowmill.functions.tables import (
 )
 
 __all__ = [
-    "SMALL_ROWS",
     "binary_target",
     "join_path",
     "key_hash",
@@ -30,6 +29,7 @@ __all__ = [
     "missing_condition",
     "new_folder",
     "quoted",
+    "remove_folders",
     "require_columns",
     "safe_ratio",
     "shared_folder",

@@ -1,33 +1,30 @@
-"""Helpers for small tables of checked size and for tables stored between steps."""
+"""Helpers for tables that are small by construction and for tables stored between steps."""
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import posixpath
-import tempfile
 import uuid
 from collections.abc import Iterable, Sequence
-from functools import cache
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-# Rows up to which a parameter table is fetched and handed back as a local
-# relation. Its exact size is then known to the optimiser, which broadcasts it
-# below spark.sql.autoBroadcastJoinThreshold and shuffles it beyond.
-SMALL_ROWS = 100_000
+# Folders that this process has asked for and not yet removed.
+_folders: list[tuple[SparkSession, str]] = []
 
 
-def small_table(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
-    """Evaluate a parameter table once if it has at most ``limit`` rows.
+def small_table(df: DataFrame) -> DataFrame:
+    """Evaluate a table once and hand it back as a local relation.
 
-    A larger table is returned unchanged and joins as any other table does.
+    Only for tables that are small by construction: one row in all, or one per
+    feature. Its exact size is then known to the optimiser.
     """
-    rows = df.limit(limit + 1).toArrow()
-    if rows.num_rows > limit:
-        return df
-    return df.sparkSession.createDataFrame(rows, schema=df.schema)
+    return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
@@ -50,26 +47,30 @@ def join_path(base: str, *parts: str) -> str:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, from spark.checkpoint.dir.
-
-    Only a local session without that setting gets a new temporary folder.
-    """
+    """Folder every executor can reach: spark.checkpoint.dir, or where that is not set a
+    folder in the session's warehouse. The rule is the same on every master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    return _local_folder()
-
-
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="rowmill-")
+    return folder or join_path(spark.conf.get("spark.sql.warehouse.dir"), "rowmill-stages")
 
 
 def new_folder(spark: SparkSession) -> str:
-    """An unused path below the shared folder."""
-    return join_path(shared_folder(spark), f"rowmill-{uuid.uuid4().hex}")
+    """An unused path below the shared folder, removed when the process ends or by
+    ``remove_folders``."""
+    path = join_path(shared_folder(spark), f"rowmill-{uuid.uuid4().hex}")
+    if not _folders:
+        atexit.register(remove_folders)
+    _folders.append((spark, path))
+    return path
+
+
+def remove_folders() -> None:
+    """Delete the folders that ``new_folder`` gave out; tables stored there are gone."""
+    while _folders:
+        spark, path = _folders.pop()
+        with contextlib.suppress(Py4JError, OSError):  # the JVM may have ended before
+            jvm = spark._jvm
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(jvm.org.apache.hadoop.conf.Configuration()).delete(target, True)
 
 
 def stored(df: DataFrame, path: str | None = None) -> DataFrame:

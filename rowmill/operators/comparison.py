@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.functions import match_flag, quoted, require_columns, small_table, within_tolerance
+from rowmill.functions import match_flag, quoted, require_columns, stored, within_tolerance
 from rowmill.operators.metrics import metrics_by_run
 
 # Tolerances of the score comparison.
@@ -21,14 +21,19 @@ def require_unique(df: DataFrame, key: str) -> None:
 
 
 def attach_target(
-    features: DataFrame, targets: DataFrame, key: str, check: bool = True
+    features: DataFrame, targets: DataFrame, key: str, check: bool = True, partial: bool = False
 ) -> DataFrame:
-    """Features with the target row of the same key. With ``check`` a repeated key
-    on the target side raises instead of multiplying rows."""
+    """Features with the target row of the same key. With ``check`` a repeated key on the
+    target side raises instead of multiplying rows. Features without a target raise too,
+    unless the targets are known to be ``partial``; such features are then left out."""
     require_columns(features, [key])
     require_columns(targets, [key])
     if check:
         require_unique(targets, key)
+    if not partial:
+        alone = unmatched_keys(features, targets, key).first()["n_left_only"]
+        if alone:
+            raise ValueError(f"{alone} values of {key} have features but no target")
     return features.join(targets, key)
 
 
@@ -46,11 +51,11 @@ def unmatched_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def join_predictions(
-    truth: DataFrame, predictions: DataFrame, key: str, check: bool = False
+    truth: DataFrame, predictions: DataFrame, key: str, check: bool = True
 ) -> DataFrame:
     """Truth and stored predictions of the same key, with the match flag.
 
-    With ``check`` a key found on one side only raises ValueError.
+    A key found on one side only raises ValueError, unless ``check`` is off.
     """
     if check:
         found = unmatched_keys(truth, predictions, key).first()
@@ -79,7 +84,8 @@ def compare_runs(
     not, predictions and scores count as different too.
 
     Each other run's rows meet the first run's in one join on the key, followed by
-    a grouped count per run; keys missing on either side show in the counts.
+    a grouped count per run; keys missing on either side show in the counts. A first run
+    without rows raises ValueError; a key that a run holds twice fails the query.
     """
     require_columns(runs, [run_id, key, "y_true", "y_pred", "y_pred_proba"])
     base = runs.where(F.col(quoted(run_id)) == F.lit(first)).select(
@@ -97,6 +103,10 @@ def compare_runs(
         F.lit(True).alias("_other"),
     )
     n_first = base.count()
+    if not n_first:
+        raise ValueError(f"no run {first!r} in {run_id}")
+    base = _once_per_key(base, ["_key"], first)
+    others = _once_per_key(others, [run_id, "_key"], "compared with it")
     joined = others.join(base.withColumn("_base", F.lit(True)), "_key", "left")
     matched = F.col("_base").isNotNull()
     close = within_tolerance(F.col("_score"), F.col("y_pred_proba"), rtol, atol)
@@ -121,6 +131,18 @@ def compare_runs(
     )
 
 
+def _once_per_key(rows: DataFrame, names: list[str], run: str) -> DataFrame:
+    """The rows, folded by key; the query fails where a key is repeated."""
+    once = F.when(F.count(F.lit(1)) == 1, F.lit(True)).otherwise(
+        F.raise_error(F.lit(f"a run ({run}) holds a key more than once")).cast("boolean")
+    )
+    rest = [c for c in rows.columns if c not in names]
+    folded = rows.groupBy(*[quoted(c) for c in names]).agg(
+        *[F.max(quoted(c)).alias(c) for c in rest], once.alias("_once")
+    )
+    return folded.where("_once").drop("_once")
+
+
 def compare_labels(runs: DataFrame, first: str, key: str, run_id: str = "run_id") -> DataFrame:
     """(run_id, same_labels)."""
     return compare_runs(runs, first, key, run_id).select(F.col(quoted(run_id)), "same_labels")
@@ -149,4 +171,4 @@ def run_summary(runs: DataFrame, first: str, key: str, run_id: str = "run_id") -
     flags = compare_runs(runs, first, key, run_id).select(
         F.col(quoted(run_id)), "same_labels", "same_predictions", "same_scores"
     )
-    return metrics_by_run(runs, run_id).join(small_table(flags), run_id, "left")
+    return metrics_by_run(runs, run_id).join(stored(flags), run_id, "left")

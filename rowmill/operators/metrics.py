@@ -10,8 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowmill.functions import match_flag, quoted, require_columns, safe_ratio, small_table
-from rowmill.operators.ranges import MAX_BUCKETS, ROWS_PER_BUCKET, range_bounds, with_bucket
+from rowmill.functions import match_flag, quoted, require_columns, safe_ratio, stored
+from rowmill.operators.ranges import ROWS_PER_BUCKET, dense_index, with_range
 
 # Names and order of the binary metrics.
 METRICS = ("accuracy", "precision", "recall", "f1", "roc_auc")
@@ -35,23 +35,38 @@ def confusion_matrix(
     y_true: str = "y_true",
     y_pred: str = "y_pred",
     labels: Sequence | None = None,
+    dense: bool = True,
 ) -> DataFrame:
-    """(y_true, y_pred, n) for every pair of labels, 0 where none occurs."""
-    return matrix_from_cells(small_table(confusion_cells(df, y_true, y_pred)), labels)
+    """(y_true, y_pred, n) for every pair of labels, 0 where none occurs; the sum of n is
+    the number of rows.
+
+    The labels are those found in either column and the given ones. A missing label
+    raises ValueError. A dense matrix has a row per pair of labels; with ``dense`` off
+    only pairs that occur have one, which suits columns of very many values.
+    """
+    cells = stored(confusion_cells(df, y_true, y_pred))
+    require_labels(cells)
+    return matrix_from_cells(cells, labels) if dense else cells
+
+
+def require_labels(cells: DataFrame) -> None:
+    """Raise ValueError with the number of rows that lack a label."""
+    gap = F.col("y_true").isNull() | F.col("y_pred").isNull()
+    missing = cells.agg(F.sum(F.when(gap, F.col("n")))).first()[0]
+    if missing:
+        raise ValueError(f"{missing} rows have a missing label")
 
 
 def matrix_from_cells(cells: DataFrame, labels: Sequence | None = None) -> DataFrame:
-    """Fill the grid of all label pairs from the counted ones.
+    """Fill the grid of all label pairs from the counted ones, which are read twice.
 
-    The labels are those found in either column, or the given ones. The grid and
-    the join that fills it have one row per pair of labels, whatever the table's
-    size; the counted cells are the only thing derived from the rows.
+    The grid has one row per pair of labels, found or given, whatever the table's size.
     """
-    if labels is None:
-        found = cells.agg(F.collect_set("y_true").alias("_t"), F.collect_set("y_pred").alias("_p"))
-        axis = found.select(F.array_union("_t", "_p").alias("_labels"))
-    else:
-        axis = cells.sparkSession.range(1).select(F.lit(list(labels)).alias("_labels"))
+    found = cells.agg(F.collect_set("y_true").alias("_t"), F.collect_set("y_pred").alias("_p"))
+    axis = F.array_union("_t", "_p")
+    if labels:
+        axis = F.array_union(axis, F.lit(list(labels)).cast(f"array<{dict(cells.dtypes)['y_true']}>"))
+    axis = found.select(axis.alias("_labels"))
     grid = axis.select("_labels", F.explode("_labels").alias("y_true")).select(
         "y_true", F.explode("_labels").alias("y_pred")
     )
@@ -60,7 +75,10 @@ def matrix_from_cells(cells: DataFrame, labels: Sequence | None = None) -> DataF
 
 
 def confusion_table(matrix: DataFrame, labels: Sequence) -> DataFrame:
-    """The matrix with one row per actual and one column per predicted label."""
+    """The matrix with one row per actual and one column per predicted label: the given
+    labels in their order, then others that occur."""
+    found = {r[0] for r in matrix.select("y_true").union(matrix.select("y_pred")).distinct().collect()}
+    labels = [*labels, *sorted(found - set(labels))]
     counts = [
         F.sum(F.when(F.col("y_pred") == F.lit(v), F.col("n")).otherwise(F.lit(0).cast("long")))
         .alias(f"Predicted {v}")
@@ -88,7 +106,6 @@ def binary_metrics(
     by: Sequence[str] = (),
     positive=1,
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
 ) -> DataFrame:
     """accuracy, precision, recall, f1, the cells tn, fp, fn, tp and, when a score
     is given, roc_auc; one row per ``by`` group. A rate with nothing to divide by
@@ -97,9 +114,12 @@ def binary_metrics(
     roc_auc is exact: the share of (positive, negative) pairs ranked rightly,
     ties counting half. It is NULL if a class or a score is missing. Rows are
     first folded per distinct score, so equal scores, however many, meet as one
-    row per task. The distinct scores are then cut into ranges: each range counts
-    the negatives below a score inside the range, and one row per range carries
-    the count below the whole range.
+    row per task; the folded table is stored, and the rows aren't read again. The
+    distinct scores are then cut into ranges: each range counts the negatives below a
+    score inside the range, and one row per range carries the count below the whole range.
+
+    The query fails if a label is missing or a group holds more than one label
+    besides ``positive``: such rows have no place in two classes.
     """
     require_columns(df, [*by, y_true, y_pred, *([score] if score else [])])
     actual = match_flag(F.col(quoted(y_true)), F.lit(positive)).cast("long")
@@ -110,13 +130,21 @@ def binary_metrics(
         F.sum(F.col("_actual") * F.col("_called")).alias("tp"),
         F.sum((F.lit(1) - F.col("_actual")) * F.col("_called")).alias("fp"),
         F.sum("_actual").alias("_pos"),
+        F.count_if(F.col("_gap")).alias("_gaps"),
+        F.min("_low").alias("_low"),
+        F.max("_high").alias("_high"),
     ]
+    truth, call = F.col(quoted(y_true)), F.col(quoted(y_pred))
+    others = [F.when(c != F.lit(positive), c) for c in (truth, call)]
     flagged = df.select(
         *_columns(by),
         *([F.col(quoted(score)).alias("_score")] if score else []),
         actual.alias("_actual"),
         called.alias("_called"),
-        match_flag(F.col(quoted(y_true)), F.col(quoted(y_pred))).cast("long").alias("_hit"),
+        match_flag(truth, call).cast("long").alias("_hit"),
+        (truth.isNull() | call.isNull()).alias("_gap"),
+        F.least(*others).alias("_low"),
+        F.greatest(*others).alias("_high"),
     )
     rates = _rates(F.col("n"), F.col("_hits"), F.col("tp"), F.col("fp"), F.col("_pos"))
     cells = [
@@ -127,18 +155,19 @@ def binary_metrics(
     ]
     if score is None:
         totals = flagged.groupBy(*_columns(by)).agg(*counts)
-        return totals.where(F.col("n") > 0).select(*_columns(by), "n", *rates, *cells)
+        return totals.where((F.col("n") > 0) & _two_classes()).select(*_columns(by), "n", *rates, *cells)
 
-    bounds = range_bounds(flagged, "_score", rows_per_bucket, max_buckets)
-    folded = flagged.groupBy(*_columns(by), "_score").agg(*counts)
-    folded = with_bucket(
-        folded.withColumn("_neg", F.col("n") - F.col("_pos")), "_score", bounds, "_range"
+    folded = stored(flagged.groupBy(*_columns(by), "_score").agg(*counts))
+    folded = with_range(
+        folded.withColumn("_neg", F.col("n") - F.col("_pos")),
+        [*by, "_score"], "_range", rows_per_bucket,
     )
     below = Window.partitionBy(*_columns(by), "_range").orderBy("_score")
     below = below.rowsBetween(Window.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("_neg").over(below), F.lit(0)).cast("double")
     unknown = F.col("_score").isNull() | F.isnan(F.col("_score").cast("double"))
-    sums = ["n", "_hits", "tp", "fp", "_pos", "_neg"]
+    sums = ["n", "_hits", "tp", "fp", "_pos", "_neg", "_gaps"]
+    ends = [F.min("_low").alias("_low"), F.max("_high").alias("_high")]
     ranges = (
         folded.withColumn("_won", F.col("_pos") * (inside + F.col("_neg") / F.lit(2.0)))
         .groupBy(*_columns(by), "_range")
@@ -146,6 +175,7 @@ def binary_metrics(
             *[F.sum(c).alias(c) for c in sums],
             F.sum("_won").alias("_won"),
             F.count_if(unknown).alias("_unknown"),
+            *ends,
         )
     )
     # One row per group and range from here on.
@@ -159,15 +189,33 @@ def binary_metrics(
             *[F.sum(c).alias(c) for c in sums],
             F.sum("_won").alias("_won"),
             F.sum("_unknown").alias("_unknown"),
+            *ends,
         )
     )
     pairs = F.col("_pos").cast("double") * F.col("_neg").cast("double")
     area = F.when(F.col("_unknown") == 0, F.try_divide(F.col("_won"), pairs))
-    return totals.where(F.col("n") > 0).select(
+    return totals.where((F.col("n") > 0) & _two_classes()).select(
         *_columns(by), "n", *rates, area.alias("roc_auc"), *cells
     )
 
 
+def _two_classes() -> Column:
+    """True; fails for a group with missing labels or labels of a third class."""
+    def refused(text: Column) -> Column:
+        return F.raise_error(text).cast("boolean")
+
+    gaps = F.concat(F.col("_gaps").cast("string"), F.lit(" rows have a missing label"))
+    third = F.concat(
+        F.lit("more than two classes, among them "),
+        F.col("_low").cast("string"), F.lit(" and "), F.col("_high").cast("string"),
+    )
+    return (
+        F.when(F.col("_gaps") > 0, refused(gaps))
+        .when(F.col("_low") != F.col("_high"), refused(third))
+        .otherwise(F.lit(True))
+    )
+
+
 def roc_auc(
     df: DataFrame, y_true: str, score: str, by: Sequence[str] = (), **ranges
 ) -> DataFrame:
@@ -196,7 +244,9 @@ def classification_report(
     The accuracy row has its value in ``f1`` and no precision or recall, as in
     the printed report.
     """
-    return report_from_cells(small_table(confusion_cells(df, y_true, y_pred)))
+    cells = stored(confusion_cells(df, y_true, y_pred))
+    require_labels(cells)
+    return report_from_cells(cells)
 
 
 def report_from_cells(cells: DataFrame) -> DataFrame:
@@ -225,8 +275,8 @@ def report_from_cells(cells: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("support", "predicted", "tp")]
     )
     # One row per class from here on.
-    per_class = classes.select(
-        F.row_number().over(Window.orderBy("value")).cast("long").alias("position"),
+    per_class = dense_index(stored(classes), "value", "_place").select(
+        (F.col("_place") + 1).alias("position"),
         F.col("value").cast("string").alias("label"),
         safe_ratio(F.col("tp"), F.col("predicted")).alias("precision"),
         safe_ratio(F.col("tp"), F.col("support")).alias("recall"),

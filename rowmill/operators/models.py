@@ -11,7 +11,7 @@ from pyspark.ml.classification import (
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
@@ -35,10 +35,16 @@ IMPURITIES = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}
 # Accepted for compatibility; the cluster decides parallelism and logging.
 WITHOUT_EFFECT = ("n_jobs", "verbose")
 FOREST_OPTIONS = (*FOREST_DEFAULTS, "criterion", "max_features", "bootstrap", "max_samples",
-                  "max_bins", *WITHOUT_EFFECT)
-LOGISTIC_OPTIONS = (*LOGISTIC_DEFAULTS, "penalty", "fit_intercept", "tol", *WITHOUT_EFFECT)
+                  "max_bins", "class_weight", "memory_mb", "cache_nodes", "checkpoint_interval",
+                  *WITHOUT_EFFECT)
+LOGISTIC_OPTIONS = (*LOGISTIC_DEFAULTS, "penalty", "l1_ratio", "fit_intercept", "tol",
+                    "class_weight", "aggregation_depth", *WITHOUT_EFFECT)
 MAX_TREE_DEPTH = 30
 
+# Rows are laid out in as many partitions unless the caller says otherwise. A forest depends
+# on this number, so it never comes from the session.
+PARTITIONS = 32
+
 
 class ForestModel(RandomForestClassificationModel):
     """Fitted forest that wraps its trees in Python objects when asked for them, not
@@ -99,11 +105,16 @@ def forest_settings(params: Mapping | None = None) -> dict:
         "bootstrap": p.get("bootstrap", True),
         "maxBins": p.get("max_bins", 32),
         "subsamplingRate": 1.0 if share is None else share,
+        # more nodes per pass over the rows than MLlib's default allows
+        "maxMemoryInMB": p.get("memory_mb", 1024),
+        "cacheNodeIds": p.get("cache_nodes", False),
+        "checkpointInterval": p.get("checkpoint_interval", 10),
     }
 
 
-def logistic_settings(rows: int, params: Mapping | None = None) -> dict:
-    """MLlib settings of a ridge-penalised regression for ``rows`` training rows.
+def logistic_settings(rows: float, params: Mapping | None = None) -> dict:
+    """MLlib settings of a penalised regression for ``rows`` training rows, or for their
+    weight if rows are weighted.
 
     MLlib minimises the mean loss, so a penalty of 1/C on the summed loss becomes
     1/(C * rows). The intercept is not penalised.
@@ -112,17 +123,23 @@ def logistic_settings(rows: int, params: Mapping | None = None) -> dict:
     if p["solver"] != "lbfgs":
         raise ValueError(f"only the lbfgs solver is available, got {p['solver']!r}")
     penalty = p.get("penalty", "l2")
-    if penalty not in ("l2", None):
-        raise ValueError(f"only the l2 penalty or None is available, got {penalty!r}")
+    shares = {"l2": 0.0, "l1": 1.0, None: 0.0, "elasticnet": p.get("l1_ratio")}
+    if penalty not in shares:
+        raise ValueError(f"unknown penalty {penalty!r}; use one of {list(shares)}")
+    if penalty == "elasticnet" and not (
+        isinstance(p.get("l1_ratio"), Real) and 0 <= p["l1_ratio"] <= 1
+    ):
+        raise ValueError("the elasticnet penalty needs l1_ratio between 0 and 1")
     if not isinstance(p["C"], Real) or p["C"] <= 0:
         raise ValueError(f"C must be positive, got {p['C']}")
     return {
         "regParam": 0.0 if penalty is None else 1.0 / (p["C"] * max(rows, 1)),
-        "elasticNetParam": 0.0,
+        "elasticNetParam": float(shares[penalty]),
         "standardization": False,
         "fitIntercept": p.get("fit_intercept", True),
         "maxIter": p["max_iter"],
         "tol": p.get("tol", 1e-9),
+        "aggregationDepth": p.get("aggregation_depth", 2),
     }
 
 
@@ -145,6 +162,33 @@ def canonical_layout(df: DataFrame, key: str, partitions: int) -> DataFrame:
     return df.repartition(partitions, F.col(quoted(key))).sortWithinPartitions(F.col(quoted(key)))
 
 
+def class_table(rows: DataFrame, target: str) -> DataFrame:
+    """(value, n): the classes in ascending order. A model holds numbers for each class, so
+    there are as few of them as a model can have."""
+    counts = rows.groupBy(F.col(quoted(target)).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return counts.orderBy("value")
+
+
+def class_weights(classes: Sequence, counts: Sequence[int], given) -> list[float] | None:
+    """A weight per class: None, "balanced" (rows / (classes * rows of the class)) or a
+    mapping from class to weight, 1 where it names none."""
+    if given is None:
+        return None
+    if given == "balanced":
+        return [sum(counts) / (len(counts) * n) for n in counts]
+    if not isinstance(given, Mapping):
+        raise ValueError(f"class_weight must be None, 'balanced' or a mapping, got {given!r}")
+    unknown = [c for c in given if c not in classes]
+    if unknown:
+        raise ValueError(f"class_weight names classes the rows lack: {unknown}")
+    return [float(given.get(c, 1.0)) for c in classes]
+
+
+def _literal(value, kind: str) -> str:
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {kind})"
+
+
 def train_model(
     df: DataFrame,
     features: Sequence[str],
@@ -152,36 +196,51 @@ def train_model(
     key: str,
     algorithm: str = "random_forest",
     params: Mapping | None = None,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
 ) -> PipelineModel:
-    """Fit a classifier on integer classes 0..k-1.
+    """Fit a classifier on classes of any type; predictions are of the same type.
 
-    ``partitions`` defaults to spark.sql.shuffle.partitions. The training rows are
-    kept for the duration of the fit, in memory or on executor disks; lost ones
-    are read again.
+    Classes are numbered in ascending order. The rows are laid out by key in
+    ``partitions`` parts, whatever the session's settings, and kept for the duration of the
+    fit, in memory or on executor disks; lost ones are read again. The model remembers
+    classes and partitions.
     """
     check_params(algorithm, params)
     require_columns(df, [key, target, *features])
-    spark = df.sparkSession
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = [F.col(quoted(c)) for c in (key, target, *features)]
     assembler = VectorAssembler(inputCols=list(features), outputCol="_features")
-    laid_out = canonical_layout(df.select(*columns), key, parts)
-    ready = assembler.transform(laid_out).select(
-        F.col(quoted(target)).cast("double").alias("_label"), "_features"
-    )
+    found = class_table(df, target).collect()
+    classes, counts = [r["value"] for r in found], [r["n"] for r in found]
+    if any(c is None for c in classes):
+        raise ValueError(f"{target} has missing values")
+    kind = df.schema[target].dataType.simpleString()
+    names = "array(" + ", ".join(_literal(c, kind) for c in classes) + ")"
+    weights = class_weights(classes, counts, (params or {}).get("class_weight"))
+    label = F.expr(f"CAST(array_position({names}, {quoted(target)}) - 1 AS DOUBLE)")
+    laid_out = canonical_layout(df.select(*columns), key, partitions)
+    ready = assembler.transform(laid_out).select(label.alias("_label"), "_features")
+    if weights:
+        weight = F.get(F.lit(weights), F.col("_label").cast("int"))
+        ready = ready.withColumn("_weight", weight)
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if algorithm == "random_forest":
             estimator = Forest(**forest_settings(params))
         else:
-            estimator = LogisticRegression(**logistic_settings(ready.count(), params))
+            total = sum(n * w for n, w in zip(counts, weights or [1.0] * len(counts)))
+            estimator = LogisticRegression(**logistic_settings(total, params))
+        if weights:
+            estimator = estimator.setWeightCol("_weight")
         estimator = estimator.setFeaturesCol("_features").setLabelCol("_label")
         estimator = estimator.setRawPredictionCol("_raw").setProbabilityCol("_probability")
         classifier = estimator.setPredictionCol("_prediction").fit(ready)
     finally:
         ready.unpersist()
-    return PipelineModel([assembler, classifier])
+    named = SQLTransformer(
+        statement=f"SELECT *, element_at({names}, CAST(_prediction AS INT) + 1) AS _class, "
+        f"{int(partitions)} AS _partitions FROM __THIS__"
+    )
+    return PipelineModel([assembler, classifier, named])
 
 
 def _transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -189,14 +248,13 @@ def _transformed(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``y_pred``, the class label."""
+    """Add ``y_pred``, the class label as it was in training."""
     columns = [F.col(quoted(c)) for c in df.columns]
-    label = F.col("_prediction").cast("int").alias("y_pred")
-    return _transformed(model, df).select(*columns, label)
+    return _transformed(model, df).select(*columns, F.col("_class").alias("y_pred"))
 
 
 def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``y_proba``, an array whose entry k is the probability of class k."""
+    """Add ``y_proba``, an array with the probabilities of the classes in ascending order."""
     columns = [F.col(quoted(c)) for c in df.columns]
     return _transformed(model, df).select(
         *columns, vector_to_array("_probability").alias("y_proba")
@@ -204,10 +262,11 @@ def predict_proba(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def score(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Add ``y_pred`` and ``y_pred_proba``, the probability of class 1, in one pass."""
+    """Add ``y_pred`` and ``y_pred_proba``, the probability of the second class in
+    ascending order, in one pass."""
     columns = [F.col(quoted(c)) for c in df.columns]
     return _transformed(model, df).select(
         *columns,
-        F.col("_prediction").cast("int").alias("y_pred"),
+        F.col("_class").alias("y_pred"),
         F.get(vector_to_array("_probability"), F.lit(1)).alias("y_pred_proba"),
     )

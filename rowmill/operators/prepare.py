@@ -6,12 +6,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from rowmill.functions import (
-    SMALL_ROWS,
     binary_target,
     missing_condition,
     quoted,
     require_columns,
-    small_table,
     stored,
 )
 from rowmill.operators.ranges import dense_index
@@ -76,15 +74,18 @@ def dedup_rows(df: DataFrame, features: Sequence[str], key: str) -> DataFrame:
     """One row per distinct feature combination: the one with the lowest key.
 
     A grouped minimum, so copies collapse inside each task before the shuffle
-    and a combination held by a third of all rows costs one row per task.
+    and a combination held by a third of all rows costs one row per task. With
+    columns of fixed width it needs no sort.
     """
     require_columns(df, [*features, key])
-    rest = [c for c in df.columns if c != key and c not in features]
-    first = F.min(F.struct(*[quoted(c) for c in (key, *rest)])).alias("_first")
-    kept = df.groupBy(*[quoted(c) for c in features]).agg(first)
-    return kept.select(
-        *[quoted(c) if c in features else f"_first.{quoted(c)}" for c in df.columns]
-    )
+    own = F.col(quoted(key))
+    rest = [
+        F.min_by(F.col(quoted(c)), own).alias(c)
+        for c in df.columns
+        if c != key and c not in features
+    ]
+    kept = df.groupBy(*[quoted(c) for c in features]).agg(F.min(own).alias(key), *rest)
+    return kept.select(*[quoted(c) for c in df.columns])
 
 
 def clean_data(
@@ -102,18 +103,18 @@ def clean_data(
 def label_codes(df: DataFrame, label: str) -> DataFrame:
     """Codes 0..k-1 of the distinct label values in ascending order.
 
-    A missing label, if there is one, gets the last code.
+    A missing label, if there is one, gets the last code. The distinct values are
+    found once and stored.
     """
-    values = df.select(F.col(quoted(label))).distinct()
-    known = small_table(values)
-    coded = dense_index(known.where(F.col(quoted(label)).isNotNull()), label, "code")
+    values = stored(df.select(F.col(quoted(label))).distinct())
+    present = F.col(quoted(label)).isNotNull()
+    coded = dense_index(values.where(present), label, "code")
     coded = coded.select(F.col(quoted(label)), F.col("code").cast("int").alias("code"))
-    if known.where(F.col(quoted(label)).isNull()).isEmpty():
+    missing = values.where(~present)
+    if missing.isEmpty():
         return coded
-    missing = known.where(F.col(quoted(label)).isNull()).select(
-        F.col(quoted(label)), F.lit(coded.count()).cast("int").alias("code")
-    )
-    return coded.unionByName(missing)
+    last = F.lit(values.count() - 1).cast("int").alias("code")
+    return coded.unionByName(missing.select(F.col(quoted(label)), last))
 
 
 def encode_target(df: DataFrame, label: str, code: str = "code") -> DataFrame:
@@ -121,7 +122,7 @@ def encode_target(df: DataFrame, label: str, code: str = "code") -> DataFrame:
     require_columns(df, [label])
     if df.schema[label].dataType.simpleString() in NUMERIC_LABEL_TYPES:
         return df.withColumn(code, F.col(quoted(label)))
-    codes = small_table(label_codes(df, label), SMALL_ROWS).select(
+    codes = label_codes(df, label).select(
         F.col(quoted(label)).alias("_label"), F.col("code").alias("_code")
     )
     joined = df.join(codes, F.col(quoted(label)).eqNullSafe(F.col("_label")), "left")

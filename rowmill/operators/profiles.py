@@ -4,18 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from rowmill.functions import missing_condition, quoted, require_columns
+from rowmill.functions import missing_condition, quoted, require_columns, stored
 from rowmill.operators.moments import moments
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """(class, n, share)."""
-    counts = df.groupBy(F.col(quoted(target))).agg(F.count(F.lit(1)).alias("n"))
-    # One row per class: the total is a sum over the counts.
-    total = F.sum("n").over(Window.partitionBy())
-    share = F.try_divide(F.col("n").cast("double"), total.cast("double"))
+    counts = stored(df.groupBy(F.col(quoted(target))).agg(F.count(F.lit(1)).alias("n")))
+    total = F.lit(counts.agg(F.sum("n")).first()[0]).cast("double")
+    share = F.try_divide(F.col("n").cast("double"), total)
     return counts.withColumn("share", share)
 
 

@@ -1,142 +1,65 @@
-"""Range buckets over an orderable column, and the dense row index built on them.
+"""Ranges over orderable columns, and the dense row index built on them.
 
-A window without partitioning sends a whole table through one task. Here the
-column is cut into ranges first; each range is handled by its own task and the
-ranges are put in order with one small table of per-range totals. The cut points
-only balance the work: any set of them gives the same result.
+A window without partitioning sends a whole table through one task. Here Spark cuts
+the rows into ranges of about equal size first; each range is a task of its own, and
+one row per range carries what lies before it. The number of ranges follows from the
+number of rows, and the result is the same wherever the cuts fall.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import (
-    ArrayType,
-    DataType,
-    DateType,
-    DoubleType,
-    FloatType,
-    NumericType,
-    StructField,
-    StructType,
-    TimestampType,
-)
 
-from rowmill.functions import local_table, quoted, require_columns, small_table
+from rowmill.functions import quoted, require_columns, stored
 
 ROWS_PER_BUCKET = 100_000
-MAX_BUCKETS = 10_000
-SAMPLES_PER_BUCKET = 30
+# monotonically_increasing_id: partition above, position in the partition below.
+POSITION_BITS = 33
 
 
-def range_bounds(
-    df: DataFrame,
-    column: str,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
-) -> list:
-    """Ascending cut points for roughly equal ranges of ``column``.
-
-    Empty when the table fits one range. The sample fetched to place the cuts
-    has about SAMPLES_PER_BUCKET values per range, whatever the table's size.
-    """
-    values = df.select(column).where(F.col(quoted(column)).isNotNull())
-    if isinstance(df.schema[column].dataType, (DoubleType, FloatType)):
-        values = values.where(~F.isnan(F.col(quoted(column))))
-    rows = values.count()
-    buckets = min(math.ceil(rows / rows_per_bucket), max_buckets)
-    if buckets <= 1:
-        return []
-    wanted = SAMPLES_PER_BUCKET * buckets
-    sample = values if rows <= wanted else values.sample(fraction=wanted / rows, seed=11)
-    ordered = sorted(row[0] for row in sample.collect())
-    cuts = [ordered[i * len(ordered) // buckets] for i in range(1, buckets)] if ordered else []
-    return sorted(set(cuts))
-
-
-def order_number(column: str, data_type: DataType) -> Column | None:
-    """The column as a double that never decreases where the column increases, or
-    None for types without one. Distinct values may share a number."""
-    value = F.col(quoted(column))
-    if isinstance(data_type, NumericType):
-        return value.cast("double")
-    if isinstance(data_type, DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(data_type, TimestampType):
-        return F.unix_micros(value).cast("double")
-    return None
-
+def range_count(df: DataFrame, rows_per_bucket: int = ROWS_PER_BUCKET) -> int:
+    """Ranges for the table's rows, at least one."""
+    return max(1, math.ceil(df.count() / rows_per_bucket))
 
-def with_bucket(df: DataFrame, column: str, bounds: list, name: str) -> DataFrame:
-    """Add the number of cut points not above the value.
 
-    Missing values come first and NaN last, as in Spark's ascending order.
-    """
-    if not bounds:
-        return df.withColumn(name, F.lit(0.0))
-    data_type = df.schema[column].dataType
-    number = order_number(column, data_type)
-    if number is None:
-        return df.withColumn(name, _searched(F.col(quoted(column)), bounds, data_type))
-    # The cut points go through the same conversion as the column.
-    cuts = local_table(
-        df.sparkSession,
-        [(b,) for b in bounds],
-        StructType([StructField(column, data_type)]),
-    ).select(number.alias("cut"))
-    splits = sorted({r["cut"] for r in cuts.collect()} - {float("-inf"), float("inf")})
-    if not splits:
-        return df.withColumn(name, F.lit(0.0))
-    known = df.withColumn("_number", F.coalesce(number, F.lit(float("-inf"))))
-    bucketizer = Bucketizer(
-        splits=[float("-inf"), *splits, float("inf")],
-        inputCol="_number",
-        outputCol=name,
-        handleInvalid="keep",
-    )
-    return bucketizer.transform(known).drop("_number")
-
-
-def _searched(value: Column, bounds: list, data_type: DataType) -> Column:
-    """Binary search over the cut points, for types without an order number."""
-    cuts = F.lit(bounds).cast(ArrayType(data_type))
-    halves = len(bounds).bit_length()
-    steps = F.lit([1 << i for i in reversed(range(halves))])
-    found = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda low, step: F.when(F.get(cuts, low + step - F.lit(1)) <= value, low + step)
-        .otherwise(low),
-    )
-    return found.cast("double")
+def with_range(
+    df: DataFrame, columns: Sequence[str], name: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """The stored table with the number of each row's range. Rows equal in all columns
+    share a range; missing values come first and NaN last, as in Spark's order."""
+    ranges = range_count(df, rows_per_bucket)
+    placed = df.repartitionByRange(ranges, *[F.col(quoted(c)) for c in columns])
+    return stored(placed.withColumn(name, F.spark_partition_id()))
 
 
 def dense_index(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[Column],
     name: str = "index",
     rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
 ) -> DataFrame:
-    """Add a contiguous index 0..n-1 in the order of a unique key."""
-    require_columns(df, [key])
-    bounds = range_bounds(df, key, rows_per_bucket, max_buckets)
-    bucketed = with_bucket(df, key, bounds, "_bucket")
-    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(quoted(key))))
-    position = rank.cast("long") - F.lit(1)
-    if not bounds:
-        return bucketed.withColumn(name, position).drop("_bucket")
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = small_table(
-        bucketed.groupBy("_bucket")
+    """Add a contiguous index 0..n-1 in the order of a unique key, or of the given
+    order expressions."""
+    if isinstance(key, str):
+        require_columns(df, [key])
+        key = [F.col(quoted(key))]
+    ranges = range_count(df, rows_per_bucket)
+    ordered = df.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
+    placed = stored(ordered.withColumn("_place", F.monotonically_increasing_id()))
+    part = F.shiftright("_place", POSITION_BITS)
+    position = F.col("_place").bitwiseAND(F.lit((1 << POSITION_BITS) - 1))
+    # one row per range
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
+        placed.groupBy(part.alias("_part"))
         .agg(F.count(F.lit(1)).alias("_rows"))
-        .select("_bucket", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
+        .select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     return (
-        bucketed.withColumn("_position", position)
-        .join(offsets, "_bucket")
-        .withColumn(name, F.col("_offset") + F.col("_position"))
-        .select(*[quoted(c) for c in df.columns], name)
+        placed.withColumn("_part", part)
+        .join(offsets, "_part")
+        .select(*[quoted(c) for c in df.columns], (F.col("_offset") + position).alias(name))
     )

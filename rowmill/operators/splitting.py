@@ -7,19 +7,20 @@ cut lies within a few standard deviations of the quota's share of the digest
 range. One pass counts the rows below that bracket (a grouped count, combined
 inside each task) and keeps the digests inside it, of the order of the square
 root of the class size; ranking those gives the cut. If it is not among them the
-bracket is widened. With the cuts known, membership is a comparison per row: both
-sides are plain filters of the table, without shuffle or window.
+bracket is widened. With the cuts known, membership is a comparison per row.
+
+Counts, quotas and cuts are tables with a row per class, so any number of classes
+can be split; the driver gets their totals.
 """
 
 from __future__ import annotations
 
 import math
-from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowmill.functions import SMALL_ROWS, key_hash, local_table, quoted, require_columns
+from rowmill.functions import key_hash, quoted, require_columns, stored
+from rowmill.operators.ranges import dense_index
 
 # Half width of the first bracket in standard deviations of the cut's position.
 SIGMAS = 6.0
@@ -27,15 +28,6 @@ SIGMAS = 6.0
 BRACKET_DIGITS = 12
 
 
-class Quota(NamedTuple):
-    """Rows of one class on each side."""
-
-    value: object
-    rows: int
-    train: int
-    test: int
-
-
 def side_sizes(rows: int, test_size: float | int) -> tuple[int, int]:
     """(train, test) row counts; a float is a share, rounded up for the test side."""
     if isinstance(test_size, bool) or test_size <= 0:
@@ -51,75 +43,83 @@ def side_sizes(rows: int, test_size: float | int) -> tuple[int, int]:
     return rows - test, test
 
 
-def class_quotas(counts: list[tuple[object, int]], test_size: float | int) -> list[Quota]:
-    """Training rows per class: the proportional share rounded down, and one more
-    for the largest remainders (ties by class value) until the total is met."""
-    if any(value is None for value, _ in counts):
+def class_quotas(counts: DataFrame, test_size: float | int) -> DataFrame:
+    """(value, rows, train, test) from a stored table (value, rows) of class counts.
+
+    Training rows are the proportional share rounded down, and one more for the largest
+    remainders (ties by class value) until the total is met.
+    """
+    found = counts.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
+        F.count(F.lit(1)).alias("classes"),
+        F.count_if(F.col("value").isNull()).alias("missing"),
+        F.count_if(F.col("rows") < 2).alias("lonely"),
+        F.min_by(F.col("value").cast("string"), "rows").alias("least"),
+    ).first()
+    if found["missing"]:
         raise ValueError("the class column has missing values")
-    lonely = [value for value, n in counts if n < 2]
-    if lonely:
-        raise ValueError(f"classes with fewer than 2 rows cannot be split: {lonely[:10]}")
-    ordered = sorted(counts)
-    total = sum(n for _, n in ordered)
-    if not total:
+    if found["lonely"]:
+        raise ValueError(
+            f"{found['lonely']} classes with fewer than 2 rows cannot be split, "
+            f"among them {found['least']}"
+        )
+    if not found["total"]:
         raise ValueError("the table has no rows to split")
-    n_train, n_test = side_sizes(total, test_size)
-    if min(n_train, n_test) < len(ordered):
+    n_train, n_test = side_sizes(found["total"], test_size)
+    if min(n_train, n_test) < found["classes"]:
         raise ValueError(
-            f"{n_train} training and {n_test} test rows cannot hold {len(ordered)} classes each"
+            f"{n_train} training and {n_test} test rows cannot hold {found['classes']} classes each"
         )
     # Whole-number arithmetic, exact for any row count.
-    shares = [divmod(n * n_train, total) for _, n in ordered]
-    missing = n_train - sum(share for share, _ in shares)
-    by_remainder = sorted(range(len(shares)), key=lambda i: -shares[i][1])
-    rounded_up = set(by_remainder[:missing])
-    quotas = []
-    for i, (value, n) in enumerate(ordered):
-        train = shares[i][0] + (1 if i in rounded_up else 0)
-        quotas.append(Quota(value, n, train, n - train))
-    return quotas
-
-
-def _class_counts(
-    df: DataFrame, target: str, key: str | None = None
-) -> list[tuple[object, int]]:
-    """Rows per class; a missing key raises, since it would fall on no side for sure."""
+    product = f"CAST(rows AS DECIMAL(18, 0)) * CAST({n_train} AS DECIMAL(18, 0))"
+    total = f"CAST({found['total']} AS DECIMAL(18, 0))"
+    shares = counts.select(
+        "value", "rows",
+        F.expr(f"CAST({product} div {total} AS BIGINT)").alias("_share"),
+        F.expr(f"{product} % {total}").alias("_rest"),
+    )
+    missing = n_train - shares.agg(F.sum("_share")).first()[0]
+    placed = dense_index(shares, [F.desc("_rest"), F.asc("value")], "_place")
+    train = F.col("_share") + (F.col("_place") < missing).cast("long")
+    return placed.select("value", "rows", train.alias("train"), (F.col("rows") - train).alias("test"))
+
+
+def class_counts(df: DataFrame, target: str, key: str | None = None) -> DataFrame:
+    """Stored (value, rows); a missing key raises, since it would fall on no side for sure."""
     absent = F.count_if(F.col(quoted(key)).isNull()) if key else F.lit(0)
-    counted = df.groupBy(F.col(quoted(target)).alias("value")).agg(
-        F.count(F.lit(1)).alias("rows"), absent.alias("absent")
+    counts = stored(
+        df.groupBy(F.col(quoted(target)).alias("value")).agg(
+            F.count(F.lit(1)).alias("rows"), absent.cast("long").alias("absent")
+        )
     )
-    found = counted.limit(SMALL_ROWS + 1).collect()
-    if len(found) > SMALL_ROWS:
-        raise ValueError(f"{target} has more than {SMALL_ROWS} values; it is not a class label")
-    if any(r["absent"] for r in found):
-        raise ValueError(f"{sum(r['absent'] for r in found)} rows have no {key}")
-    return [(r["value"], r["rows"]) for r in found]
+    if key and (without := counts.agg(F.sum("absent")).first()[0]):
+        raise ValueError(f"{without} rows have no {key}")
+    return counts.select("value", "rows")
 
 
 def split_quota(df: DataFrame, target: str, test_size: float | int = 0.2) -> DataFrame:
     """(class, n, n_train, n_test): one row per class."""
-    quotas = class_quotas(_class_counts(df, target), test_size)
-    schema = StructType(
-        [
-            StructField(target, df.schema[target].dataType),
-            StructField("n", LongType()),
-            StructField("n_train", LongType()),
-            StructField("n_test", LongType()),
-        ]
-    )
-    return local_table(df.sparkSession, quotas, schema)
+    quotas = class_quotas(class_counts(df, target), test_size)
+    names = [("value", target), ("rows", "n"), ("train", "n_train"), ("test", "n_test")]
+    return quotas.select(*[F.col(c).alias(name) for c, name in names])
 
 
-def _bracket(quota: Quota, sigmas: float) -> tuple[str, str]:
-    """Digests [low, high) expected to hold the cut of a class."""
-    share = quota.train / quota.rows
-    margin = sigmas * math.sqrt(quota.rows * share * (1 - share)) + 1
+def _with_bracket(quotas: DataFrame, sigmas: float) -> DataFrame:
+    """Digests [low, high) expected to hold the cut of each class."""
+    rows, share = F.col("rows"), F.col("train") / F.col("rows")
+    margin = F.lit(sigmas) * F.sqrt(rows * share * (1 - share)) + 1
     steps = 16**BRACKET_DIGITS
-    low = math.floor((quota.train - margin) / quota.rows * steps)
-    high = math.ceil((quota.train + margin) / quota.rows * steps)
-    return (
-        f"{max(low, 0):0{BRACKET_DIGITS}x}",
-        f"{high:0{BRACKET_DIGITS}x}" if high < steps else "g",
+
+    def digits(place: Column) -> Column:
+        return F.lpad(F.lower(F.hex(place.cast("long"))), BRACKET_DIGITS, "0")
+
+    low = F.greatest(F.floor((F.col("train") - margin) / rows * steps), F.lit(0))
+    high = F.ceil((F.col("train") + margin) / rows * steps)
+    return quotas.select(
+        F.col("value").alias("_class"),
+        F.col("train").alias("_wanted"),
+        digits(low).alias("_low"),
+        F.when(high < steps, digits(high)).otherwise(F.lit("g")).alias("_high"),
     )
 
 
@@ -131,25 +131,23 @@ def split_cuts(
     seed: int = 42,
     sigmas: float = SIGMAS,
 ) -> DataFrame:
-    """(class, cut): the highest training digest of each class.
+    """(class, cut): the highest training digest of each class, '' if it trains nothing.
 
-    Reads class and key of the table twice: for the class counts and for the cuts.
+    Reads class and key of the table twice: for the class counts and for the cuts. Rows
+    that share a key share a digest; if such rows stand at a cut and only some of them
+    belong below it, no cut meets the quota, and ValueError is raised.
     """
     require_columns(df, [key, target])
-    spark = df.sparkSession
-    class_field = StructField("_class", df.schema[target].dataType)
-    quotas = class_quotas(_class_counts(df, target, key), test_size)
+    quotas = stored(class_quotas(class_counts(df, target, key), test_size))
     hashed = df.select(F.col(quoted(target)).alias("_class"), key_hash(key, seed).alias("_hash"))
-    texts = [StructField(c, StringType()) for c in ("_low", "_high")]
-    schema = StructType([class_field, StructField("_wanted", LongType()), *texts])
 
-    cuts = {q.value: "" for q in quotas if q.train == 0}
-    pending = [q for q in quotas if q.train > 0]
-    while pending:
-        brackets = [(q.value, q.train, *_bracket(q, sigmas)) for q in pending]
+    cuts = quotas.where("train = 0").select(F.col("value").alias("_class"), F.lit("").alias("cut"))
+    pending = quotas.where("train > 0")
+    left = pending.count()
+    while left:
         inside = F.when(F.col("_hash") >= F.col("_low"), F.col("_hash"))
         counted = (
-            hashed.join(F.broadcast(local_table(spark, brackets, schema)), "_class")
+            hashed.join(_with_bracket(pending, sigmas), "_class")
             .where(F.col("_hash") < F.col("_high"))
             .groupBy("_class", "_wanted", inside.alias("_digest"))
             .agg(F.count(F.lit(1)).alias("_rows"))
@@ -157,28 +155,43 @@ def split_cuts(
         # The rows below the bracket are one row here, and come first.
         upward = Window.partitionBy("_class").orderBy(F.col("_digest").asc_nulls_first())
         upto = F.sum("_rows").over(upward.rowsBetween(Window.unboundedPreceding, 0))
-        found = (
+        found = stored(
             counted.withColumn("_upto", upto)
             .where(F.col("_digest").isNotNull() & (F.col("_upto") >= F.col("_wanted")))
             .where(F.col("_upto") - F.col("_rows") < F.col("_wanted"))
+            .select("_class", F.col("_digest").alias("cut"), (F.col("_upto") - F.col("_wanted")).alias("_over"))
+        )
+        done = found.agg(F.count(F.lit(1)), F.count_if(F.col("_over") > 0)).first()
+        if done[1]:
+            raise ValueError(
+                f"{key} is not unique: rows with the same key stand at the cut of {done[1]} "
+                "classes, so their quotas cannot be met"
+            )
+        cuts = cuts.unionByName(found.select("_class", "cut"))
+        pending = pending.join(
+            found.select(F.col("_class").alias("value")), "value", "left_anti"
         )
-        cuts |= {r["_class"]: r["_digest"] for r in found.collect()}
-        pending = [q for q in pending if q.value not in cuts]
+        left -= done[0]
         sigmas *= 8
-    schema = StructType(
-        [StructField(target, class_field.dataType), StructField("cut", StringType())]
-    )
-    return local_table(spark, sorted(cuts.items()), schema)
+    return stored(cuts.select(F.col("_class").alias(target), "cut"))
 
 
 def assign_split(
     df: DataFrame, cuts: DataFrame, key: str, target: str, seed: int = 42, name: str = "split"
 ) -> DataFrame:
-    """Add 'train' or 'test' to every row. The cuts have one row per class, at most
-    SMALL_ROWS, and are broadcast; the table itself is not shuffled."""
-    small = F.broadcast(cuts.select(F.col(quoted(target)).alias("_class"), "cut"))
-    joined = df.join(small, F.col(quoted(target)) == F.col("_class"))
-    side = F.when(key_hash(key, seed) <= F.col("cut"), F.lit("train")).otherwise(F.lit("test"))
+    """Add 'train' or 'test' to every row. The cuts have one row per class, which Spark
+    broadcasts while that is small. A row of a class without a cut fails the query."""
+    small = cuts.select(F.col(quoted(target)).alias("_class"), "cut")
+    joined = df.join(small, F.col(quoted(target)) == F.col("_class"), "left")
+    known = F.when(F.col("cut").isNotNull(), F.col("cut")).otherwise(
+        F.raise_error(
+            F.concat(
+                F.lit(f"no cut for this class of {target}: "),
+                F.coalesce(F.col(quoted(target)).cast("string"), F.lit("missing")),
+            )
+        ).cast("string")
+    )
+    side = F.when(key_hash(key, seed) <= known, F.lit("train")).otherwise(F.lit("test"))
     return joined.select(*[F.col(quoted(c)) for c in df.columns], side.alias(name))
 
 
@@ -232,12 +245,13 @@ def split_balance(assigned: DataFrame, target: str) -> DataFrame:
         in_train.alias("_train"),
         F.count_if(F.col("split") == "test").alias("_test"),
     )
-    # One row per class from here on.
-    everything = Window.partitionBy()
+    counts = stored(counts)
+    names = (("_all", "share"), ("_train", "train_share"), ("_test", "test_share"))
+    totals = counts.agg(*[F.sum(c) for c, _ in names]).first()
     return counts.select(
         F.col(quoted(target)),
         *[
-            F.try_divide(F.col(c).cast("double"), F.sum(c).over(everything).cast("double")).alias(n)
-            for c, n in (("_all", "share"), ("_train", "train_share"), ("_test", "test_share"))
+            F.try_divide(F.col(c).cast("double"), F.lit(total).cast("double")).alias(n)
+            for (c, n), total in zip(names, totals)
         ],
     )

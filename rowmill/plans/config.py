@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, fields, replace
 from pathlib import Path
 
 from rowmill.operators.metrics import METRICS
-from rowmill.operators.models import check_params
+from rowmill.operators.models import PARTITIONS, check_params
 
 
 @dataclass(frozen=True)
@@ -31,7 +31,7 @@ class JobConfig:
     logistic_regression: Mapping = field(default_factory=dict)
     metrics: tuple[str, ...] = METRICS
     fit_on: str = "train"
-    partitions: int | None = None
+    partitions: int = PARTITIONS
     keep_stages: bool = False
 
     def __post_init__(self):

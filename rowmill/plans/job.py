@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from rowmill.functions import join_path, quoted, require_columns, small_table
+from rowmill.functions import join_path, match_flag, quoted, require_columns, small_table
+from rowmill.functions import stored as kept
 from rowmill.operators import metrics as m
 from rowmill.operators.models import score, train_model
 from rowmill.operators.moments import combine_classes, moments
@@ -100,12 +101,12 @@ def run_job(
     result_columns = [
         F.col(quoted(key)),
         F.col(quoted(target)).cast("int").alias("y_true"),
-        "y_pred",
+        F.col("y_pred").cast("int").alias("y_pred"),
         "y_pred_proba",
     ]
     scored = score(model, test).select(*result_columns)
     predictions = write_stage(
-        scored.withColumn("match", (F.col("y_true") == F.col("y_pred")).cast("int")),
+        scored.withColumn("match", match_flag(F.col("y_true"), F.col("y_pred"))),
         place("predictions"),
     )
     if run_id is not None:
@@ -117,7 +118,8 @@ def run_job(
     area = "y_pred_proba" if "roc_auc" in config.metrics else None
     evaluated = m.binary_metrics(predictions, score=area)
     evaluated = small_table(evaluated.select("n", *config.metrics, "tn", "fp", "fn", "tp"))
-    cells = small_table(m.confusion_cells(predictions))
+    cells = kept(m.confusion_cells(predictions))
+    m.require_labels(cells)
     confusion = m.matrix_from_cells(cells, labels=[0, 1])
     report = m.report_from_cells(cells)
     artifacts.write_metrics_json(evaluated.select(*config.metrics), place("metrics.json"))

@@ -30,7 +30,7 @@ def write_metrics_json(metrics: DataFrame, path: str) -> None:
 
 def write_confusion_csv(matrix: DataFrame, path: str, labels: Sequence = (0, 1)) -> None:
     """The matrix with rows headed Actual and columns headed Predicted, one row per
-    label, in one file."""
+    label, given or found, in one file."""
     confusion_table(matrix, labels).coalesce(1).write.mode("overwrite").csv(path, header=True)
 
 
@@ -77,12 +77,20 @@ def write_run_result(df: DataFrame, path: str, run_id: str, key: str) -> None:
     run. Repeating a run replaces its own partition and no other."""
     require_columns(df, [key, "y_true", "y_pred", "y_pred_proba"])
     rows = df.select(
-        F.col(quoted(key)), "y_true", "y_pred", "y_pred_proba", F.lit(run_id).alias("run_id")
+        F.col(quoted(key)), "y_true", "y_pred", "y_pred_proba", F.lit(str(run_id)).alias("run_id")
     )
+    if str(run_id) == "":
+        raise ValueError("a run needs a name")
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("run_id").parquet(path)
 
 
 def read_run_results(spark: SparkSession, path: str) -> DataFrame:
-    """All stored runs; a filter on run_id reads only that run's files."""
-    return spark.read.parquet(path)
+    """All stored runs; a filter on run_id reads only that run's files.
+
+    Run names are text, whatever they look like: their type isn't inferred, so runs "1"
+    and "01" stay two. The other types come from the files.
+    """
+    kinds = spark.read.option("recursiveFileLookup", True).parquet(path).schema
+    schema = StructType([*kinds.fields, StructField("run_id", StringType())])
+    return spark.read.schema(schema).parquet(path)

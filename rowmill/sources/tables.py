@@ -6,8 +6,8 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from rowmill.functions import join_path, quoted
 from rowmill.operators.prepare import label_table
@@ -37,17 +37,39 @@ def read_labeled(
 ) -> DataFrame:
     """(key, target, features) from CSV files with a header line.
 
-    The schema follows from the header, so nothing is read for inference and one
-    odd cell cannot turn a column into text: empty cells, NA and NaN become
-    missing values. A missing path raises. Files whose headers disagree raise too.
+    The schema follows from the header, so nothing is read for inference and one odd cell
+    cannot turn a column into text. Cells that are empty, NA or NaN are missing values; any
+    other cell that isn't of its column's type fails the query and is named, with its
+    column. A missing path raises. Files whose headers disagree raise too.
     """
     if schema is None:
         header = spark.read.csv(path, header=True, inferSchema=False).columns
         schema = labelled_schema(header, key or "id", label, target, key_type)
-    table = spark.read.schema(schema).csv(
-        path, header=True, mode="PERMISSIVE", enforceSchema=False
+    if isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    texts = StructType([StructField(f.name, StringType()) for f in schema])
+    raw = spark.read.schema(texts).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
+    cells = raw.select(*[_typed(f.name, f.dataType) for f in schema])
+    return label_table(cells, key, label, positive, target)
+
+
+# Cells that stand for a missing value.
+MISSING_CELLS = ("", "NA", "NaN")
+
+
+def _typed(name: str, data_type: DataType) -> Column:
+    """The text cells of a column in its type; what is neither missing nor of it fails."""
+    cell = F.trim(F.col(quoted(name)))
+    if isinstance(data_type, StringType):
+        return F.col(quoted(name))
+    value = cell.try_cast(data_type)
+    wrong = F.raise_error(F.concat(F.lit(f"column {name} holds a cell that is no {data_type.simpleString()}: "), cell))
+    return (
+        F.when(value.isNotNull(), value)
+        .when(cell.isNull() | cell.isin(*MISSING_CELLS), F.lit(None).cast(data_type))
+        .otherwise(wrong.cast(data_type))
+        .alias(name)
     )
-    return label_table(table, key, label, positive, target)
 
 
 # Catalogue type suffixes and the formats they stand for.
@@ -59,6 +81,10 @@ DATASET_TYPES = {
 }
 
 
+# Where a table lies below an entry that may also hold a model.
+TABLE_FOLDER = "table"
+
+
 @dataclass(frozen=True)
 class Dataset:
     """Where a named table or model is kept and in which format."""
@@ -97,16 +123,27 @@ class Catalog:
         return join_path(self.base, self._entry(name).path)
 
     def read(self, name: str, schema: StructType | None = None):
-        """The table or, for format "model", the fitted model."""
+        """The table or, for format "model", what was written there: a fitted model or a
+        table such as a scaler."""
         entry = self._entry(name)
         if entry.format == "model":
+            if self._holds_table(name):
+                return read_dataset(self.spark, join_path(self.path(name), TABLE_FOLDER), "parquet", schema)
             return PipelineModel.load(self.path(name))
         return read_dataset(self.spark, self.path(name), entry.format, schema, entry.options)
 
+    def _holds_table(self, name: str) -> bool:
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(join_path(self.path(name), TABLE_FOLDER))
+        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
+        return folder.getFileSystem(conf).exists(folder)
+
     def write(self, name: str, data) -> None:
         """Replace the dataset."""
         entry = self._entry(name)
-        if entry.format == "model":
+        if entry.format == "model" and isinstance(data, DataFrame):
+            write_dataset(data, join_path(self.path(name), TABLE_FOLDER), "parquet")
+        elif entry.format == "model":
             data.write().overwrite().save(self.path(name))
         else:
             write_dataset(data, self.path(name), entry.format, entry.options)

@@ -94,7 +94,29 @@ def test_stored_predictions_join_their_truth(spark):
         (1, 0, 1, 0), (2, 1, 1, 1)
     ]
     with pytest.raises(ValueError, match="1 keys without"):
-        comparison.join_predictions(truth, good.where("id = 1"), "id", check=True)
+        comparison.join_predictions(truth, good.where("id = 1"), "id")
+    assert comparison.join_predictions(truth, good.where("id = 1"), "id", check=False).count() == 1
+
+
+def test_features_without_a_target_raise(spark):
+    features = spark.createDataFrame([(1, 0.5), (2, 0.5)], "id long, a double")
+    targets = spark.createDataFrame([(1, 0)], "id long, target int")
+    with pytest.raises(ValueError, match="1 values of id"):
+        comparison.attach_target(features, targets, "id")
+    assert comparison.attach_target(features, targets, "id", partial=True).count() == 1
+
+
+def test_an_unknown_first_run_raises(spark):
+    with pytest.raises(ValueError, match="no run 'nobody'"):
+        comparison.compare_runs(runs(spark, echo=FIRST), "nobody", "id")
+
+
+@pytest.mark.parametrize("repeated", ["first", "echo"])
+def test_a_key_repeated_in_a_run_fails(spark, repeated):
+    df = runs(spark, echo=FIRST)
+    df = df.union(df.where(F.col("run_id") == repeated).limit(1))
+    with pytest.raises(Exception, match="holds a key more than once"):
+        comparison.compare_runs(df, "first", "id").collect()
 
 
 def test_a_repeated_target_key_raises(spark):

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 from rowmill.operators import metrics, profiles
 
-TRUE = [0, 1, 1, 0, 1, 1, 0, 0, 1, 0]
-PRED = [0, 1, 0, 0, 1, 1, 0, 1, 1, 0]
-SCORE = [0.1, 0.9, 0.4, 0.2, 0.8, 0.7, 0.1, 0.6, 0.95, 0.15]
+# 5 true positives, 2 false ones, 3 missed, 4 true negatives; scores with ties across classes
+TRUE = [1, 1, 1, 1, 1, 0, 0, 1, 1, 1, 0, 0, 0, 0]
+PRED = [1, 1, 1, 1, 1, 1, 1, 0, 0, 0, 0, 0, 0, 0]
+SCORE = [9.0, 8.0, 8.0, 7.0, 6.0, 8.0, 6.0, 5.0, 3.0, 1.0, 5.0, 4.0, 2.0, 2.0]
 SCHEMA = "y_true int, y_pred int, score double"
 
 
@@ -36,17 +37,41 @@ def area_by_pairs(true, score):
 
 def test_hand_counted_table(spark):
     found = metrics.binary_metrics(frame(spark, TRUE, PRED, SCORE), score="score").first()
-    assert [found[c] for c in ("tn", "fp", "fn", "tp")] == [4, 1, 1, 4]
-    for c in ("accuracy", "precision", "recall", "f1"):
-        assert found[c] == pytest.approx(0.8)
-    assert found["roc_auc"] == pytest.approx(0.96)
+    assert [found[c] for c in ("tn", "fp", "fn", "tp")] == [4, 2, 3, 5]
+    assert found["accuracy"] == pytest.approx(9 / 14)
+    assert found["precision"] == pytest.approx(5 / 7) and found["recall"] == pytest.approx(5 / 8)
+    assert found["f1"] == pytest.approx(2 / 3)
+    # pairs won of 48: 6, 5.5, 5.5, 5, 4.5, 3.5, 2, 0
+    assert found["roc_auc"] == pytest.approx(32 / 48) == area_by_pairs(TRUE, SCORE)
+
+
+def test_all_right_and_all_wrong(spark):
+    right = metrics.binary_metrics(frame(spark, [1, 0, 1], [1, 0, 1])).first()
+    assert {right[c] for c in ("accuracy", "precision", "recall", "f1")} == {1.0}
+    wrong = metrics.binary_metrics(frame(spark, [1, 0, 1], [0, 1, 0])).first()
+    assert {wrong[c] for c in ("accuracy", "precision", "recall", "f1")} == {0.0}
+
+
+@pytest.mark.parametrize("score", [None, "score"])
+@pytest.mark.parametrize(
+    "true,pred,message",
+    [
+        ([0, 1, 2, 1], [0, 1, 1, 1], "more than two classes"),
+        ([0, 1, 0], [0, 1, 7], "more than two classes"),
+        ([0, None, 1], [0, 1, 1], "1 rows have a missing label"),
+        ([0, 1, 1], [None, None, 1], "2 rows have a missing label"),
+    ],
+)
+def test_labels_without_a_place_fail(spark, true, pred, message, score):
+    df = frame(spark, true, pred, [0.5] * len(true))
+    with pytest.raises(Exception, match=message):
+        metrics.binary_metrics(df, score=score).collect()
 
 
-def test_perfect_and_all_wrong(spark):
-    perfect = metrics.binary_metrics(frame(spark, [0, 1, 1, 0], [0, 1, 1, 0])).first()
-    assert [perfect[c] for c in ("accuracy", "precision", "recall", "f1")] == [1.0] * 4
-    wrong = metrics.binary_metrics(frame(spark, [0, 1, 1, 0], [1, 0, 0, 1])).first()
-    assert wrong["accuracy"] == 0.0 and wrong["f1"] == 0.0
+def test_two_classes_may_have_any_names(spark):
+    df = frame(spark, [5, 5, 9], [5, 9, 9])
+    found = metrics.binary_metrics(df, positive=9).first()
+    assert (found["tp"], found["fp"], found["tn"], found["fn"]) == (1, 1, 1, 0)
 
 
 def test_nothing_to_divide_by_is_zero(spark):
@@ -107,7 +132,8 @@ def test_metrics_per_run(spark):
     b = frame(spark, TRUE, TRUE, [float(t) for t in TRUE]).withColumn("run_id", F.lit("b"))
     both = a.unionByName(b).withColumnRenamed("score", "y_pred_proba")
     found = {r["run_id"]: r for r in metrics.metrics_by_run(both, rows_per_bucket=3).collect()}
-    assert found["a"]["roc_auc"] == pytest.approx(0.96) and found["a"]["accuracy"] == 0.8
+    assert found["a"]["roc_auc"] == pytest.approx(32 / 48)
+    assert found["a"]["accuracy"] == pytest.approx(9 / 14)
     assert found["b"]["roc_auc"] == 1.0 and found["b"]["accuracy"] == 1.0
 
 
@@ -119,11 +145,36 @@ def test_empty_table_has_no_metrics(spark):
 
 
 def test_matrix_rows_are_actual_columns_predicted(spark):
-    matrix = metrics.confusion_matrix(frame(spark, [0, 0, 1, 1], [0, 1, 1, 1]))
-    assert rows(matrix) == [(0, 0, 1), (0, 1, 1), (1, 0, 0), (1, 1, 2)]
+    matrix = metrics.confusion_matrix(frame(spark, [1, 1, 1, 0, 0], [0, 1, 0, 0, 0]))
+    assert rows(matrix) == [(0, 0, 2), (0, 1, 0), (1, 0, 2), (1, 1, 1)]
     wide = metrics.confusion_table(matrix, [0, 1])
     assert wide.columns == ["actual", "Predicted 0", "Predicted 1"]
-    assert [tuple(r) for r in wide.collect()] == [("Actual 0", 1, 1), ("Actual 1", 0, 2)]
+    assert [tuple(r) for r in wide.collect()] == [("Actual 0", 2, 0), ("Actual 1", 2, 1)]
+
+
+def test_labels_that_were_not_given_stay(spark):
+    df = frame(spark, [0, 1, 2, 2, 1], [0, 1, 1, 2, 2])
+    matrix = metrics.confusion_matrix(df, labels=[0, 1])
+    assert sum(r["n"] for r in matrix.collect()) == 5 and matrix.count() == 9
+    wide = metrics.confusion_table(matrix, [1, 0])
+    assert wide.columns == ["actual", "Predicted 1", "Predicted 0", "Predicted 2"]
+
+
+def test_missing_labels_raise(spark):
+    df = frame(spark, [0, None, 1], [0, 1, None])
+    with pytest.raises(ValueError, match="2 rows have a missing label"):
+        metrics.confusion_matrix(df)
+    with pytest.raises(ValueError, match="2 rows have a missing label"):
+        metrics.classification_report(df)
+
+
+def test_very_many_labels(spark):
+    df = spark.range(150_000).select(F.col("id").alias("y_true"), (F.col("id") % 1000).alias("y_pred"))
+    cells = metrics.confusion_matrix(df, dense=False)
+    assert cells.agg(F.sum("n"), F.count(F.lit(1))).first() == (150_000, 150_000)
+    report = metrics.classification_report(df)
+    assert report.count() == 150_003
+    assert report.where("position = 150000").first()["label"] == "149999"
 
 
 def test_matrix_with_given_labels_and_one_class(spark):
@@ -161,7 +212,7 @@ def test_report_with_a_class_that_is_never_predicted(spark):
 
 
 def test_train_accuracy(spark):
-    assert metrics.train_accuracy(frame(spark, TRUE, PRED)).first()[0] == pytest.approx(0.8)
+    assert metrics.train_accuracy(frame(spark, TRUE, PRED)).first()[0] == pytest.approx(9 / 14)
 
 
 def test_cells_are_counted_before_the_shuffle(spark, sf_dir):

@@ -47,8 +47,7 @@ def test_predictions_probabilities_and_accuracy(table, algorithm, params):
 
 def test_the_same_seed_gives_the_same_forest_in_any_layout(table):
     def fit(df, **params):
-        model = models.train_model(df, FEATURES, "target", "id", params={**SMALL, **params},
-                                   partitions=4)
+        model = models.train_model(df, FEATURES, "target", "id", params={**SMALL, **params})
         return {r["id"]: r["y_pred_proba"] for r in models.score(model, table).collect()}
 
     first = fit(table)
@@ -57,12 +56,67 @@ def test_the_same_seed_gives_the_same_forest_in_any_layout(table):
     assert first != fit(table, random_state=7)
 
 
+def test_a_forest_does_not_depend_on_the_session(spark, table):
+    found = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    for number in ("8", "16"):
+        spark.conf.set("spark.sql.shuffle.partitions", number)
+        model = models.train_model(table, FEATURES, "target", "id", params=SMALL)
+        found.append({r["id"]: r["y_pred_proba"] for r in models.score(model, table).collect()})
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("algorithm", models.ALGORITHMS)
+@pytest.mark.parametrize("kind", ["text", "number", "date"])
+def test_any_label_comes_back(spark, tmp_path, table, algorithm, kind):
+    low, high = {
+        "text": (F.lit("it's \\ low"), F.lit("up")), "number": (F.lit(-3), F.lit(40)),
+        "date": (F.lit("2020-01-01").cast("date"), F.lit("2021-01-01").cast("date")),
+    }[kind]
+    named = table.withColumn("target", F.when(F.col("target") == 1, high).otherwise(low))
+    params = SMALL if algorithm == "random_forest" else None
+    model = models.train_model(named, FEATURES, "target", "id", algorithm, params)
+    model.write().overwrite().save(str(tmp_path / "m"))
+    found = models.score(type(model).load(str(tmp_path / "m")), named)
+    assert dict(found.dtypes)["y_pred"] == dict(named.dtypes)["target"]
+    assert found.agg(F.avg((F.col("y_pred") == F.col("target")).cast("int"))).first()[0] > 0.9
+    high_first = found.groupBy("target").agg(F.avg("y_pred_proba").alias("p")).orderBy("target")
+    assert [r["p"] > 0.5 for r in high_first.collect()] == [False, True]
+
+
+@pytest.mark.parametrize("algorithm", models.ALGORITHMS)
+def test_class_weights_move_the_scores(table, algorithm):
+    def mean(weight):
+        params = {**(SMALL if algorithm == "random_forest" else {}), "class_weight": weight}
+        model = models.train_model(table, FEATURES, "target", "id", algorithm, params)
+        return models.score(model, table).agg(F.avg("y_pred_proba")).first()[0]
+
+    assert mean({0: 20.0}) < mean(None) < mean({1: 20.0})
+    with pytest.raises(ValueError, match="class_weight"):
+        mean({"x": 2.0})
+    counts = [r["n"] for r in models.class_table(table, "target").collect()]
+    assert models.class_weights([0, 1], counts, "balanced") == [sum(counts) / 2 / n for n in counts]
+
+
+def test_penalties(table):
+    def coefficients(**params):
+        model = models.train_model(table, FEATURES, "target", "id", "logistic_regression", params)
+        return [float(c) for c in model.stages[1].coefficients]
+
+    assert any(c == 0.0 for c in coefficients(penalty="l1", C=0.01))
+    assert all(c != 0.0 for c in coefficients(penalty="elasticnet", l1_ratio=0.0))
+    for wrong in ({"penalty": "elasticnet"}, {"penalty": "l3"}):
+        with pytest.raises(ValueError):
+            models.logistic_settings(10, wrong)
+
+
 def test_regression_meets_its_optimum(table):
     """The gradient of |w|^2 / 2 + C * sum of losses vanishes."""
     c = 0.5
     model = models.train_model(table, FEATURES, "target", "id", "logistic_regression",
                                {"C": c, "tol": 1e-12})
-    fitted = model.stages[-1]
+    fitted = model.stages[1]
     pdf = table.toPandas()
     x, y = pdf[FEATURES].to_numpy(), pdf["target"].to_numpy()
     w = np.array(fitted.coefficients)
@@ -80,7 +134,7 @@ def test_a_saved_model_predicts_the_same(table, tmp_path):
 
 
 def test_trees_are_available_on_demand(table):
-    forest = models.train_model(table, FEATURES, "target", "id", params=SMALL).stages[-1]
+    forest = models.train_model(table, FEATURES, "target", "id", params=SMALL).stages[1]
     assert len(forest.trees) == 10 and forest.trees[0].depth <= 4
     assert isinstance(forest.featureImportances.toArray(), np.ndarray)
     assert forest.predict(DenseVector([0.0, 0.0, 1.0])) in (0.0, 1.0)
@@ -100,7 +154,7 @@ def test_unknown_algorithm_is_rejected_before_reading(spark):
         ("random_forest", {"criterion": "other"}, ValueError),
         ("random_forest", {"C": 1.0}, TypeError),
         ("logistic_regression", {"solver": "saga"}, ValueError),
-        ("logistic_regression", {"penalty": "l1"}, ValueError),
+        ("logistic_regression", {"penalty": "l3"}, ValueError),
         ("logistic_regression", {"C": 0}, ValueError),
         ("logistic_regression", {"n_estimators": 5}, TypeError),
     ],

@@ -123,11 +123,16 @@ def test_other_label_types_are_coded(spark, kind):
     assert sorted(r["code"] for r in prepare.encode_target(df, "y").collect()) == [0, 1]
 
 
-def test_many_labels_are_joined_without_fetching_them(spark, monkeypatch):
-    monkeypatch.setattr(prepare, "small_table", lambda df, limit=0: df)
-    df = spark.range(500).select("id", F.format_string("v%04d", F.col("id") % 250).alias("y"))
+def test_many_labels_are_coded(spark):
+    df = spark.range(150_000).select("id", F.format_string("v%06d", F.col("id")).alias("y"))
     coded = prepare.encode_target(df, "y")
-    assert all(r["code"] == r["id"] % 250 for r in coded.collect())
+    assert coded.where("code <> id").isEmpty() and coded.count() == 150_000
+
+
+def test_removing_duplicates_needs_no_sort(spark):
+    df = spark.range(100).select("id", (F.col("id") % 7).cast("double").alias("x"), F.lit(1).alias("target"))
+    text = plan(prepare.clean_data(df, ["x"], "id"))
+    assert "SortAggregate" not in text and "HashAggregate" in text
 
 
 def test_present_feature_test_reaches_the_scan(events):

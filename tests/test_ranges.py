@@ -1,33 +1,18 @@
-import bisect
+import math
 
 import pytest
-from conftest import rows
-from hypothesis import HealthCheck, given, settings
-from hypothesis import strategies as st
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from rowmill.operators.ranges import dense_index, range_bounds, with_bucket
-
-
-@settings(
-    max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
-)
-@given(
-    bounds=st.lists(st.integers(-50, 50), unique=True, max_size=20).map(sorted),
-    values=st.lists(st.integers(-60, 60), min_size=1, max_size=30),
-)
-def test_bucket_is_the_number_of_bounds_not_above(spark, bounds, values):
-    df = spark.createDataFrame([(v, f"k{v + 100}") for v in values], "v long, t string")
-    names = [f"k{b + 100}" for b in bounds]
-    found = with_bucket(with_bucket(df, "v", bounds, "b"), "t", sorted(names), "c").collect()
-    assert all(r["b"] == bisect.bisect_right(bounds, r["v"]) for r in found)
-    assert all(r["c"] == bisect.bisect_right(sorted(names), r["t"]) for r in found)
+from rowmill.operators.ranges import dense_index, range_count, with_range
 
 
 def test_missing_values_come_first_and_nan_last(spark):
-    df = spark.createDataFrame([(None,), (float("nan"),), (1.0,), (5.0,)], "v double")
-    found = {str(r["v"]): r["b"] for r in with_bucket(df, "v", [2.0, 4.0], "b").collect()}
-    assert found["None"] == found["1.0"] == 0 and found["5.0"] == 2 and found["nan"] > 2
+    df = spark.createDataFrame([(None,), (math.nan,), (1.0,), (5.0,)] * 5, "v double")
+    found = with_range(df, ["v"], "r", rows_per_bucket=2).collect()
+    ends = {str(r["v"]): r["r"] for r in found}
+    assert ends["None"] <= ends["1.0"] <= ends["5.0"] <= ends["nan"]
+    assert all(r["r"] == ends[str(r["v"])] for r in found)
 
 
 def test_whole_numbers_beyond_double_precision_stay_in_order(spark):
@@ -37,22 +22,15 @@ def test_whole_numbers_beyond_double_precision_stay_in_order(spark):
     assert all(r["index"] == r["k"] - big for r in found)
 
 
-def test_one_range_needs_no_bounds(events):
-    assert range_bounds(events, "value") == []
+def test_ranges_follow_the_rows_without_a_ceiling(spark):
+    assert range_count(spark.range(0), 10) == 1
+    assert range_count(spark.range(100_001), 5) == 20_001
 
 
-def test_bounds_balance_the_ranges(spark):
+def test_ranges_are_balanced(spark):
     df = spark.range(20_000).select((F.col("id") * F.col("id")).cast("double").alias("v"))
-    bounds = range_bounds(df, "v", rows_per_bucket=1000)
-    counts = with_bucket(df, "v", bounds, "b").groupBy("b").count().collect()
-    assert len(counts) == 20
-    assert max(r["count"] for r in counts) < 4000
-
-
-def test_a_hot_value_yields_one_bound(spark):
-    df = spark.range(3000).select(F.when(F.col("id") < 2000, 5).otherwise(F.col("id")).alias("v"))
-    bounds = range_bounds(df, "v", rows_per_bucket=100)
-    assert bounds == sorted(set(bounds)) and 5 in bounds
+    counts = with_range(df, ["v"], "r", rows_per_bucket=1000).groupBy("r").count().collect()
+    assert len(counts) == 20 and max(r["count"] for r in counts) < 4000
 
 
 @pytest.mark.parametrize("rows_per_bucket", [10**6, 100, 7])
@@ -64,6 +42,14 @@ def test_index_is_dense_and_in_key_order(spark, rows_per_bucket):
     assert {r["k"]: r["index"] for r in indexed.collect()} == {k: i for i, k in enumerate(ordered)}
 
 
+def test_index_in_a_given_order(spark):
+    df = spark.createDataFrame([(1, "b"), (2, "b"), (1, "a"), (2, "a")], "n int, v string")
+    found = dense_index(df, [F.desc("n"), F.asc("v")], rows_per_bucket=1)
+    assert {(r["n"], r["v"]): r["index"] for r in found.collect()} == {
+        (2, "a"): 0, (2, "b"): 1, (1, "a"): 2, (1, "b"): 3
+    }
+
+
 @pytest.mark.parametrize("kind", ["string", "timestamp", "timestamp_ntz", "date", "decimal(12,2)"])
 def test_index_over_other_key_types(spark, kind):
     number = F.col("id") * 37 % 401
@@ -82,3 +68,9 @@ def test_index_over_other_key_types(spark, kind):
 
 def test_index_of_an_empty_table(spark):
     assert rows(dense_index(spark.createDataFrame([], "k long"), "k")) == []
+
+
+def test_no_row_passes_through_a_single_task(spark):
+    text = plan(dense_index(spark.range(1000).toDF("k"), "k", rows_per_bucket=100))
+    above, _, below = text.partition("SinglePartition")
+    assert "SinglePartition" not in below and "_rows" in above

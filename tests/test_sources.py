@@ -1,5 +1,6 @@
 import json
 import math
+import os
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -8,7 +9,7 @@ from conftest import rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from rowmill.functions import shared_folder, small_table, stored
+from rowmill.functions import remove_folders, shared_folder, small_table, stored, tables
 from rowmill.operators import metrics
 from rowmill.sources import artifacts
 from rowmill.sources.tables import Catalog, read_dataset, read_labeled, write_dataset
@@ -134,22 +135,51 @@ def test_stored_tables_live_in_the_shared_folder(spark, events):
     assert kept.count() == events.count()
 
 
-def session_with(master, folder):
-    conf = SimpleNamespace(get=lambda name, default: folder or default)
-    return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+def session_with(**settings):
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: settings.get(name, default)))
 
 
 def test_the_shared_folder_comes_from_the_session():
-    assert shared_folder(session_with("yarn", "hdfs://x/shared")) == "hdfs://x/shared"
-    assert shared_folder(session_with("local[2]", None)) == shared_folder(
-        session_with("local[2]", None)
-    )
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(session_with("yarn", None))
+    warehouse = {"spark.sql.warehouse.dir": "hdfs://x/warehouse"}
+    assert shared_folder(session_with(**warehouse)) == "hdfs://x/warehouse/rowmill-stages"
+    named = session_with(**warehouse, **{"spark.checkpoint.dir": "hdfs://x/shared"})
+    assert shared_folder(named) == "hdfs://x/shared"
+
+
+def test_stored_tables_can_be_removed(spark, monkeypatch):
+    monkeypatch.setattr(tables, "_folders", [])
+    path = stored(spark.range(3)).inputFiles()[0].removeprefix("file://")
+    assert os.path.exists(path)
+    remove_folders()
+    assert not os.path.exists(path)
 
 
-def test_small_tables_are_local_and_large_ones_unchanged(spark, events):
+def test_small_tables_become_local(spark, events):
     types = events.select("event_type").distinct()
     assert small_table(types) is not types
     assert rows(small_table(types)) == rows(types)
-    assert small_table(types, 2) is types
+
+
+@pytest.mark.parametrize("names", [("1", "01"), ("2024-01-01", "2024-1-1"), ("1.0", "1")])
+def test_run_names_stay_text(spark, tmp_path, names):
+    path, df = str(tmp_path / "runs"), predictions(spark)
+    for name in names:
+        artifacts.write_run_result(df, path, name, "id")
+    found = artifacts.read_run_results(spark, path)
+    assert dict(found.dtypes)["run_id"] == "string" and dict(found.dtypes)["id"] == dict(df.dtypes)["id"]
+    assert rows(found.groupBy("run_id").count()) == sorted((n, 3) for n in names)
+
+
+@pytest.mark.parametrize("cell", ["abc", "1;5"])
+def test_bad_cells_are_named(spark, tmp_path, cell):
+    (tmp_path / "t.csv").write_text(f"id,diagnosis,a\n1,M,1.5\n2,B,{cell}\n3,B,NA\n")
+    with pytest.raises(Exception, match=f"column a holds a cell that is no double: {cell}"):
+        read_labeled(spark, str(tmp_path / "t.csv")).collect()
+
+
+def test_the_catalogue_keeps_a_scaler(spark, tmp_path, events):
+    entries = {"scaler": {"filepath": "scaler.pkl", "type": "pickle.PickleDataset"}}
+    catalog = Catalog.from_mapping(spark, str(tmp_path), entries)
+    scaler = events.agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    catalog.write("scaler", scaler)
+    assert rows(catalog.read("scaler")) == rows(scaler)

@@ -2,35 +2,43 @@ import hashlib
 
 import pytest
 from conftest import plan
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from rowmill.operators import splitting
 
 
-def test_quotas_of_the_known_table():
-    quotas = splitting.class_quotas([(0, 357), (1, 212)], 0.3)
-    assert [q.test for q in quotas] == [107, 64]
-    assert sum(q.train for q in splitting.class_quotas([(0, 357), (1, 212)], 0.2)) == 455
+def quotas_of(spark, counts, size):
+    """{class: (rows, train, test)}"""
+    df = spark.createDataFrame(counts, "value long, rows long")
+    return {r["value"]: tuple(r)[1:] for r in splitting.class_quotas(df, size).collect()}
 
 
-@settings(max_examples=200, deadline=None)
+def test_quotas_of_the_known_table(spark):
+    assert [q[2] for q in quotas_of(spark, [(0, 357), (1, 212)], 0.3).values()] == [107, 64]
+    assert sum(q[1] for q in quotas_of(spark, [(0, 357), (1, 212)], 0.2).values()) == 455
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
     counts=st.lists(st.integers(2, 10**13), min_size=1, max_size=8),
     share=st.floats(0.01, 0.99),
 )
-def test_quotas_add_up(counts, share):
+def test_quotas_add_up(spark, counts, share):
     total = sum(counts)
     try:
-        quotas = splitting.class_quotas(list(enumerate(counts)), share)
+        quotas = quotas_of(spark, list(enumerate(counts)), share)
     except ValueError:
         return
     n_train, n_test = splitting.side_sizes(total, share)
-    assert sum(q.train for q in quotas) == n_train and sum(q.test for q in quotas) == n_test
-    for q in quotas:
-        assert q.train + q.test == q.rows
-        assert q.rows * n_train // total <= q.train <= q.rows * n_train // total + 1
+    assert sum(q[1] for q in quotas.values()) == n_train
+    assert sum(q[2] for q in quotas.values()) == n_test
+    by_rest = sorted(quotas, key=lambda v: (-(counts[v] * n_train % total), v))
+    extra = n_train - sum(n * n_train // total for n in counts)
+    for v, (rows, train, test) in quotas.items():
+        assert train + test == rows == counts[v]
+        assert train == rows * n_train // total + (v in by_rest[:extra])
 
 
 @pytest.mark.parametrize(
@@ -45,9 +53,31 @@ def test_quotas_add_up(counts, share):
         ([], 0.5),
     ],
 )
-def test_impossible_splits_raise(counts, size):
+def test_impossible_splits_raise(spark, counts, size):
     with pytest.raises(ValueError):
-        splitting.class_quotas(counts, size)
+        quotas_of(spark, counts, size)
+
+
+def test_very_many_classes(spark):
+    df = spark.range(450_000).select("id", F.format_string("c%d", F.col("id") % 150_000).alias("c"))
+    train, test = splitting.train_test_split(df, "id", "c", 1 / 3)
+    assert (train.count(), test.count()) == (300_000, 150_000)
+    assert train.groupBy("c").count().where("count <> 2").isEmpty()
+
+
+def test_repeated_keys_never_miss_a_quota(spark):
+    df = spark.range(10_000).select((F.col("id") % 50).alias("k"), (F.col("id") % 100 < 50).alias("c"))
+    with pytest.raises(ValueError, match="k is not unique"):
+        splitting.stratified_split(df, "k", "c", 0.33)
+    twice = spark.range(400).select((F.col("id") % 200).alias("k"), F.lit("x").alias("c"))
+    assigned = splitting.stratified_split(twice, "k", "c", 0.25)
+    assert assigned.where("split = 'train'").count() == 300
+
+
+def test_a_class_without_a_cut_fails(events):
+    cuts = splitting.split_cuts(events.where("event_type <> 'view'"), "event_id", "event_type")
+    with pytest.raises(Exception, match="no cut for this class of event_type: view"):
+        splitting.assign_split(events, cuts, "event_id", "event_type").collect()
 
 
 def by_ranking(df, key, target, size, seed):
@@ -56,10 +86,11 @@ def by_ranking(df, key, target, size, seed):
     for r in df.select(key, target).collect():
         digest = hashlib.md5(f"{seed}:{r[0]}".encode()).hexdigest()
         members.setdefault(r[1], []).append((digest, r[0]))
-    quotas = splitting.class_quotas([(v, len(m)) for v, m in members.items()], size)
+    counts = [(v, len(m)) for v, m in members.items()]
+    table = df.sparkSession.createDataFrame(counts, "value string, rows long")
     train = set()
-    for q in quotas:
-        train |= {k for _, k in sorted(members[q.value])[: q.train]}
+    for q in splitting.class_quotas(table, size).collect():
+        train |= {k for _, k in sorted(members[q["value"]])[: q["train"]]}
     return train
 
 
