@@ -575,6 +575,202 @@ def metrics_by_run(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------------------
+# Models whose fit has a form in SQL: one split, and a regression on two coefficients
+
+STUMP = {"n_estimators": 1, "max_depth": 1, "bootstrap": False, "max_features": None}
+BANDS = ["band", "user_band"]
+
+
+def event_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with two features of at most 25 values each, so every cut is a candidate."""
+    return table(spark, sf_dir, "events").select(
+        "event_id",
+        "event_type",
+        F.least(F.floor(F.col("value") / 20), F.lit(24)).cast("double").alias("band"),
+        (F.col("user_id") % 20).cast("double").alias("user_band"),
+    )
+
+
+def event_stump(spark, sf_dir):
+    events = event_bands(spark, sf_dir)
+    return models.train_model(events, BANDS, "event_type", "event_id", params=STUMP), events
+
+
+def predict_classes(spark, sf_dir):
+    model, events = event_stump(spark, sf_dir)
+    return models.predict(model, events).select("event_id", "event_type", "y_pred")
+
+
+def predict_class_proba(spark, sf_dir):
+    model, events = event_stump(spark, sf_dir)
+    found = models.predict_proba(model, events)
+    chances = [rounded(F.col("y_proba")[i]).alias(f"p{i}") for i in range(5)]
+    return found.select("event_id", *chances)
+
+
+def clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    click = F.when(F.col("event_type") == "click", "yes").otherwise("no")
+    return event_bands(spark, sf_dir).withColumn("click", click)
+
+
+def train_click_stump(spark, sf_dir):
+    rows = clicks(spark, sf_dir)
+    model = models.train_model(rows, BANDS, "click", "event_id", params=STUMP)
+    scored = models.score(model, rows).withColumnRenamed("click", "y_true")
+    found = metrics.binary_metrics(scored, score="y_pred_proba", positive="yes")
+    return found.select("n", *[rounded(c).alias(c) for c in [*RATES, "roc_auc"]], *CELLS)
+
+
+def click_regression(spark, sf_dir):
+    rows = clicks(spark, sf_dir)
+    fitted = models.train_model(
+        rows, ["band"], "click", "event_id", "logistic_regression", {"tol": 1e-12}
+    )
+    return fitted, rows
+
+
+def train_click_regression(spark, sf_dir):
+    fitted, rows = click_regression(spark, sf_dir)
+    found = fitted.stages[1]
+    return rows.agg(F.count(F.lit(1)).alias("n")).select(
+        "n",
+        rounded(F.lit(float(found.coefficients[0])), 4).alias("coefficient"),
+        rounded(F.lit(float(found.intercept)), 4).alias("intercept"),
+    )
+
+
+def click_scores(spark, sf_dir):
+    fitted, rows = click_regression(spark, sf_dir)
+    found = models.score(fitted, rows)
+    return found.select("event_id", "y_pred", rounded("y_pred_proba", 4).alias("y_pred_proba"))
+
+
+def run_job_stump(spark, sf_dir):
+    rows = event_bands(spark, sf_dir)
+    source = rows.select("event_id", (F.col("event_type") < "f").cast("int").alias("target"), *BANDS)
+    config = JobConfig(n_features=2, random_forest=STUMP)
+    found = run_job(source, "event_id", "target", new_folder(spark), config, BANDS).metrics
+    return found.select("n", *[rounded(c).alias(c) for c in [*RATES, "roc_auc"]], *CELLS)
+
+
+EVENT_BANDS = """bands AS (
+  SELECT event_id, event_type, least(floor(value / 20), 24) + 0e0 AS band,
+         user_id % 20 + 0e0 AS user_band FROM events)"""
+
+
+def stump_sql(rows: str) -> str:
+    """The best cut of rows (event_id, y, band, user_band) by Gini, and the class counts on
+    either side of it: leaves (below, y, n) and the cut (j, t)."""
+    return f"""long AS (
+  SELECT event_id, y, 0 AS j, band AS x FROM {rows} UNION ALL
+  SELECT event_id, y, 1, user_band FROM {rows}),
+steps AS (
+  SELECT j, x, lead(x) OVER (PARTITION BY j ORDER BY x) AS above
+  FROM (SELECT DISTINCT j, x FROM long)),
+sides AS (
+  SELECT s.j, (s.x + s.above) / 2 AS t, long.x <= s.x AS below, y, count(*) AS n
+  FROM long JOIN steps s ON long.j = s.j WHERE s.above IS NOT NULL GROUP BY ALL),
+pure AS (
+  SELECT j, t, below, sum(n * n) / CAST(sum(n) AS DOUBLE) AS g FROM sides GROUP BY ALL),
+cut AS (SELECT j, t FROM pure GROUP BY j, t ORDER BY sum(g) DESC, j, t LIMIT 1),
+leaves AS (SELECT below, y, n, n / CAST(sum(n) OVER (PARTITION BY below) AS DOUBLE) AS p
+           FROM sides JOIN cut USING (j, t))"""
+
+
+BELOW = "CASE WHEN cut.j = 0 THEN band ELSE user_band END <= cut.t"
+
+
+def newton_sql(steps: int = 12) -> str:
+    """Newton steps for the loss of (x, n, k) plus w * w / 2, unrolled: the last is s{steps}."""
+    parts = ["s0 AS (SELECT 0e0 AS w, 0e0 AS b)"]
+    for i in range(steps):
+        parts.append(f"""g{i} AS (
+  SELECT w, b, x, n, k, 1 / (1 + exp(-(w * x + b))) AS p FROM folded, s{i}),
+h{i} AS (
+  SELECT any_value(w) AS w, any_value(b) AS b, sum((n * p - k) * x) + any_value(w) AS gw,
+         sum(n * p - k) AS gb, sum(n * p * (1 - p) * x * x) + 1 AS ww,
+         sum(n * p * (1 - p) * x) AS wb, sum(n * p * (1 - p)) AS bb FROM g{i}),
+s{i + 1} AS (
+  SELECT w - (bb * gw - wb * gb) / (ww * bb - wb * wb) AS w,
+         b - (ww * gb - wb * gw) / (ww * bb - wb * wb) AS b FROM h{i})""")
+    return ",\n".join(parts)
+
+
+REGRESSION = f"""{EVENT_BANDS},
+folded AS (SELECT band AS x, count(*) AS n, sum(CAST(event_type = 'click' AS INTEGER)) AS k
+           FROM bands GROUP BY band),
+{newton_sql()}"""
+
+SCORED_METRICS = """cells AS (
+  SELECT count(*) AS n, sum(CAST(y = hit AS INTEGER)) AS hits,
+         sum(CAST(hit = 1 AND y = 1 AS INTEGER)) AS tp, sum(CAST(hit = 1 AND y = 0 AS INTEGER)) AS fp,
+         sum(CAST(hit = 0 AND y = 1 AS INTEGER)) AS fn, sum(CAST(hit = 0 AND y = 0 AS INTEGER)) AS tn
+  FROM scored),
+by_score AS (SELECT p, sum(y) AS pos, sum(1 - y) AS neg FROM scored GROUP BY p),
+won AS (
+  SELECT sum(pos * (neg / 2e0 + coalesce((SELECT sum(neg) FROM by_score o WHERE o.p < s.p), 0)))
+         / nullif(CAST(sum(pos) AS DOUBLE) * sum(neg), 0) AS roc_auc FROM by_score s)
+SELECT n, round(hits / n, 6) + 0e0 AS accuracy,
+       round(coalesce(tp / nullif(tp + fp, 0), 0e0), 6) + 0e0 AS precision,
+       round(coalesce(tp / nullif(tp + fn, 0), 0e0), 6) + 0e0 AS recall,
+       round(coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0e0), 6) + 0e0 AS f1,
+       round(roc_auc, 6) + 0e0 AS roc_auc, CAST(tn AS BIGINT) AS tn, CAST(fp AS BIGINT) AS fp,
+       CAST(fn AS BIGINT) AS fn, CAST(tp AS BIGINT) AS tp
+FROM cells, won"""
+
+MODEL_SQL = {
+    "predict_classes": f"""WITH {EVENT_BANDS}, rows AS (SELECT *, event_type AS y FROM bands),
+      {stump_sql("rows")},
+      called AS (SELECT below, y, row_number() OVER (PARTITION BY below ORDER BY n DESC, y) AS place
+                 FROM leaves)
+      SELECT event_id, event_type, called.y AS y_pred
+      FROM bands, cut JOIN called ON place = 1 AND called.below = ({BELOW})""",
+    "predict_class_proba": f"""WITH {EVENT_BANDS}, rows AS (SELECT *, event_type AS y FROM bands),
+      {stump_sql("rows")},
+      ranked AS (SELECT event_type AS y, row_number() OVER (ORDER BY event_type) - 1 AS i
+                 FROM (SELECT DISTINCT event_type FROM events)),
+      wide AS (SELECT below, """ + ", ".join(
+        f"round(coalesce(max(CASE WHEN i = {i} THEN p END), 0), 6) + 0e0 AS p{i}" for i in range(5)
+    ) + f""" FROM leaves JOIN ranked USING (y) GROUP BY below)
+      SELECT event_id, p0, p1, p2, p3, p4 FROM bands, cut JOIN wide ON wide.below = ({BELOW})""",
+    "train_click_stump": f"""WITH {EVENT_BANDS},
+      rows AS (SELECT *, CAST(event_type = 'click' AS INTEGER) AS y FROM bands),
+      {stump_sql("rows")},
+      chance AS (SELECT below, coalesce(max(CASE WHEN y = 1 THEN p END), 0e0) AS p
+                 FROM leaves GROUP BY below),
+      scored AS (SELECT y, p, CAST(p > 0.5 AS INTEGER) AS hit
+                 FROM rows, cut JOIN chance ON chance.below = ({BELOW})),
+      {SCORED_METRICS}""",
+    "train_click_regression": f"""WITH {REGRESSION}
+      SELECT CAST((SELECT sum(n) FROM folded) AS BIGINT) AS n,
+             round(w, 4) + 0e0 AS coefficient, round(b, 4) + 0e0 AS intercept FROM s12""",
+    "click_scores": f"""WITH {REGRESSION},
+      chance AS (SELECT event_id, 1 / (1 + exp(-(w * band + b))) AS p FROM bands, s12)
+      SELECT event_id, CASE WHEN p > 0.5 THEN 'yes' ELSE 'no' END AS y_pred,
+             round(p, 4) + 0e0 AS y_pred_proba FROM chance""",
+    "run_job_stump": f"""WITH {EVENT_BANDS},
+      cleaned AS (SELECT min(event_id) AS event_id, band, user_band,
+                    arg_min(CAST(event_type < 'f' AS INTEGER), event_id) AS y
+                  FROM bands WHERE band IS NOT NULL AND user_band IS NOT NULL GROUP BY band, user_band),
+      counts AS (SELECT y, count(*) AS n FROM cleaned GROUP BY y),
+      total AS (SELECT sum(n) - CAST(ceil(0.3e0 * sum(n)) AS BIGINT) AS n_train, sum(n) AS rows FROM counts),
+      shares AS (SELECT y, n, (n * n_train) // rows AS share, (n * n_train) % rows AS rest, n_train
+                 FROM counts, total),
+      quota AS (SELECT y, share + CASE WHEN row_number() OVER (ORDER BY rest DESC, y)
+                  <= n_train - sum(share) OVER () THEN 1 ELSE 0 END AS quota FROM shares),
+      assigned AS (SELECT c.*, row_number() OVER (PARTITION BY y ORDER BY md5('42:' || event_id))
+                     <= quota AS training FROM cleaned c JOIN quota USING (y)),
+      rows AS (SELECT * FROM assigned WHERE training),
+      {stump_sql("rows")},
+      chance AS (SELECT below, coalesce(max(CASE WHEN y = 1 THEN p END), 0e0) AS p
+                 FROM leaves GROUP BY below),
+      scored AS (SELECT y, p, CAST(p > 0.5 AS INTEGER) AS hit
+                 FROM assigned, cut JOIN chance ON chance.below = ({BELOW}) WHERE NOT training),
+      {SCORED_METRICS}""",
+}
+
+
 # ---------------------------------------------------------------------------
 # Models and the whole job
 
@@ -773,6 +969,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "split_overlap": split_overlap,
         "null_counts": null_counts,
         "split_balance": split_balance,
+        "predict_classes": predict_classes,
+        "predict_class_proba": predict_class_proba,
+        "train_click_stump": train_click_stump,
+        "train_click_regression": train_click_regression,
+        "click_scores": click_scores,
+        "run_job_stump": run_job_stump,
     }
     return own | (corpus.QUERIES if corpus else {})
 
@@ -964,4 +1166,4 @@ def oracle_sql() -> dict[str, str]:
               / sum(count(*) FILTER (split = 'test')) OVER (), 6) + 0e0 AS test_share
           FROM assigned GROUP BY event_type""",
     }
-    return own | (corpus.ORACLES if corpus else {})
+    return own | MODEL_SQL | (corpus.ORACLES if corpus else {})
