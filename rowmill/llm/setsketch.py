@@ -8,8 +8,9 @@ Candidates go on if the joint likelihood of their registers doesn't rule the wan
 similarity out, and are then confirmed on their full shingle sets.
 
 Documents with equal sets are one class from the start. In a band, every class is first
-compared with the band's smallest one; only classes that this leaves in different
-components are then compared among themselves, so large groups cost no pairs.
+compared with the band's smallest one. Only classes that this leaves in different
+components are then compared among themselves, in blocks inside tasks, and only links
+that connect something leave a task, so no stage makes all pairs of a group.
 """
 
 from __future__ import annotations
@@ -33,6 +34,9 @@ REGISTERS = ROWS * BANDS
 BASE = 1.001
 RATE = 20.0
 TOP = (1 << 16) - 1
+#: Bounds of a block of classes that are compared among themselves.
+BLOCK_ROWS = 2000
+BLOCK_SHINGLES = 1_000_000
 #: Candidates stay unless their likeliest similarity beats the wanted one by this log ratio.
 MAX_LOG_RATIO = 16.0
 
@@ -267,19 +271,18 @@ def near_duplicates(
 
 def _links(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """Links (a, b) between classes that connect all that are similar."""
-    similarity = percent / 100
     bands = bands_of(classes)
     leaders = stored(
         bands.groupBy("band").agg(F.min("node").alias("leader"), F.max("node").alias("last"))
         .where("leader < last").select("band", "leader")
     )
     members = stored(bands.join(leaders, "band"))
+    # whole texts of the classes that share a band. The keys grow with the corpus, so the
+    # join merges at every size and texts are shuffled this once
+    nodes = members.select(F.col("node").alias("doc_id")).distinct()
+    chosen = stored(texts.join(nodes.hint("merge"), "doc_id").select(F.col("doc_id").alias("node"), "text"))
     stars = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    first = stored(estimated(stars, classes, similarity))
-    # whole texts of the classes in question, one row of each class
-    asked = first.select(F.col("a").alias("node")).union(first.select("b")).distinct()
-    chosen = stored(_texts_of(asked, texts))
-    good = stored(confirmed(first, chosen, width, percent))
+    good = stored(confirmed(estimated(stars, classes, percent / 100), chosen, width, percent))
 
     # classes of a band that the stars leave apart are compared among themselves
     apart = (
@@ -288,24 +291,112 @@ def _links(classes: DataFrame, texts: DataFrame, width: int, percent: int) -> Da
         .join(classes.select("node", "n_shingles"), "node")
     )
     mixed = stored(
-        apart.groupBy("band").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-        .where("low < high").select("band")
+        apart.groupBy("band")
+        .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count(F.lit(1)).alias("n"),
+             F.sum("n_shingles").alias("size"))
+        .where("low < high")
+        .select("band", F.expr(f"CAST(ceil(greatest(n / {BLOCK_ROWS}, size / {BLOCK_SHINGLES})) AS INT)").alias("blocks"))
     )
-    open_bands = stored(apart.join(mixed, "band"))
-    left, right = open_bands.alias("l"), open_bands.alias("r")
-    pairs = (
-        left.join(right, F.col("l.band") == F.col("r.band"))
-        .where("l.node < r.node AND l.part <> r.part")
-        .where(f"100 * least(l.n_shingles, r.n_shingles) >= {percent} * greatest(l.n_shingles, r.n_shingles)")
-        .select(F.col("l.node").alias("a"), F.col("r.node").alias("b")).distinct()
-    )
-    tried = first.select("a", "b")
-    second = stored(estimated(pairs.join(tried, ["a", "b"], "left_anti"), classes, similarity))
-    asked = second.select(F.col("a").alias("node")).union(second.select("b")).distinct()
-    more = stored(_texts_of(asked, texts))
-    return good.union(confirmed(second, more, width, percent))
+    found = cross_links(apart.select("band", "node", "part").join(mixed, "band"), chosen, width, percent)
+    return good.union(confirmed(found, chosen, width, percent))
+
+
+def cross_links(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (a, b) between classes of a band in different parts, enough to connect all
+    parts that some link connects. ``rows`` has (band, node, part, blocks).
+
+    A band with many members is cut into blocks that meet in pairs, so a task holds two
+    blocks at most. Sets are compared inside the task through an index of their shingles;
+    only links leave it. Shingles are cut to 32 bits here, which can only add links; the
+    caller confirms them.
+    """
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_slices(batches):
+            ends, hashes, _ = shingles(part.column("text"), width)
+            short, bounds = (hashes >> np.uint64(32)).astype(np.uint32), ends.tolist()
+            packed = [np.unique(short[a:b]).tobytes() for a, b in zip(bounds, bounds[1:])]
+            yield pa.record_batch(
+                [part.column("node"), pa.array(np.diff(ends), pa.int64()), binary_rows(packed)], ["node", "n", "grams"]
+            )
 
+    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least("own", other).alias("i"), F.greatest("own", other).alias("j")),
+    )
+    dealt = (
+        rows.withColumn("own", own).withColumn("place", F.explode(meets))
+        .select("band", "place.i", "place.j", "own", "node", "part")
+        .join(texts.mapInArrow(sets, "node long, n long, grams binary"), "node")
+        .repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    )
 
-def _texts_of(nodes: DataFrame, texts: DataFrame) -> DataFrame:
-    """(node, text); rows that share an id are all taken."""
-    return texts.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id").select(F.col("doc_id").alias("node"), "text")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = np.stack([batch.column(c).to_numpy() for c in ("band", "i", "j")])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            if held and any(held[-1].column(c)[-1] != batch.column(c)[0] for c in ("band", "i", "j")):
+                yield _pairs(_between(held, percent))
+                held = []
+            out, at = [], 0
+            for cut in cuts.tolist():
+                out += _between([*held, batch.slice(at, cut - at)], percent)
+                held, at = [], cut
+            held.append(batch.slice(at))
+            yield _pairs(out)
+        if held:
+            yield _pairs(_between(held, percent))
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
+
+
+def _pairs(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*links) if links else ((), ())
+    return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+def _between(batches: list[pa.RecordBatch], percent: int) -> list[tuple[int, int]]:
+    """Links between different parts of one meeting of blocks."""
+    column = lambda c: np.concatenate([b.column(c).to_numpy() for b in batches])
+    node, part, size, own = (column(c) for c in ("node", "part", "n", "own"))
+    two_blocks = bool(batches[0].column("i")[0] != batches[0].column("j")[0])
+    names, part = np.unique(part, return_inverse=True)
+    if len(names) == 1:
+        return []
+    grams = [np.frombuffer(g, np.uint32) for b in batches for g in b.column("grams").to_pylist()]
+    owner = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
+    _, code = np.unique(np.concatenate(grams), return_inverse=True)
+    order = np.argsort(code, kind="stable")
+    holders, starts = owner[order], np.concatenate(([0], np.cumsum(np.bincount(code))))
+    bounds = np.concatenate(([0], np.cumsum([len(g) for g in grams])))
+    root = list(range(len(names)))
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    # the largest part has to be met by all others, but needn't ask itself
+    asking = np.flatnonzero(part != np.argmax(np.bincount(part)))
+    links = []
+    for q in asking.tolist():
+        codes = code[bounds[q] : bounds[q + 1]]
+        met = np.concatenate([holders[a:b] for a, b in zip(starts[codes].tolist(), starts[codes + 1].tolist())])
+        common = np.bincount(met, minlength=len(node))
+        other = part != part[q]
+        if two_blocks:
+            other &= own != own[q]
+        near = np.flatnonzero(other & (100 * common >= percent * (size[q] + size - common)) & (common > 0))
+        for t in near.tolist():
+            x, y = find(int(part[q])), find(int(part[t]))
+            if x != y:
+                links.append((int(min(node[q], node[t])), int(max(node[q], node[t]))))
+                # a link that a few chance matches could have made connects nothing yet
+                if 100 * (common[t] - 2) >= percent * (size[q] + size[t] - common[t] + 2):
+                    root[x] = y
+    return links
