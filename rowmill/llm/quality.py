@@ -33,6 +33,9 @@ MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 MIN_PROBABILITY = 0.5
 
+#: Stands for every pair of two equal words.
+EQUAL_PAIR = mix(np.array([2], np.uint64))[0]
+
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -111,7 +114,9 @@ class Texts:
         are those that lie whole inside it."""
         mask, high = np.uint64(BUCKETS - 1), np.uint64(40)
         single = ((self.hashes >> high) & mask).astype(np.int64)
-        pairs = ((rolled(self.hashes, 2) >> high) & mask).astype(np.int64)
+        pairs = rolled(self.hashes, 2)
+        pairs[self.hashes[1:] == self.hashes[:-1]] = EQUAL_PAIR
+        pairs = ((pairs >> high) & mask).astype(np.int64)
         d = self.data.astype(np.uint64)
         grams = (d[:-2] << np.uint64(16)) | (d[1:-1] << np.uint64(8)) | d[2:] if len(d) > 2 else d[:0]
         chars = (((grams * np.uint64(0x9E3779B97F4A7C15)) >> high) & mask).astype(np.int64) + BUCKETS
