@@ -1,6 +1,7 @@
 """Run the job on a CSV table, or compare stored runs.
 
-    python -m rowmill run      INPUT OUT [--config FILE] [--key id] [--label diagnosis] [--run-id NAME]
+    python -m rowmill run      INPUT OUT [--config FILE] [--key id] [--label diagnosis]
+                                       [--run-id NAME] [--partitions N]
     python -m rowmill compare  RUNS FIRST [--key id]
 
 The session's settings (master, memory, shuffle partitions) come from spark-submit
@@ -31,6 +32,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
     run.add_argument("--key", default="id")
     run.add_argument("--label", default="diagnosis")
     run.add_argument("--run-id")
+    run.add_argument("--partitions", type=int, help="layout a forest is grown in")
     compare = commands.add_parser("compare", help="compare stored runs with the first")
     compare.add_argument("runs")
     compare.add_argument("first")
@@ -42,6 +44,8 @@ def main(arguments: list[str] | None = None) -> None:
     options = parse(arguments)
     if options.command == "run":
         config = JobConfig.load(options.config) if options.config else JobConfig()
+        if options.partitions:
+            config = config.with_changes(partitions=options.partitions)
     spark = SparkSession.builder.appName("rowmill").getOrCreate()
     if options.command == "run":
         table = read_labeled(spark, options.input, options.key, options.label)

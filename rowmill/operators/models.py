@@ -41,9 +41,10 @@ LOGISTIC_OPTIONS = (*LOGISTIC_DEFAULTS, "penalty", "l1_ratio", "fit_intercept",
                     "class_weight", "aggregation_depth", *WITHOUT_EFFECT)
 MAX_TREE_DEPTH = 30
 
-# Rows are laid out in as many partitions unless the caller says otherwise. A forest depends
-# on this number, so it never comes from the session.
-PARTITIONS = 32
+# Rows are laid out in one partition per so many rows and at least so many partitions, unless
+# the caller names a number. A forest depends on it, so it never comes from the session.
+ROWS_PER_PARTITION = 250_000
+LEAST_PARTITIONS = 8
 
 
 class ForestModel(RandomForestClassificationModel):
@@ -196,14 +197,14 @@ def train_model(
     key: str,
     algorithm: str = "random_forest",
     params: Mapping | None = None,
-    partitions: int = PARTITIONS,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Fit a classifier on classes of any type; predictions are of the same type.
 
     Classes are numbered in ascending order. The rows are laid out by key in
-    ``partitions`` parts, whatever the session's settings, and kept for the duration of the
-    fit, in memory or on executor disks; lost ones are read again. The model remembers
-    classes and partitions.
+    ``partitions`` parts, by default a number that follows from the rows alone, and kept for
+    the duration of the fit, in memory or on executor disks; lost ones are read again. The
+    model remembers classes and partitions.
     """
     check_params(algorithm, params)
     require_columns(df, [key, target, *features])
@@ -213,6 +214,7 @@ def train_model(
     classes, counts = [r["value"] for r in found], [r["n"] for r in found]
     if any(c is None for c in classes):
         raise ValueError(f"{target} has missing values")
+    partitions = partitions or max(LEAST_PARTITIONS, -(-sum(counts) // ROWS_PER_PARTITION))
     kind = df.schema[target].dataType.simpleString()
     names = "array(" + ", ".join(_literal(c, kind) for c in classes) + ")"
     weights = class_weights(classes, counts, (params or {}).get("class_weight"))

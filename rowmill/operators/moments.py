@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.functions import quoted, require_columns
+from rowmill.functions import quoted, require_columns, stored
 
 
 def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -73,6 +73,8 @@ def combine_classes(class_moments: DataFrame) -> DataFrame:
     ``between`` and ``within`` are the sums of squares of the class means around
     the overall mean and of the values around their class mean.
     """
+    # read twice, so stored; classes meet in sums, however many there are
+    class_moments = stored(class_moments)
     # A class in which every value is missing has neither mean nor variance.
     overall = class_moments.groupBy("position", "feature").agg(
         F.sum("n").alias("n"),
@@ -81,15 +83,17 @@ def combine_classes(class_moments: DataFrame) -> DataFrame:
         F.sum(F.col("n") * F.col("var_pop")).alias("within"),
         F.min("low").alias("low"),
         F.max("high").alias("high"),
-        F.collect_list(F.when(F.col("n") > 0, F.struct("n", "mean"))).alias("_groups"),
     )
     constant = F.col("low") == F.col("high")
-    between = F.aggregate(
-        "_groups",
-        F.lit(0.0),
-        lambda total, g: total + g["n"] * F.pow(g["mean"] - F.col("_mean"), F.lit(2)),
+    centre = overall.select("position", F.col("_mean").alias("_centre"))
+    spread = (
+        class_moments.where("n > 0")
+        .join(centre, "position")
+        .groupBy("position")
+        .agg(F.sum(F.col("n") * F.pow(F.col("mean") - F.col("_centre"), F.lit(2))).alias("_between"))
     )
-    return overall.select(
+    between = F.coalesce("_between", F.lit(0.0))
+    return overall.join(spread, "position", "left").select(
         "position",
         "feature",
         "n",

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field, fields, replace
 from pathlib import Path
 
 from rowmill.operators.metrics import METRICS
-from rowmill.operators.models import PARTITIONS, check_params
+from rowmill.operators.models import check_params
 
 
 @dataclass(frozen=True)
@@ -17,7 +17,7 @@ class JobConfig:
 
     ``fit_on`` says which rows the scaler and the feature scores are fitted on:
     "train" keeps the test rows out; "all" uses every row before splitting.
-    ``partitions`` is the layout a forest is grown in, ``keep_stages`` also stores
+    ``partitions`` is the layout a forest is grown in (None: from the rows), ``keep_stages`` also stores
     the raw target and the table with all features scaled.
     """
 
@@ -31,7 +31,7 @@ class JobConfig:
     logistic_regression: Mapping = field(default_factory=dict)
     metrics: tuple[str, ...] = METRICS
     fit_on: str = "train"
-    partitions: int = PARTITIONS
+    partitions: int | None = None
     keep_stages: bool = False
 
     def __post_init__(self):

@@ -4,6 +4,7 @@ from conftest import plan
 from pyspark.sql import functions as F
 
 from rowmill.operators import scaling, selection
+from rowmill.operators.moments import moments
 
 
 def f_by_hand(x, y):
@@ -96,10 +97,20 @@ def test_projection_reads_only_the_selected_columns(spark, sf_dir):
 
 
 def test_class_statistics_are_folded_before_the_shuffle(items):
-    text = plan(selection.anova_f(items, FEATURES, "l_returnflag"))
+    text = plan(moments(items, FEATURES, ["l_returnflag"]))
     assert "partial_var_pop" in text or "partial_central_moment" in text or "partial_avg" in text
 
 
+def test_many_classes(spark):
+    df = spark.range(60_000).select((F.col("id") % 20_000).alias("y"), (F.col("id") % 7).cast("double").alias("x"))
+    found = selection.anova_f(df, ["x"], "y").first()["f_score"]
+    rows = df.toPandas()
+    groups = rows.groupby("y")["x"]
+    between = (groups.count() * (groups.mean() - rows["x"].mean()) ** 2).sum() / 19_999
+    within = ((rows["x"] - groups.transform("mean")) ** 2).sum() / 40_000
+    assert found == pytest.approx(between / within)
+
+
 def test_feature_names_with_spaces(spark):
     df = spark.createDataFrame([(0, 1.0), (0, 2.0), (1, 5.0), (1, 7.0)], "y int, `mean area` double")
     assert selection.anova_f(df, ["mean area"], "y").select(F.col("feature")).first()[0] == "mean area"
