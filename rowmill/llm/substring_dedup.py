@@ -1,11 +1,13 @@
 """Substring dedup by content-defined chunks.
 
 A gear rolling hash over the last ``GEAR_BYTES`` bytes decides at each word start whether
-a chunk begins there, so chunk bounds follow the content and text inserted elsewhere
-doesn't move them. Chunks are told apart by a 64-bit digest of their bytes. A digest
-belongs to the document with the smallest id that holds it, and in a document to its
-first chunk; other chunks are copies. Copies that follow each other over at least
-``min_words`` words are cut out; shorter runs, which common phrases make, stay.
+a cut falls there, so cuts follow the content and text inserted elsewhere doesn't move
+them. A chunk reaches from a cut to the first cut at least ``MIN_WORDS`` words on, and one
+more from the last cut that leaves as many words to the end of the text: chunks overlap, and
+each is long enough not to repeat by chance. Chunks are told apart by a 64-bit
+digest of their bytes. A digest belongs to the document with the smallest id that holds it,
+and in a document to its first chunk; other chunks are copies, and what copies cover is cut
+out of the text.
 """
 
 from __future__ import annotations
@@ -14,7 +16,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
@@ -23,12 +24,15 @@ from rowmill.llm.common import filled, mix, offsets_of, text_slices
 
 #: Bytes that the rolling hash covers: each doubling in ``gear`` adds as many again.
 GEAR_BYTES = 16
-#: A word start begins a chunk with a probability of 1 in 2 ** CUT_BITS.
-CUT_BITS = 2
-#: Words of copied chunks in a row from which they are cut out.
-MIN_WORDS = 15
+#: A cut falls at a word start with a probability of 1 in 2 ** CUT_BITS.
+CUT_BITS = 1
+#: Words of a chunk, at least.
+MIN_WORDS = 25
 
 GEAR = (mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+#: A value for each byte, and the factor between neighbours in a digest.
+VALUES = mix(np.arange(1001, 1257, dtype=np.uint64))
+FACTOR = 0x9E3779B97F4A7C15
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 COPIES = "copied_chunks"
@@ -44,10 +48,30 @@ def gear(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def powers(factor: int, n: int) -> np.ndarray:
+    """factor ** 0 .. factor ** (n - 1) modulo 2 ** 64."""
+    out = np.ones(max(1, n), np.uint64)
+    done = 1
+    while done < n:
+        step = np.uint64(pow(factor, done, 1 << 64))
+        out[done : 2 * done] = out[: min(done, n - done)] * step
+        done *= 2
+    return out[:n]
+
+
+def digests(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """A 64-bit digest of each stretch of bytes, wherever it stands."""
+    n = len(data)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(VALUES[data] * powers(FACTOR, n), out=total[1:])
+    back = powers(pow(FACTOR, -1, 1 << 64), n + 1)[starts]
+    return mix((total[stops] - total[starts]) * back + mix((stops - starts).astype(np.uint64)))
+
+
 class Chunks:
-    """Chunks of a slice of texts: first byte, end, words, text and digest of each."""
+    """Chunks of a slice of texts: first byte, end, text and digest of each."""
 
-    def __init__(self, texts: pa.Array):
+    def __init__(self, texts: pa.Array, min_words: int = MIN_WORDS):
         texts = filled(texts)
         ends = offsets_of(texts)
         buffer = texts.buffers()[2]
@@ -57,21 +81,34 @@ class Chunks:
         blank = BLANK[data]
         first = ~blank
         first[1:] &= blank[:-1]
-        heads = self.ends[:-1][np.diff(self.ends) > 0]
+        full = np.diff(self.ends) > 0
+        heads, tails = self.ends[:-1][full], self.ends[1:][full]
         first[heads] = ~blank[heads]
         words = np.flatnonzero(first)
-        # a bound near the start of a text would depend on the text before it
-        owner = np.searchsorted(self.ends, words, "right") - 1
-        far = words - self.ends[owner] >= GEAR_BYTES
-        cut = words[far]
-        cut = cut[gear(data)[cut - 1] >> np.uint32(32 - CUT_BITS) == 0] if len(cut) else cut
-        self.starts = np.unique(np.concatenate((heads, cut)))
-        self.owner = np.searchsorted(self.ends, self.starts, "right") - 1
-        self.stops = np.append(self.starts[1:], len(data))[: len(self.starts)]
-        self.words = np.diff(np.searchsorted(words, np.append(self.starts, len(data))))
-        view, digest = self.data, xxhash.xxh3_64_intdigest
-        spans = zip(self.starts.tolist(), self.stops.tolist())
-        self.digests = np.fromiter((digest(view[a:b]) for a, b in spans), np.uint64, len(self.starts)).view(np.int64)
+        # a cut near the start of a text would depend on the text before it
+        far = words - self.ends[np.searchsorted(self.ends, words, "right") - 1] >= GEAR_BYTES
+        cuts = words[far]
+        cuts = cuts[gear(data)[cuts - 1] >> np.uint32(32 - CUT_BITS) == 0] if len(cuts) else cuts
+        # the bounds of each text in order: its start, its cuts, its end
+        place = np.concatenate((heads, cuts, tails))
+        text = np.concatenate((np.flatnonzero(full), np.searchsorted(self.ends, cuts, "right") - 1, np.flatnonzero(full)))
+        order = np.lexsort((place, text))
+        place, text = place[order], text[order]
+        number = np.searchsorted(words, place)  # words before the bound
+        reach = np.searchsorted(number, number + min_words)
+        whole = reach < len(place)
+        whole[whole] = text[reach[whole]] == text[whole]
+        begin, end = np.flatnonzero(whole), reach[whole]
+        # the last words of a text may lie beyond the last such cut: a chunk up to its end
+        last = np.flatnonzero(np.append(text[1:] != text[:-1], len(text) > 0)) if len(text) else text
+        back = np.searchsorted(number, number[last] - min_words, "right") - 1
+        own = (back >= 0) & (text[back] == text[last])
+        own[own] = reach[back[own]] != last[own]
+        begin, end = np.append(begin, back[own]), np.append(end, last[own])
+        order = np.lexsort((end, begin))
+        begin, end = begin[order], end[order]
+        self.starts, self.stops, self.owner = place[begin], place[end], text[begin]
+        self.digests = digests(data, self.starts, self.stops).view(np.int64)
 
     def first_in_text(self) -> np.ndarray:
         """Of each chunk: no earlier chunk of its text has its digest."""
@@ -81,7 +118,9 @@ class Chunks:
         return out
 
 
-def chunk_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def chunk_table(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+) -> DataFrame:
     """(digest, doc_id): the distinct chunks of each text. A null id counts as the largest."""
     rows = docs.select(
         F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"),
@@ -90,7 +129,7 @@ def chunk_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
-            chunks = Chunks(part.column("text"))
+            chunks = Chunks(part.column("text"), min_words)
             once = chunks.first_in_text()
             ids = part.column("doc_id").to_numpy(zero_copy_only=False)
             yield pa.record_batch(
@@ -105,13 +144,14 @@ def remove_repeats(
     report: bool = False,
 ) -> DataFrame:
     """The table with repeated passages cut out of its texts: all rows and columns stay, a
-    null text stays null, and a text that consists of copies becomes empty.
+    null text stays null, and a text that consists of copies becomes empty. Texts of fewer
+    than ``min_words`` words have no chunk and stay.
 
     With ``report`` instead (doc_id, n_chunks, n_copied, n_removed, text): chunks, copied
     chunks, and characters cut out. Rows that share an id count as one document and don't
     count as copies of each other; ids that are null are one document after all others.
     """
-    chunks = chunk_table(docs, key, text)
+    chunks = chunk_table(docs, key, text, min_words)
     repeated = stored(
         chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
         .where("first < last").select("digest", "first")
@@ -152,12 +192,11 @@ def remove_repeats(
 
 
 def _without_copies(texts: pa.Array, copies: pa.Array, min_words: int) -> tuple[pa.Array, dict]:
-    """The texts without long runs of copies, and counts of each."""
-    chunks, n = Chunks(texts), len(texts)
+    """The texts without what copies cover, and counts of each."""
+    chunks, n = Chunks(texts, min_words), len(texts)
     copied = ~chunks.first_in_text()
-    lists = copies.to_pylist()
     bounds = np.searchsorted(chunks.owner, np.arange(n + 1))
-    for i, own in enumerate(lists):
+    for i, own in enumerate(copies.to_pylist()):
         if own:
             a, b = bounds[i], bounds[i + 1]
             copied[a:b] |= np.isin(chunks.digests[a:b], np.array(own, np.int64))
@@ -168,16 +207,14 @@ def _without_copies(texts: pa.Array, copies: pa.Array, min_words: int) -> tuple[
     }
     out = texts.to_pylist()
     for i in np.unique(chunks.owner[copied]).tolist():
-        a, b = int(bounds[i]), int(bounds[i + 1])
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], copied[a:b].astype(np.int8), [0])))) + a
-        parts, at = [], int(chunks.ends[i])
-        for start, stop in edges.reshape(-1, 2).tolist():
-            if chunks.words[start:stop].sum() >= min_words:
-                parts.append(bytes(chunks.data[at : int(chunks.starts[start])]))
-                at = int(chunks.stops[stop - 1])
-        if parts or at > chunks.ends[i]:
-            parts.append(bytes(chunks.data[at : int(chunks.ends[i + 1])]))
-            cut = b"".join(parts).decode()
-            counts["n_removed"][i] = len(out[i]) - len(cut)
-            out[i] = cut
+        own = slice(bounds[i], bounds[i + 1])
+        at, parts = int(chunks.ends[i]), []
+        # starts and stops both ascend within a text
+        for start, stop in zip(chunks.starts[own][copied[own]].tolist(), chunks.stops[own][copied[own]].tolist()):
+            parts.append(bytes(chunks.data[at : max(at, start)]))
+            at = max(at, stop)
+        parts.append(bytes(chunks.data[at : int(chunks.ends[i + 1])]))
+        cut = b"".join(parts).decode()
+        counts["n_removed"][i] = len(out[i]) - len(cut)
+        out[i] = cut
     return pa.array(out, pa.string()), counts

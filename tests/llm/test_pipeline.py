@@ -51,24 +51,13 @@ def test_cuts_equal_brute_force(stages):
     seen, want = {}, {}
     for i, text in rows:
         chunks = sd.Chunks(pa.array([text]))
-        own, run, out = set(), [], []
-
-        def close():
-            if sum(n for _, n in run) < sd.MIN_WORDS:
-                out.extend(part for part, _ in run)
-            run.clear()
-
-        for d, a, b, n in zip(chunks.digests.tolist(), chunks.starts, chunks.stops, chunks.words):
-            copied = d in own or seen.get(d, i) != i
+        own, gone = set(), set()
+        for d, a, b in zip(chunks.digests.tolist(), chunks.starts.tolist(), chunks.stops.tolist()):
+            if d in own or seen.get(d, i) != i:
+                gone.update(range(a, b))
             own.add(d)
             seen.setdefault(d, i)
-            if copied:
-                run.append((bytes(chunks.data[a:b]), n))
-            else:
-                close()
-                out.append(bytes(chunks.data[a:b]))
-        close()
-        want[i] = b"".join(out).decode()
+        want[i] = bytes(x for p, x in enumerate(text.encode()) if p not in gone).decode()
     got = {r["doc_id"]: r["text"] for r in stages["substring_dedup"]}
     assert got == want
     assert all(r["n_chars"] == len(r["text"]) for r in stages["substring_dedup"])

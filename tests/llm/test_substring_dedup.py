@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 
 from rowmill.llm import substring_dedup as sd
@@ -30,11 +31,19 @@ def test_chunks_follow_the_content():
     body = words(rng, 300)
     a, b = sd.Chunks(pa.array([body])), sd.Chunks(pa.array(["some words put in front " + body]))
     common = set(a.digests.tolist()) & set(b.digests.tolist())
-    assert len(common) >= len(a.digests) - 3
+    assert len(common) >= len(a.digests) - 8
     one, two = "first text " + body, "another " + body
     together, alone = sd.Chunks(pa.array([one, two])), sd.Chunks(pa.array([two]))
     assert together.digests[together.owner == 1].tolist() == alone.digests.tolist()
-    assert "".join(bytes(a.data[s:e]).decode() for s, e in zip(a.starts, a.stops)) == body
+    assert all(len(bytes(a.data[s:e]).split()) >= sd.MIN_WORDS for s, e in zip(a.starts, a.stops))
+    covered = {p for s, e in zip(a.starts.tolist(), a.stops.tolist()) for p in range(s, e)}
+    assert covered == set(range(len(body)))
+
+
+def test_digests_do_not_depend_on_the_place():
+    data = np.frombuffer(b"some bytes, some bytes, other bytes", np.uint8)
+    got = sd.digests(data, np.array([0, 12, 24, 0]), np.array([10, 22, 35, 11]))
+    assert got[0] == got[1] and len({*got.tolist()}) == 3
 
 
 def test_passages_stay_once_and_clean_texts_are_left_alone(spark):
@@ -44,7 +53,7 @@ def test_passages_stay_once_and_clean_texts_are_left_alone(spark):
     for p, ids in holders.items():
         for i in ids[1:]:
             left = set(passages[p].split()) & set(got[i]["text"].split())
-            assert len(left) <= 25, (i, len(left))
+            assert len(left) <= 20, (i, len(left))
             assert got[i]["n_removed"] == len(texts[i]) - len(got[i]["text"]) > 100
     firsts = {ids[0] for ids in holders.values()}
     for i, text in rows:
