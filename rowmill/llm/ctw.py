@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rowmill.functions import stored
-from rowmill.llm.common import binary_rows, hash_words, mix, offsets_of, split_words, text_slices
+from rowmill.llm.common import binary_rows, hash_words, mix, offsets_of, small_batches, split_words, text_slices
 
 #: Bytes of context. Windows of DEPTH + 1 bytes have to fit into 64 bits.
 DEPTH = 5
@@ -204,7 +204,7 @@ def chunk_rows(docs: DataFrame, buckets: int, chunk_bytes: int) -> DataFrame:
         if parts:
             yield from rows()
 
-    return stored(docs.mapInArrow(run, CHUNKS))
+    return stored(small_batches(docs).mapInArrow(run, CHUNKS))
 
 
 def _chunk_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -230,6 +230,12 @@ def _answers(table: pa.Table, kind: int, keys: np.ndarray, values: np.ndarray, o
     })
 
 
+def bucket_count(chunks: float) -> int:
+    """Buckets for so many chunks. Both a bucket, which holds keys of all chunks, and the
+    number of rows, one per chunk and bucket, grow slower than with a fixed share."""
+    return max(64, 1 << math.ceil(math.log2(max(1.0, 8 * math.sqrt(chunks)))))
+
+
 # --- words ------------------------------------------------------------------------
 
 
@@ -316,7 +322,7 @@ def upper_nodes(sums: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def score_texts(
     docs: DataFrame, held_out, key: str = "doc_id", text: str = "text",
-    buckets: int = 64, chunk_bytes: int = CHUNK_BYTES,
+    buckets: int | None = None, chunk_bytes: int = CHUNK_BYTES,
 ) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes.
 
@@ -325,12 +331,16 @@ def score_texts(
     probability of the text, so -score / log10(2) / n_bytes is its code length per byte.
     base_score is a unigram word model's. A null or empty text is just its end; null ids
     stay null; repeated rows count each time; columns of other names are left out.
-    ``buckets`` should grow with the cluster; results don't depend on it.
+    Results don't depend on ``buckets``, the parts that keys are added up in; by default
+    their number follows from the bytes of text.
     """
     rows = docs.select(
         F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
     )
+    if buckets is None:
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        buckets = bucket_count(size / chunk_bytes)
     chunks = chunk_rows(rows, buckets, chunk_bytes)
     keys = chunks.select("kind", "chunk", "bucket", "keys", "counts")
     words, grams = keys.where(F.col("kind") == WORDS), keys.where(F.col("kind") == GRAMS)
