@@ -43,7 +43,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded_sha256): ids as little-endian uint32, and the digest
     of what they decode to."""
     path = tokenizer_path("byte_bpe_50k.json")
-    return bpe.decode_documents(bpe.encode_documents(docs, path), path).select(
+    return bpe.coded_and_decoded(docs, path, keep_table=False).select(
         "doc_id",
         F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
         "ids",

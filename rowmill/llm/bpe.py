@@ -19,10 +19,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from rowmill.llm.common import SLICE_BYTES, binary_rows, filled, keyed_texts, text_slices
+from rowmill.llm.common import SLICE_BYTES, binary_rows, filled, give_back, keyed_texts, text_slices
 
 #: Units that a task's table holds at most, when a batch begins.
-MAX_UNITS = 300_000
+MAX_UNITS = 200_000
 #: Characters of units that the tokenizer gets as one string.
 RUN_CHARS = 1 << 16
 
@@ -156,7 +156,7 @@ def encode_documents(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = unit_table(tokenizer)
-        for part in text_slices(batches, max_bytes=SLICE_BYTES):
+        for part in text_slices(batches):
             ids = table.encode(filled(part.column("text")).to_pylist())
             yield pa.record_batch([part.column("doc_id"), binary_rows(ids)], ["doc_id", "ids"])
 
@@ -178,9 +178,30 @@ def decode_documents(encoded: DataFrame, tokenizer: str) -> DataFrame:
     return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
 
 
+def coded_and_decoded(
+    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", keep_table: bool = True
+) -> DataFrame:
+    """(doc_id, ids, text) as ``decode_documents`` gives for ``encode_documents``, in one
+    pass: a second Python worker per task would hold a second table. Without ``keep_table``
+    a task drops its table at its end, which leaves memory to other work on the executor."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = unit_table(tokenizer)
+        for part in text_slices(batches):
+            ids = table.encode(filled(part.column("text")).to_pylist())
+            texts = pa.array(map(table.decode, ids), pa.string())
+            yield pa.record_batch([part.column("doc_id"), binary_rows(ids), texts], ["doc_id", "ids", "text"])
+        if not keep_table:
+            del table
+            unit_table.cache_clear()
+            give_back()
+
+    return keyed_texts(docs, key, text).mapInArrow(run, "doc_id long, ids binary, text string")
+
+
 def round_trip(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of encoding and decoding again."""
-    both = decode_documents(encode_documents(docs, tokenizer, key, text), tokenizer)
+    both = coded_and_decoded(docs, tokenizer, key, text)
     return both.select(
         "doc_id",
         F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 from collections.abc import Iterator
 
@@ -11,14 +13,44 @@ import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+#: Bytes of an Arrow batch between Spark and a Python worker, at most.
+BATCH_BYTES = 8 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 #: Bytes of text that a task handles at a time; a longer text is a slice of its own.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same table, after lowering the session's bound of Arrow batches to BATCH_BYTES: a
+    batch exists in the JVM and in the worker, and long texts make it large."""
+    conf = df.sparkSession.conf
+    if _bytes(conf.get(BATCH_SETTING)) > BATCH_BYTES:
+        conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    return df
+
+
+def _bytes(setting: str) -> int:
+    digits, unit = setting.lower().rstrip("b"), 1
+    if digits[-1:] in "kmgt":
+        digits, unit = digits[:-1], 1 << 10 * (1 + "kmgt".index(digits[-1]))
+    number = int(digits)
+    return number * unit if number > 0 else 1 << 62
+
+
+def give_back() -> None:
+    """Return freed memory to the system: workers outlive their tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def tokenizer_path(name: str) -> str:
     """The default place of a public tokenizer's file; operators take any path."""
     import public_tokenizers
@@ -28,7 +60,8 @@ def tokenizer_path(name: str) -> str:
 
 def keyed_texts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Just (doc_id, text); whatever else the table holds can't clash with results."""
-    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    named = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return small_batches(named)
 
 
 def offsets_of(array: pa.Array) -> np.ndarray:
@@ -51,6 +84,7 @@ def text_slices(
             stop = max(at + 1, int(np.searchsorted(ends, ends[at] + max_bytes, "right")) - 1)
             yield batch.slice(at, stop - at)
             at = stop
+    give_back()
 
 
 def filled(texts: pa.Array) -> pa.Array:

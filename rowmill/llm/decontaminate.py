@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
-from rowmill.llm.common import filled, keyed_texts, mix, offsets_of, split_words, text_slices
+from rowmill.llm.common import filled, keyed_texts, mix, offsets_of, small_batches, split_words, text_slices
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
@@ -171,39 +171,29 @@ def remove_benchmark(
     """
     if mode not in ("spans", "documents"):
         raise ValueError(f"mode {mode!r} is neither spans nor documents")
-    rows = _scanned(docs, text, benchmark, item_key, item_text, window, block_bytes, True)
-    names = docs.columns
-    if mode == "documents":
-        return rows.where(F.size(f"{HITS}.spans") == 0).select(*names)
+    cut = mode == "spans"
+    rows = _scanned(docs, text, benchmark, item_key, item_text, window, block_bytes, True, cut)
+    return rows if cut else rows.where(F.size(f"{HITS}.spans") == 0).select(*docs.columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, text):
-            spans = part.column(HITS).field("spans").to_pylist()
-            texts = part.column(text)
-            if any(spans):
-                texts = pa.array([_cut(t, s) for t, s in zip(texts.to_pylist(), spans)], pa.string())
-            yield pa.record_batch([texts if c == text else part.column(c) for c in names], names)
 
-    return rows.mapInArrow(run, docs.schema)
-
-
-def _cut(text: str | None, spans: list[dict]) -> str | None:
+def _cut(text: str | None, spans: list[tuple[int, int]]) -> str | None:
     if not spans:
         return text
     lowered = text.translate({c: c + 32 for c in range(65, 91)})
     words = [m.span() for m in re.finditer(WORD, lowered)]
     out, at = [], 0
-    for span in spans:
-        out.append(text[at : words[span["start"]][0]])
-        at = words[span["stop"] - 1][1]
+    for start, stop in spans:
+        out.append(text[at : words[start][0]])
+        at = words[stop - 1][1]
     return "".join([*out, text[at:]])
 
 
 def _scanned(
     rows: DataFrame, text: str, benchmark: DataFrame, item_key: str, item_text: str,
-    window: int, block_bytes: int, keep: bool,
+    window: int, block_bytes: int, keep: bool, cut: bool = False,
 ) -> DataFrame:
-    """The rows with a column ``HITS``; without ``keep`` just doc_id and that column."""
+    """The rows with a column ``HITS``; without ``keep`` just doc_id and that column. With
+    ``cut`` the last pass cuts the hits out of the texts instead of naming them."""
     if HITS in {c.lower() for c in rows.columns}:
         raise ValueError(f"the table already has a column {HITS}")
     items = benchmark.select(
@@ -217,9 +207,10 @@ def _scanned(
         first, last = number == 0, number == len(blocks) - 1
         names = [c for c in rows.columns if c != HITS]
         names = names if keep or not last else ["doc_id"]
-        schema = StructType([*(rows.schema[c] for c in names), StructField(HITS, FOUND)])
+        told = [] if cut and last else [StructField(HITS, FOUND)]
+        schema = StructType([*(rows.schema[c] for c in names), *told])
 
-        def run(batches, held=held, first=first, names=names) -> Iterator[pa.RecordBatch]:
+        def run(batches, held=held, first=first, names=names, told=bool(told)) -> Iterator[pa.RecordBatch]:
             for part in text_slices(batches, text):
                 counts, hits, listed = held.value.find(part.column(text))
                 spans: list[list] = [[] for _ in range(part.num_rows)]
@@ -232,13 +223,20 @@ def _scanned(
                     for i, old in enumerate(part.column(HITS).to_pylist()):
                         spans[i] = _merged(spans[i] + [(s["start"], s["stop"]) for s in old["spans"]])
                         ids[i] = sorted({*ids[i], *old["item_ids"]})
+                if not told:
+                    texts = part.column(text)
+                    if any(spans):
+                        pairs = zip(texts.to_pylist(), map(_merged, spans))
+                        texts = pa.array([_cut(t, s) for t, s in pairs], pa.string())
+                    yield pa.record_batch([texts if c == text else part.column(c) for c in names], names)
+                    continue
                 found = pa.StructArray.from_arrays(
                     [pa.array(counts, pa.int64()), _listed(spans), pa.array(ids, pa.list_(pa.int64()))],
                     ["n_words", "spans", "item_ids"],
                 )
                 yield pa.record_batch([*(part.column(c) for c in names), found], [*names, HITS])
 
-        rows = rows.mapInArrow(run, schema)
+        rows = small_batches(rows).mapInArrow(run, schema)
     return rows
 
 

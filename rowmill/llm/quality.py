@@ -20,13 +20,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from rowmill.functions import stored
 from rowmill.llm.common import (
-    filled, hash_words, keyed_texts, mix, offsets_of, rolled, split_words, sums, text_slices,
+    SLICE_BYTES, filled, hash_words, keyed_texts, mix, offsets_of, rolled, small_batches, split_words, sums, text_slices,
 )
 
 #: Hash buckets of word features, and as many of byte features.
 BUCKETS = 1 << 15
 #: Labelled rows that the regression is fitted on at most; a quarter of them calibrates it.
-MAX_LABELLED = 8_000
+MAX_LABELLED = 6_000
 #: Fixed thresholds.
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -163,7 +163,7 @@ def fit(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES // 2):
             ids, values = zip(*Texts(part.column("text")).vectors())
             yield pa.record_batch(
                 [
@@ -232,7 +232,7 @@ def quality(
     names = [*COUNTS, "base_failed", "kept", "probability"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches):
+        for part in text_slices(batches, max_bytes=SLICE_BYTES // 2):
             found = assess(part.column("text"), held.value, min_probability)
             yield pa.record_batch(
                 [part.column("doc_id"), *(pa.array(found[c]) for c in names)], ["doc_id", *names]
@@ -251,7 +251,7 @@ def keep_good(
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in text_slices(batches, text):
+        for part in text_slices(batches, text, SLICE_BYTES // 2):
             yield part.filter(pa.array(assess(part.column(text), held.value, min_probability)["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

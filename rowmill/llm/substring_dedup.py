@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from rowmill.functions import stored
-from rowmill.llm.common import filled, mix, offsets_of, text_slices
+from rowmill.llm.common import filled, mix, offsets_of, small_batches, text_slices
 
 #: Bytes that the rolling hash covers: each doubling in ``gear`` adds as many again.
 GEAR_BYTES = 16
@@ -136,7 +136,7 @@ def chunk_table(
                 [pa.array(chunks.digests[once]), pa.array(ids[chunks.owner[once]])], ["digest", "doc_id"]
             )
 
-    return rows.mapInArrow(run, "digest long, doc_id long")
+    return small_batches(rows).mapInArrow(run, "digest long, doc_id long")
 
 
 def remove_repeats(
@@ -188,7 +188,7 @@ def remove_repeats(
             else:
                 yield pa.record_batch([texts if c == text else part.column(c) for c in kept], kept)
 
-    return joined.mapInArrow(run, schema)
+    return small_batches(joined).mapInArrow(run, schema)
 
 
 def _without_copies(texts: pa.Array, copies: pa.Array, min_words: int) -> tuple[pa.Array, dict]:

@@ -54,6 +54,9 @@ def test_round_trip_of_awkward_rows(spark):
         want[i, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256((text or "").encode()).hexdigest()] += 1
     assert Counter(tuple(r.values()) for r in got) == want
     assert collected(bpe.round_trip(documents(spark, []), BYTE_BPE)) == []
+    docs = documents(spark, AWKWARD)
+    apart = bpe.decode_documents(bpe.encode_documents(docs, BYTE_BPE), BYTE_BPE)
+    assert collected(apart) == collected(bpe.coded_and_decoded(docs, BYTE_BPE))
 
 
 def test_other_tokenizers_are_refused():
