@@ -27,7 +27,7 @@ def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return unigram.token_counts(table(spark, sf_dir, "documents"), PIECES, byte_fallback=True)
+    return unigram.token_counts(table(spark, sf_dir, "documents"), PIECES, byte_fallback=True, whole_text=True)
 
 
 def op4_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,9 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer, models
 
 from rowmill.llm import bpe, decontaminate, html_text, quality, unigram
@@ -90,6 +92,56 @@ def test_counts_of_the_public_vocabulary():
                 assert counter.count(marked)[0] == len(lib.tokenize(marked)), word
 
 
+BYTES = [(f"<0x{i:02X}>", 0.0) for i in range(256)]
+
+
+def library_totals(lib, scores, text):
+    """(tokens, score) of a whole text by the library; a character in bytes is unknown."""
+    tokens = [t.value for t in lib.tokenize("▁" + text.replace(" ", "▁"))] if text else []
+    unknown = bytes(int(t[3:5], 16) for t in tokens if t not in scores).decode()
+    lowest = min(scores.values()) - unigram.UNKNOWN_PENALTY
+    return len(tokens), sum(scores[t] for t in tokens if t in scores) + lowest * len(unknown)
+
+
+def test_whole_texts_have_the_librarys_counts(spark, sf_dir):
+    path = tokenizer_path("piece_bpe_32k.model")
+    scores = dict(unigram.read_vocabulary(path))
+    assert "▁" * 16 in scores
+    lib = models.Unigram([("<unk>", 0.0), *scores.items(), *BYTES], 0, True)
+    rng = random.Random(5)
+    made = ["".join(rng.choice(ATOMS + ["▁", "\n\n", "   ", "the"]) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    made += ["hello\nworld", "hello  world", " ", "\n", " \t\n ", "a" + " " * 40 + "b\r\n", LONG[:5000]]
+    docs = documents(spark, [*enumerate(made), (-1, None)])
+    docs = docs.unionByName(table(spark, sf_dir, "documents").withColumn("doc_id", F.col("doc_id") + 10000), True)
+    want = {r.doc_id: library_totals(lib, scores, r.text or "") for r in docs.collect()}
+    got = collected(unigram.token_counts(docs, path, byte_fallback=True, whole_text=True))
+    assert {r["doc_id"]: (r["n_tokens"], r["score"]) for r in got} == want
+    assert len(got) == docs.count()
+
+
+@pytest.mark.parametrize("fallback", [False, True])
+@pytest.mark.parametrize("pieces", [["a", "▁a", "▁▁"], ["a", "▁", "▁▁", "b\n"], ["a", "▁", "a▁b", "b"]])
+def test_units_are_cut_where_nothing_spans(pieces, fallback):
+    counter = unigram.PieceCounter([(p, -float(len(p))) for p in pieces], fallback)
+    rng = random.Random(6)
+    for _ in range(1000):
+        text = "".join(rng.choice("ab  \né") for _ in range(rng.randrange(1, 12)))
+        n_tokens, scores = counter.totals(*counter.units(pa.array([text, None, ""])))
+        whole = counter.count("▁" + text.replace(" ", "▁"))
+        assert [*zip(n_tokens, scores)] == [whole, (0, 0.0), (0, 0.0)], text
+
+
+def test_the_query_counts_white_space(spark, tmp_path):
+    texts = ["hello\nworld", "hello  world", "hello world"]
+    documents(spark, [*enumerate(texts)]).write.parquet(f"{tmp_path}/documents.parquet")
+    vocabulary = unigram.read_vocabulary(tokenizer_path("piece_bpe_32k.model"))
+    lib = models.Unigram([("<unk>", 0.0), *vocabulary, *BYTES], 0, True)
+    want = {i: library_totals(lib, dict(vocabulary), t) for i, t in enumerate(texts)}
+    got = collected(QUERIES["op3_token_counts"](spark, str(tmp_path)))
+    assert {r["doc_id"]: (r["n_tokens"], r["score"]) for r in got} == want
+    assert len({*want.values()}) == 3
+
+
 def test_token_counts_of_awkward_rows(spark):
     got = collected(unigram.token_counts(documents(spark, AWKWARD, ["n_words"]), tokenizer_path("piece_bpe_32k.model")))
     assert len(got) == len(AWKWARD)
