@@ -2,7 +2,8 @@
 
 A gear rolling hash over the last ``GEAR_BYTES`` bytes decides at each word start whether
 a cut falls there, so cuts follow the content and text inserted elsewhere doesn't move
-them. A chunk reaches from a cut to the first cut at least ``MIN_WORDS`` words on, and one
+them. Where ``FORCED_WORDS`` words have none, as in a passage that repeats few words, one falls at
+a word start whose hash is the smallest of them: that too depends on these words alone. A chunk reaches from a cut to the first cut at least ``MIN_WORDS`` words on, and one
 more from the last cut that leaves as many words to the end of the text: chunks overlap, and
 each is long enough not to repeat by chance. Chunks are told apart by a 64-bit
 digest of their bytes. A digest belongs to the document with the smallest id that holds it,
@@ -26,6 +27,8 @@ from rowmill.llm.common import filled, mix, offsets_of, small_batches, text_slic
 GEAR_BYTES = 16
 #: A cut falls at a word start with a probability of 1 in 2 ** CUT_BITS.
 CUT_BITS = 1
+#: Word starts without a cut, the last included, after which the smallest hash cuts.
+FORCED_WORDS = 8
 #: Words of a chunk, at least.
 MIN_WORDS = 25
 
@@ -48,6 +51,19 @@ def gear(data: np.ndarray) -> np.ndarray:
     return out
 
 
+def cut_places(hashes: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which word starts are cuts, from their hashes and texts in order."""
+    cut = hashes >> np.uint32(32 - CUT_BITS) == 0
+    at = np.arange(len(hashes))
+    last = np.maximum.accumulate(np.where(cut, at, -1))
+    late = at[(at - last >= FORCED_WORDS) & (at >= FORCED_WORDS - 1)]
+    late = late[text[late] == text[late - FORCED_WORDS + 1]]
+    for back in range(1, FORCED_WORDS):
+        late = late[hashes[late] <= hashes[late - back]]
+    cut[late] = True
+    return cut
+
+
 def powers(factor: int, n: int) -> np.ndarray:
     """factor ** 0 .. factor ** (n - 1) modulo 2 ** 64."""
     out = np.ones(max(1, n), np.uint64)
@@ -88,7 +104,9 @@ class Chunks:
         # a cut near the start of a text would depend on the text before it
         far = words - self.ends[np.searchsorted(self.ends, words, "right") - 1] >= GEAR_BYTES
         cuts = words[far]
-        cuts = cuts[gear(data)[cuts - 1] >> np.uint32(32 - CUT_BITS) == 0] if len(cuts) else cuts
+        if len(cuts):
+            inside = np.searchsorted(self.ends, cuts, "right") - 1
+            cuts = cuts[cut_places(gear(data)[cuts - 1], inside)]
         # the bounds of each text in order: its start, its cuts, its end
         place = np.concatenate((heads, cuts, tails))
         text = np.concatenate((np.flatnonzero(full), np.searchsorted(self.ends, cuts, "right") - 1, np.flatnonzero(full)))

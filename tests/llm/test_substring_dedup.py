@@ -98,3 +98,26 @@ def test_copies_of_whole_texts_become_empty(spark):
     text = words(random.Random(3), 100)
     got = {r["doc_id"]: r["text"] for r in collected(sd.remove_repeats(documents(spark, [(1, text), (2, text), (None, text)])))}
     assert got == {1: text, 2: "", None: ""}
+
+
+def shared_windows(text, earlier, n):
+    """Windows of n words of a text that an earlier text has too, word by word."""
+    windows = lambda t: {tuple(t.split()[i : i + n]) for i in range(len(t.split()) - n + 1)}
+    return windows(text) & set().union(*map(windows, earlier))
+
+
+def test_passages_of_a_repeated_unit_are_found(spark):
+    rng = random.Random(12)
+    rows, around = [], {}
+    for p in (1, 1, 1, 1, 1, 1, 1, 1, 2, 2, 2, 2, 3, 3, 3, 3, 12, 30):
+        passage = " ".join([words(rng, p)] * (150 // p))
+        for _ in range(3):
+            before, after = words(rng, rng.randrange(30, 60)), words(rng, rng.randrange(30, 60))
+            around[len(rows)] = before.split() + after.split()
+            rows.append((len(rows), f"{before} {passage} {after}"))
+    got = {r["doc_id"]: r["text"] for r in collected(sd.remove_repeats(documents(spark, rows)))}
+    for i, text in rows:
+        group = [rows[j][1] for j in range(i - i % 3, i)]
+        assert not shared_windows(got[i], group, 50), text
+        assert not {*around[i]} - {*got[i].split()}
+    assert all(shared_windows(text, [rows[i - 1][1]], 50) for i, text in rows if i % 3)
