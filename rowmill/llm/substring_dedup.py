@@ -6,9 +6,9 @@ them. Where ``FORCED_WORDS`` words have none, as in a passage that repeats few w
 a word start whose hash is the smallest of them: that too depends on these words alone. A chunk reaches from a cut to the first cut at least ``MIN_WORDS`` words on, and one
 more from the last cut that leaves as many words to the end of the text: chunks overlap, and
 each is long enough not to repeat by chance. Chunks are told apart by a 64-bit
-digest of their bytes. A digest belongs to the document with the smallest id that holds it,
-and in a document to its first chunk; other chunks are copies, and what copies cover is cut
-out of the text.
+digest of their bytes. Each row has a number of its own; a digest belongs to the row with the
+smallest id that holds it (null last; of rows that share an id the first by number), and in a
+row to its first chunk; other chunks are copies, and what copies cover is cut out of the text.
 """
 
 from __future__ import annotations
@@ -39,6 +39,8 @@ FACTOR = 0x9E3779B97F4A7C15
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 COPIES = "copied_chunks"
+#: The number of a row, and of the row that copied digests are for.
+ROW, COPY_OF = "_row", "_copy_of"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -137,24 +139,24 @@ class Chunks:
 
 
 def chunk_table(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
+    numbered: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS
 ) -> DataFrame:
-    """(digest, doc_id): the distinct chunks of each text. A null id counts as the largest."""
-    rows = docs.select(
-        F.coalesce(F.col(key).cast("long"), F.lit((1 << 63) - 1)).alias("doc_id"),
-        F.col(text).cast("string").alias("text"),
+    """(digest, row, doc_id): the distinct chunks of each row of a numbered table."""
+    rows = numbered.select(
+        ROW, F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             chunks = Chunks(part.column("text"), min_words)
             once = chunks.first_in_text()
-            ids = part.column("doc_id").to_numpy(zero_copy_only=False)
+            owner = pa.array(chunks.owner[once])
             yield pa.record_batch(
-                [pa.array(chunks.digests[once]), pa.array(ids[chunks.owner[once]])], ["digest", "doc_id"]
+                [pa.array(chunks.digests[once]), part.column(ROW).take(owner), part.column("doc_id").take(owner)],
+                ["digest", "row", "doc_id"],
             )
 
-    return small_batches(rows).mapInArrow(run, "digest long, doc_id long")
+    return small_batches(rows).mapInArrow(run, "digest long, row long, doc_id long")
 
 
 def remove_repeats(
@@ -166,32 +168,32 @@ def remove_repeats(
     than ``min_words`` words have no chunk and stay.
 
     With ``report`` instead (doc_id, n_chunks, n_copied, n_removed, text): chunks, copied
-    chunks, and characters cut out. Rows that share an id count as one document and don't
-    count as copies of each other; ids that are null are one document after all others.
+    chunks, and characters cut out. Rows that share an id or have none count one by one, in the
+    order in which the table is read; those without an id come after all others.
     """
-    chunks = chunk_table(docs, key, text, min_words)
-    repeated = stored(
-        chunks.groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        .where("first < last").select("digest", "first")
-    )
-    # both sides meet by digest alone, so the join can split a digest that many hold
-    copies = (
-        chunks.join(repeated, "digest").where("doc_id > first")
-        .groupBy("doc_id").agg(F.collect_set("digest").alias(COPIES))
-    )
-    copies = stored(copies.withColumnRenamed("doc_id", "_copy_of"))
-    if {c.lower() for c in docs.columns} & {COPIES, "_copy_of"}:
-        raise ValueError(f"the table already has a column {COPIES} or _copy_of")
-    match = F.coalesce(docs[key].cast("long"), F.lit((1 << 63) - 1)) == copies["_copy_of"]
-    joined = docs.join(copies, match, "left").drop("_copy_of")
+    if {c.lower() for c in docs.columns} & {COPIES, ROW, COPY_OF}:
+        raise ValueError(f"the table already has a column {COPIES}, {ROW} or {COPY_OF}")
     kept = docs.columns
+    schema: StructType | str = docs.schema
     if report:
-        joined = joined.select(
-            F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), COPIES
-        )
-        text, kept = "text", ["doc_id"]
+        docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+        key, text, kept = "doc_id", "text", ["doc_id"]
+    # the numbers have to be the same in all that follows
+    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    chunks = chunk_table(numbered, key, text, min_words)
+    # a row gives a digest once
+    repeated = stored(chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"))
+    # both sides meet by digest alone, so the joins can split a digest that many hold
+    shared = stored(chunks.join(repeated, "digest"))
+    first = shared.groupBy("digest").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias("first")
+    )
+    copies = stored(
+        shared.join(first, "digest").where("row <> first")
+        .groupBy(F.col("row").alias(COPY_OF)).agg(F.collect_set("digest").alias(COPIES))
+    )
+    joined = numbered.join(copies, F.col(ROW) == F.col(COPY_OF), "left").drop(ROW, COPY_OF)
     counts = ["n_chunks", "n_copied", "n_removed"]
-    schema: StructType | str = docs.schema
     if report:
         schema = "doc_id long, n_chunks long, n_copied long, n_removed long, text string"
 

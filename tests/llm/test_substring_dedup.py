@@ -121,3 +121,25 @@ def test_passages_of_a_repeated_unit_are_found(spark):
         assert not shared_windows(got[i], group, 50), text
         assert not {*around[i]} - {*got[i].split()}
     assert all(shared_windows(text, [rows[i - 1][1]], 50) for i, text in rows if i % 3)
+
+
+def test_rows_without_or_with_the_same_id_count_one_by_one(spark):
+    rng = random.Random(4)
+    a, b, c, d = (words(rng, 100) for _ in range(4))
+    rows = [(None, a), (None, a), (None, a), (5, b), (5, b), (None, c), (3, c), (7, d), (None, f"{d} {a}")]
+    docs = documents(spark, rows).repartition(3)
+    got = collected(sd.remove_repeats(docs))
+    left = lambda i: sorted(r["text"] for r in got if r["doc_id"] == i)
+    assert left(5) == ["", b] and left(3) == [c] and left(7) == [d]
+    everything = " ".join(r["text"] for r in got if r["doc_id"] is None)
+    assert len(everything.split()) <= 100 + 30 and set(a.split()) <= set(everything.split())
+    assert not set(c.split()) & set(everything.split()) - set(a.split())
+    assert len(got) == len(rows)
+    report = collected(sd.remove_repeats(docs, report=True))
+    assert sum(r["n_removed"] for r in report) == sum(len(t) for _, t in rows) - sum(len(r["text"]) for r in got)
+
+
+def test_a_digest_of_the_largest_id_belongs_to_it(spark):
+    text, largest = words(random.Random(5), 100), (1 << 63) - 1
+    got = collected(sd.remove_repeats(documents(spark, [(None, text), (largest, text)])))
+    assert {r["doc_id"]: r["text"] for r in got} == {largest: text, None: ""}
