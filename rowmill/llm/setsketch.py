@@ -307,8 +307,8 @@ def cross_links(rows: DataFrame, texts: DataFrame, width: int, percent: int) ->
 
     A band with many members is cut into blocks that meet in pairs, so a task holds two
     blocks at most. Sets are compared inside the task through an index of their shingles;
-    only links leave it. Shingles are cut to 32 bits here, which can only add links; the
-    caller confirms them.
+    only links leave it. Shingles are cut to 32 bits here, and a set's own that become equal count
+    as if the other set had them all, so this can only add links; the caller confirms them.
     """
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -373,6 +373,7 @@ def _between(batches: list[pa.RecordBatch], percent: int) -> list[tuple[int, int
     order = np.argsort(code, kind="stable")
     holders, starts = owner[order], np.concatenate(([0], np.cumsum(np.bincount(code))))
     bounds = np.concatenate(([0], np.cumsum([len(g) for g in grams])))
+    lost = size - np.diff(bounds)  # shingles that 32 bits don't tell apart
     root = list(range(len(names)))
 
     def find(x: int) -> int:
@@ -391,7 +392,8 @@ def _between(batches: list[pa.RecordBatch], percent: int) -> list[tuple[int, int
         other = part != part[q]
         if two_blocks:
             other &= own != own[q]
-        near = np.flatnonzero(other & (100 * common >= percent * (size[q] + size - common)) & (common > 0))
+        most = common + np.minimum(lost[q], lost)
+        near = np.flatnonzero(other & (100 * most >= percent * (size[q] + size - most)) & (common > 0))
         for t in near.tolist():
             x, y = find(int(part[q])), find(int(part[t]))
             if x != y:

@@ -116,3 +116,13 @@ def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i + 1, i) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r["node"]: r["component"] for r in collected(setsketch.components(links))}
     assert got == {i: 0 for i in range(1, 41)} | {101: 100}
+
+
+def test_shingles_that_32_bits_merge_do_not_lose_a_link():
+    # of 10 and 8 shingles 8 are common, exactly 0.8; two of those are equal in 32 bits
+    sets = [np.arange(9, dtype=np.uint32), np.arange(7, dtype=np.uint32)]
+    columns = {"i": [0, 0], "j": [0, 0], "own": [0, 0], "node": [4, 6], "part": [4, 6], "n": [10, 8]}
+    arrays = [pa.array(v, pa.int64()) for v in columns.values()]
+    batch = pa.record_batch([*arrays, pa.array([g.tobytes() for g in sets])], [*columns, "grams"])
+    assert setsketch._between([batch], 80) == [(4, 6)]
+    assert setsketch._between([batch], 90) == []
