@@ -6,8 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-import corpus_pipeline
-from rowmill.llm import bpe, ctw, decontaminate, html_text, quality, setsketch, substring_dedup
+from rowmill.llm import bpe, ctw, decontaminate, hard_negatives, html_text, quality, setsketch, substring_dedup
 from rowmill.llm import token_files, unigram, warc
 from rowmill.llm.common import scratch, table, tokenizer_path
 
@@ -67,6 +66,12 @@ def op10_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = hard_negatives.integer_vectors(table(spark, sf_dir, "embeddings").withColumn("label", moved))
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_main_text": op2_main_text,
@@ -78,7 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_substring_dedup": op9_substring_dedup,
     "op8_token_files": op8_token_files,
     "op10_bpe_round_trip": op10_bpe_round_trip,
-    "pipeline": corpus_pipeline.run,
+    "op11_hard_negatives": op11_hard_negatives,
 }
 
 BENCHMARK_WORDS = r"""regexp_extract_all(
@@ -136,4 +141,21 @@ ORACLES: dict[str, str] = {
         CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
         sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
       FROM d LEFT JOIN marked USING (r) LEFT JOIN listed USING (r)""",
+    "op11_hard_negatives": """WITH r AS (
+        SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+          list_transform(embedding, lambda x: floor(256e0 * CAST(x AS DOUBLE))) AS v,
+          row_number() OVER () AS r FROM embeddings
+        WHERE label IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+      scored AS (SELECT a.r AS anchor, a.vec_id AS anchor_id, a.label = c.label AS same, c.r, c.vec_id,
+          CAST(list_dot_product(a.v, c.v) AS BIGINT) AS score
+        FROM r a JOIN r c ON a.vec_id % 100 = 0 AND a.r <> c.r),
+      positives AS (SELECT anchor, anchor_id, r, vec_id AS positive_id, score AS positive_score FROM scored
+        WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5),
+      pairs AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score, CAST(row_number() OVER (
+          PARTITION BY anchor, p.r ORDER BY s.score DESC, s.vec_id NULLS LAST, s.r) AS INTEGER) AS rank
+        FROM positives p JOIN scored s USING (anchor)
+        WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+      SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+      FROM pairs WHERE rank <= 10""",
 }
