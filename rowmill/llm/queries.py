@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm import bpe, ctw, decontaminate, hard_negatives, html_text, quality, setsketch, substring_dedup
+from rowmill.llm import bpe, ctw, decontaminate, hard_negatives, html_text, quality, setsketch, substring_dedup, suffix_dedup
 from rowmill.llm import token_files, unigram, warc
 from rowmill.llm.common import scratch, table, tokenizer_path
 
@@ -72,6 +72,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_main_text": op2_main_text,
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op10_bpe_round_trip": op10_bpe_round_trip,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_suffix_dedup": op12_suffix_dedup,
 }
 
 BENCHMARK_WORDS = r"""regexp_extract_all(
@@ -158,4 +164,23 @@ ORACLES: dict[str, str] = {
         WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
       SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
       FROM pairs WHERE rank <= 10""",
+    # bytes as pairs of hexadecimal digits; a repeated window covers 400 of them
+    "op12_suffix_dedup": """WITH t AS (
+        SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS h FROM documents),
+      windows AS (SELECT r, s, hash(substr(h, 2 * s + 1, 800)) AS k
+        FROM (SELECT r, h, unnest(range(length(h) // 2 - 399)) AS s FROM t WHERE length(h) >= 800)),
+      repeated AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+      hits AS (SELECT r, s, lag(s) OVER (PARTITION BY r ORDER BY s) AS before
+        FROM windows SEMI JOIN repeated USING (k)),
+      numbered AS (SELECT r, s, sum(CASE WHEN before IS NULL OR s > before + 400 THEN 1 ELSE 0 END)
+          OVER (PARTITION BY r ORDER BY s) AS span FROM hits),
+      spans AS (SELECT r, span, min(s) AS a, max(s) + 400 AS b FROM numbered GROUP BY r, span),
+      edges AS (SELECT r, a, b, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM spans),
+      parts AS (SELECT r, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+          string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+        FROM edges JOIN t USING (r) GROUP BY r)
+      SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes,
+        CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+        sha256(unhex(coalesce(head, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+      FROM t LEFT JOIN parts USING (r)""",
 }
