@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rowmill.llm import bpe, ctw, decontaminate, hard_negatives, html_text, quality, setsketch, substring_dedup, suffix_dedup
+from rowmill.llm import alignment, bpe, ctw, decontaminate, hard_negatives, html_text, quality, setsketch, substring_dedup, suffix_dedup
 from rowmill.llm import token_files, unigram, warc
 from rowmill.llm.common import scratch, table, tokenizer_path
 
@@ -77,6 +77,10 @@ def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept_sha256", F.sha2("kept", 256)).drop("kept")
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), TOKENIZER, PIECES)[0]
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_main_text": op2_main_text,
@@ -90,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe_round_trip": op10_bpe_round_trip,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 BENCHMARK_WORDS = r"""regexp_extract_all(
