@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from rowmill.functions import join_path, match_flag, quoted, require_columns, small_table
 from rowmill.functions import stored as kept
 from rowmill.operators import metrics as m
-from rowmill.operators.models import score, train_model
+from rowmill.operators.models import TreeModel, score, train_model
 from rowmill.operators.moments import combine_classes, moments
 from rowmill.operators.prepare import clean_data, feature_names
 from rowmill.operators.scaling import apply_scaler, scaler_from_moments, scaler_values
@@ -39,7 +39,7 @@ class JobResult:
     scaler: DataFrame
     selected: list[str]
     predictions: DataFrame
-    model: PipelineModel
+    model: PipelineModel | TreeModel
 
 
 def run_job(

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
 from rowmill.functions import match_flag, quoted, require_columns
 from rowmill.operators.metrics import confusion_table, report_text
+from rowmill.operators.models import read_model, store_model
 from rowmill.sources.tables import write_dataset
 
 # Layout of a stored scaler.
@@ -62,14 +62,14 @@ def load_scaler(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCALER_SCHEMA).parquet(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
+def save_model(model, path: str) -> None:
     """Persist a fitted model, creating folders and replacing an older one."""
-    model.write().overwrite().save(path)
+    store_model(model, path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str):
     """A model written by save_model."""
-    return PipelineModel.load(path)
+    return read_model(SparkSession.active(), path)
 
 
 def write_run_result(df: DataFrame, path: str, run_id: str, key: str) -> None:

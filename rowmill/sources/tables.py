@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from rowmill.functions import join_path, quoted
+from rowmill.operators.models import read_model, store_model
 from rowmill.operators.prepare import label_table
 
 
@@ -129,7 +129,7 @@ class Catalog:
         if entry.format == "model":
             if self._holds_table(name):
                 return read_dataset(self.spark, join_path(self.path(name), TABLE_FOLDER), "parquet", schema)
-            return PipelineModel.load(self.path(name))
+            return read_model(self.spark, self.path(name))
         return read_dataset(self.spark, self.path(name), entry.format, schema, entry.options)
 
     def _holds_table(self, name: str) -> bool:
@@ -144,7 +144,7 @@ class Catalog:
         if entry.format == "model" and isinstance(data, DataFrame):
             write_dataset(data, join_path(self.path(name), TABLE_FOLDER), "parquet")
         elif entry.format == "model":
-            data.write().overwrite().save(self.path(name))
+            store_model(data, self.path(name))
         else:
             write_dataset(data, self.path(name), entry.format, entry.options)
 

@@ -137,7 +137,7 @@ def test_trees_are_available_on_demand(table):
     forest = models.train_model(table, FEATURES, "target", "id", params=SMALL).stages[1]
     assert len(forest.trees) == 10 and forest.trees[0].depth <= 4
     assert isinstance(forest.featureImportances.toArray(), np.ndarray)
-    assert forest.predict(DenseVector([0.0, 0.0, 1.0])) in (0.0, 1.0)
+    assert 0.0 <= forest.predict(DenseVector([0.0, 0.0, 1.0])) <= 1.0
 
 
 def test_unknown_algorithm_is_rejected_before_reading(spark):
@@ -148,9 +148,11 @@ def test_unknown_algorithm_is_rejected_before_reading(spark):
 @pytest.mark.parametrize(
     "algorithm,params,error",
     [
-        ("random_forest", {"max_depth": None}, ValueError),
-        ("random_forest", {"max_depth": 31}, ValueError),
-        ("random_forest", {"min_samples_split": 3}, ValueError),
+        ("random_forest", {"max_depth": -1}, ValueError),
+        ("random_forest", {"max_depth": 2.5}, ValueError),
+        ("random_forest", {"min_samples_split": 1}, ValueError),
+        ("random_forest", {"min_samples_split": 1.5}, ValueError),
+        ("random_forest", {"min_samples_leaf": 0}, ValueError),
         ("random_forest", {"criterion": "other"}, ValueError),
         ("random_forest", {"C": 1.0}, TypeError),
         ("logistic_regression", {"solver": "saga"}, ValueError),
@@ -166,11 +168,16 @@ def test_parameters_that_cannot_be_honoured_are_rejected(algorithm, params, erro
 
 def test_accepted_parameters():
     forest = models.forest_settings(
-        {"n_estimators": 3, "criterion": "entropy", "max_features": None, "max_samples": 0.5,
-         "n_jobs": -1, "verbose": 0}
+        {"n_estimators": 3, "max_features": None, "max_samples": 0.5, "n_jobs": -1, "verbose": 0}
     )
-    assert forest["numTrees"] == 3 and forest["impurity"] == "entropy"
+    assert forest["numTrees"] == 3 and forest["impurity"] == "variance"
     assert forest["featureSubsetStrategy"] == "all" and forest["subsamplingRate"] == 0.5
+    for own in ({"criterion": "entropy"}, {"max_depth": None}, {"max_depth": 31}, {"min_samples_split": 3},
+                {"max_bins": None}):
+        assert models.needs_own_trees(own, 2) and not models.needs_own_trees({}, 2)
+    assert models.needs_own_trees({}, 3)
+    settings = models.tree_settings({"min_samples_split": 0.1, "criterion": "log_loss"}, 95, 64)
+    assert settings.min_split == 10 and settings.features == 8 and settings.criterion == "entropy"
     plain = models.logistic_settings(10, {"penalty": None, "fit_intercept": False})
     assert plain["regParam"] == 0.0 and not plain["fitIntercept"]
     assert models.logistic_settings(10, {"C": 2.0})["regParam"] == pytest.approx(0.05)
