@@ -7,6 +7,7 @@ Doubles are rounded on both sides, since the two engines add in different orders
 
 from __future__ import annotations
 
+import math
 import os
 import sys
 from collections.abc import Callable
@@ -650,6 +651,24 @@ def click_scores(spark, sf_dir):
     return found.select("event_id", "y_pred", rounded("y_pred_proba", 4).alias("y_pred_proba"))
 
 
+EXACT_TREE = {"n_estimators": 1, "max_depth": 3, "bootstrap": False, "max_features": None, "max_bins": None}
+EXACT_FOREST = {"n_estimators": 20, "max_depth": 4, "min_samples_split": 5, "max_bins": None}
+
+
+def train_exact_tree(spark, sf_dir):
+    source = embeddings(spark, sf_dir).drop("label")
+    model = models.train_model(source, EMBEDDING_FEATURES, "target", "vec_id", params=EXACT_TREE)
+    chance = rounded(F.get("chances", F.lit(1))).alias("chance")
+    return model.nodes.select("node", "feature", rounded("threshold").alias("threshold"), "n", chance)
+
+
+def exact_forest_scores(spark, sf_dir):
+    source = embeddings(spark, sf_dir).drop("label")
+    model = models.train_model(source, EMBEDDING_FEATURES, "target", "vec_id", params=EXACT_FOREST)
+    score = rounded("y_pred_proba").alias("y_pred_proba")
+    return models.score(model, source).select("vec_id", "target", "y_pred", score)
+
+
 def run_job_stump(spark, sf_dir):
     rows = event_bands(spark, sf_dir)
     source = rows.select("event_id", (F.col("event_type") < "f").cast("int").alias("target"), *BANDS)
@@ -685,6 +704,71 @@ leaves AS (SELECT below, y, n, n / CAST(sum(n) OVER (PARTITION BY below) AS DOUB
 BELOW = "CASE WHEN cut.j = 0 THEN band ELSE user_band END <= cut.t"
 
 
+# A digest's first 12 hexadecimal digits as a number in [0, 1).
+UNIFORM = "CAST('0x' || substr(md5({}), 1, 12) AS BIGINT) / 281474976710656e0"
+
+
+def forest_sql(trees: int, depth: int, min_split: int, looked: int, bootstrap: bool, seed: int = 42) -> str:
+    """Trees on the embeddings, level by level: draws (tree, key, y, x, w), and of each level i
+    the totals t{i} and best splits b{i} of its nodes; nodes has them all."""
+    u = UNIFORM.format(f"'{seed}:' || tree || ':' || vec_id")
+    total, term, steps = 0.0, math.exp(-1.0), []
+    for k in range(1, 64):
+        total += term
+        term *= 1.0 / k
+        if total >= 1 - 1e-12:
+            break
+        steps.append(f"CAST({u} >= {total!r}e0 AS INTEGER)")
+    w = " + ".join(steps) if bootstrap else "1"
+    parts = [f"""s0 AS MATERIALIZED (SELECT * FROM (
+      SELECT tree, CAST(1 AS BIGINT) AS node, vec_id, CAST(label < 5 AS INTEGER) AS y,
+             CAST(embedding AS DOUBLE[]) AS x, {w} AS w FROM embeddings, range({trees}) t(tree)) WHERE w > 0)"""]
+    drawn = UNIFORM.format(f"'{seed}:' || tree || ':' || node || ':' || f")
+    for i in range(depth + 1):
+        parts.append(f"""t{i} AS MATERIALIZED (
+  SELECT tree, node, count(*) AS n, sum(w * (1 - y)) AS c0, sum(w * y) AS c1 FROM s{i} GROUP BY tree, node)""")
+        if i == depth:
+            break
+        parts.append(f"""b{i} AS MATERIALIZED (
+  SELECT tree, node, f, v, nxt FROM (
+    SELECT tree, node, f, v, nxt, low_n, n, CAST(low0 AS DOUBLE) AS l0, CAST(low1 AS DOUBLE) AS l1,
+           CAST(c0 - low0 AS DOUBLE) AS r0, CAST(c1 - low1 AS DOUBLE) AS r1 FROM (
+      SELECT tree, node, f, v, lead(v) OVER up AS nxt, sum(k) OVER up AS low_n,
+             sum(k0) OVER up AS low0, sum(k1) OVER up AS low1 FROM (
+        SELECT tree, node, f, x[f + 1] AS v, count(*) AS k, sum(w * (1 - y)) AS k0, sum(w * y) AS k1
+        FROM s{i} JOIN (
+          SELECT tree, node, f FROM t{i}, range({DIMENSIONS}) g(f)
+          WHERE n >= {min_split} AND c0 > 0 AND c1 > 0
+          QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY {drawn}, f) <= {looked})
+        USING (tree, node) GROUP BY ALL)
+      WINDOW up AS (PARTITION BY tree, node, f ORDER BY v)) JOIN t{i} USING (tree, node))
+  WHERE nxt IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY
+    (l0 * l0 + l1 * l1) / (l0 + l1) + (r0 * r0 + r1 * r1) / (r0 + r1) DESC, f, v) = 1),
+c{i} AS MATERIALIZED (
+  SELECT tree, node, f, CASE WHEN (v + nxt) / 2 < nxt THEN (v + nxt) / 2 ELSE v END AS cut FROM b{i}),
+s{i + 1} AS MATERIALIZED (
+  SELECT tree, 2 * node + CAST(x[f + 1] > cut AS BIGINT) AS node, vec_id, y, x, w FROM s{i} JOIN c{i} USING (tree, node))""")
+    every = " UNION ALL ".join(
+        f"SELECT tree, node, n, c0, c1, {'f, cut' if i < depth else 'NULL AS f, NULL AS cut'} FROM t{i}"
+        + (f" LEFT JOIN c{i} USING (tree, node)" if i < depth else "")
+        for i in range(depth + 1)
+    )
+    parts.append(f"""nodes AS MATERIALIZED (
+  SELECT tree, node, n, f, cut, c1 / CAST(c0 + c1 AS DOUBLE) AS p FROM ({every}))""")
+    return ",\n".join(parts)
+
+
+FOREST_SCORES = """walked AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x, tree, CAST(1 AS BIGINT) AS node
+  FROM embeddings, (SELECT DISTINCT tree FROM nodes)
+  UNION ALL
+  SELECT vec_id, label, x, tree, 2 * n.node + CAST(x[f + 1] > cut AS BIGINT)
+  FROM walked JOIN nodes n USING (tree, node) WHERE f IS NOT NULL),
+scored AS (SELECT vec_id, any_value(label) AS label, avg(p) AS p FROM walked JOIN nodes USING (tree, node)
+           WHERE f IS NULL GROUP BY vec_id)"""
+
+
 def newton_sql(steps: int = 12) -> str:
     """Newton steps for the loss of (x, n, k) plus w * w / 2, unrolled: the last is s{steps}."""
     parts = ["s0 AS (SELECT 0e0 AS w, 0e0 AS b)"]
@@ -753,6 +837,13 @@ MODEL_SQL = {
       chance AS (SELECT event_id, 1 / (1 + exp(-(w * band + b))) AS p FROM bands, s12)
       SELECT event_id, CASE WHEN p > 0.5 THEN 'yes' ELSE 'no' END AS y_pred,
              round(p, 4) + 0e0 AS y_pred_proba FROM chance""",
+    "train_exact_tree": f"""WITH {forest_sql(1, 3, 2, DIMENSIONS, False)}
+      SELECT node, CAST(f AS INTEGER) AS feature, round(cut, 6) + 0e0 AS threshold, n,
+             round(p, 6) + 0e0 AS chance FROM nodes""",
+    "exact_forest_scores": f"""WITH RECURSIVE {forest_sql(20, 4, 5, 8, True)},
+      {FOREST_SCORES}
+      SELECT vec_id, CAST(label < 5 AS INTEGER) AS target, CAST(p > 0.5 AS INTEGER) AS y_pred,
+             round(p, 6) + 0e0 AS y_pred_proba FROM scored""",
     "run_job_stump": f"""WITH {EVENT_BANDS},
       cleaned AS (SELECT min(event_id) AS event_id, band, user_band,
                     arg_min(CAST(event_type < 'f' AS INTEGER), event_id) AS y
@@ -979,6 +1070,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "train_click_regression": train_click_regression,
         "click_scores": click_scores,
         "run_job_stump": run_job_stump,
+        "train_exact_tree": train_exact_tree,
+        "exact_forest_scores": exact_forest_scores,
     }
     return own | (corpus.QUERIES | {"pipeline": corpus_pipeline.run} if corpus else {})
 
