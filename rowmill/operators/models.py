@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from rowmill.functions import join_path, new_folder, quoted, require_columns, stored
+from rowmill.operators.newton import LinearModel, fit_newton, load_linear, save_linear
 from rowmill.operators.trees import (
     TreeModel, TreeSettings, fit_trees, load_trees, save_trees, walk,
 )
@@ -38,6 +39,9 @@ FOREST_DEFAULTS = {
 }
 LOGISTIC_DEFAULTS = {"C": 1.0, "solver": "lbfgs", "max_iter": 1000, "random_state": 42}
 
+# Names of the solvers, MLlib's and the one by Newton steps.
+SOLVERS = ("lbfgs", "newton-cholesky")
+
 # Split criteria by either name.
 IMPURITIES = {"gini": "gini", "entropy": "entropy", "log_loss": "entropy"}
 
@@ -168,9 +172,11 @@ def logistic_settings(rows: float, params: Mapping | None = None) -> dict:
     1/(C * rows). The intercept is not penalised.
     """
     p = _merged(LOGISTIC_DEFAULTS, LOGISTIC_OPTIONS, params)
-    if p["solver"] != "lbfgs":
-        raise ValueError(f"only the lbfgs solver is available, got {p['solver']!r}")
+    if p["solver"] not in SOLVERS:
+        raise ValueError(f"unknown solver {p['solver']!r}; use one of {list(SOLVERS)}")
     penalty = p.get("penalty", "l2")
+    if p["solver"] != "lbfgs" and penalty not in ("l2", None):
+        raise ValueError(f"the solver {p['solver']} takes the penalty l2 or None, got {penalty!r}")
     shares = {"l2": 0.0, "l1": 1.0, None: 0.0, "elasticnet": p.get("l1_ratio")}
     if penalty not in shares:
         raise ValueError(f"unknown penalty {penalty!r}; use one of {list(shares)}")
@@ -245,7 +251,7 @@ def train_model(
     algorithm: str = "random_forest",
     params: Mapping | None = None,
     partitions: int | None = None,
-) -> PipelineModel | TreeModel:
+) -> PipelineModel | TreeModel | LinearModel:
     """Fit a classifier on classes of any type; predictions are of the same type.
 
     Classes are numbered in ascending order. The rows are laid out by key in
@@ -269,6 +275,11 @@ def train_model(
     if algorithm == "random_forest" and needs_own_trees(params, len(classes)):
         settings = tree_settings(params, sum(counts), len(features))
         return fit_trees(df, features, label, key, classes, kind, settings, weights)
+    if algorithm == "logistic_regression" and (params or {}).get("solver") == "newton-cholesky":
+        p = logistic_settings(1, params)
+        return fit_newton(
+            df, features, label, classes, kind, p["regParam"], p["fitIntercept"], weights, p["maxIter"], p["tol"]
+        )
     laid_out = canonical_layout(df.select(*columns), key, partitions)
     ready = assembler.transform(laid_out).select(label.alias("_label"), "_features")
     if weights:
@@ -302,7 +313,7 @@ def train_model(
     return PipelineModel([assembler, fitted, named])
 
 
-def _transformed(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
+def _transformed(model: PipelineModel | TreeModel | LinearModel, df: DataFrame) -> DataFrame:
     """The table with ``_class`` and ``_chances``."""
     if isinstance(model, TreeModel):
         found = walk(model.nodes, df, model.key, model.features)
@@ -311,25 +322,28 @@ def _transformed(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
         # of equal chances the first class
         best = F.array_position("_chances", F.array_max("_chances")).cast("int")
         return joined.withColumn("_class", F.get(model.class_array(), best - 1))
+    if isinstance(model, LinearModel):
+        both = df.withColumn("_chance", model.chance()).withColumn("_chances", F.array(1 - F.col("_chance"), "_chance"))
+        return both.withColumn("_class", F.get(model.class_array(), (F.col("_chance") > 0.5).cast("int")))
     found = model.transform(df)
     if "_probability" in found.columns:
         found = found.withColumn("_chances", vector_to_array("_probability"))
     return found
 
 
-def predict(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
+def predict(model: PipelineModel | TreeModel | LinearModel, df: DataFrame) -> DataFrame:
     """Add ``y_pred``, the class label as it was in training."""
     columns = [F.col(quoted(c)) for c in df.columns]
     return _transformed(model, df).select(*columns, F.col("_class").alias("y_pred"))
 
 
-def predict_proba(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
+def predict_proba(model: PipelineModel | TreeModel | LinearModel, df: DataFrame) -> DataFrame:
     """Add ``y_proba``, an array with the probabilities of the classes in ascending order."""
     columns = [F.col(quoted(c)) for c in df.columns]
     return _transformed(model, df).select(*columns, F.col("_chances").alias("y_proba"))
 
 
-def score(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
+def score(model: PipelineModel | TreeModel | LinearModel, df: DataFrame) -> DataFrame:
     """Add ``y_pred`` and ``y_pred_proba``, the probability of the second class in
     ascending order, in one pass."""
     columns = [F.col(quoted(c)) for c in df.columns]
@@ -340,19 +354,25 @@ def score(model: PipelineModel | TreeModel, df: DataFrame) -> DataFrame:
     )
 
 
-def store_model(model: PipelineModel | TreeModel, path: str) -> None:
+def store_model(model: PipelineModel | TreeModel | LinearModel, path: str) -> None:
     """Write a fitted model, replacing an older one of either kind."""
     if isinstance(model, TreeModel):
         _folder(model.nodes.sparkSession, path, delete=True)
         save_trees(model, path)
+    elif isinstance(model, LinearModel):
+        _folder(SparkSession.active(), path, delete=True)
+        save_linear(SparkSession.active(), model, path)
     else:
         model.write().overwrite().save(path)
 
 
-def read_model(spark: SparkSession, path: str) -> PipelineModel | TreeModel:
+def read_model(spark: SparkSession, path: str) -> PipelineModel | TreeModel | LinearModel:
     """A model written by store_model."""
-    own = _folder(spark, join_path(path, "nodes"))
-    return load_trees(spark, path) if own else PipelineModel.load(path)
+    if _folder(spark, join_path(path, "nodes")):
+        return load_trees(spark, path)
+    if _folder(spark, join_path(path, "linear")):
+        return load_linear(spark, path)
+    return PipelineModel.load(path)
 
 
 def _folder(spark: SparkSession, path: str, delete: bool = False) -> bool:

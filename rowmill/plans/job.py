@@ -18,6 +18,7 @@ from rowmill.functions import stored as kept
 from rowmill.operators import metrics as m
 from rowmill.operators.models import TreeModel, score, train_model
 from rowmill.operators.moments import combine_classes, moments
+from rowmill.operators.newton import LinearModel
 from rowmill.operators.prepare import clean_data, feature_names
 from rowmill.operators.scaling import apply_scaler, scaler_from_moments, scaler_values
 from rowmill.operators.selection import f_scores_from_moments, rank_features, selected_names
@@ -39,7 +40,7 @@ class JobResult:
     scaler: DataFrame
     selected: list[str]
     predictions: DataFrame
-    model: PipelineModel | TreeModel
+    model: PipelineModel | TreeModel | LinearModel
 
 
 def run_job(
