@@ -785,6 +785,80 @@ s{i + 1} AS (
     return ",\n".join(parts)
 
 
+def gram_newton_sql(rows: str, size: int, steps: int = 9, first: int = 30, further: int = 9) -> str:
+    """Newton steps for the loss of rows (k, y, x) plus half the squared length of the
+    coefficients: w{steps} has them by position, the intercept behind the others. The Gram
+    matrix is inverted by z <- z (2 I - h z), from the last step's inverse on."""
+    parts = [f"""xs AS MATERIALIZED (
+  SELECT k, y, CAST(unnest(range(len(x) + 1)) AS INTEGER) AS i, unnest(list_append(x, 1e0)) AS v FROM {rows}),
+w0 AS MATERIALIZED (SELECT DISTINCT i, 0e0 AS v FROM xs)"""]
+    inverse = ""
+    for s in range(steps):
+        parts.append(f"""p{s} AS MATERIALIZED (
+  SELECT k, any_value(y) AS y, 1 / (1 + exp(-sum(x.v * w.v))) AS p FROM xs x JOIN w{s} w USING (i) GROUP BY k),
+g{s} AS MATERIALIZED (
+  SELECT i, sum(x.v * (p - p{s}.y)) + any_value(CASE WHEN i < {size} THEN w.v ELSE 0 END) AS v
+  FROM xs x JOIN p{s} USING (k) JOIN w{s} w USING (i) GROUP BY i),
+h{s} AS MATERIALIZED (
+  SELECT a.i, b.i AS j, sum(a.v * b.v * p * (1 - p)) + any_value(CASE WHEN a.i = b.i AND a.i < {size} THEN 1 ELSE 0 END) AS v
+  FROM xs a JOIN p{s} USING (k) JOIN xs b USING (k) GROUP BY a.i, b.i)""")
+        if not inverse:
+            inverse = f"z{s}_0"
+            parts.append(f"""{inverse} AS MATERIALIZED (
+  SELECT i, j, v / (SELECT max(r) ** 2 FROM (SELECT sum(abs(v)) AS r FROM h{s} GROUP BY i)) AS v FROM h{s})""")
+        for t in range(first if s == 0 else further):
+            better = f"z{s}_{t + 1}"
+            parts.append(f"""m{s}_{t} AS MATERIALIZED (
+  SELECT a.i, b.j, CASE WHEN a.i = b.j THEN 2 ELSE 0 END - sum(a.v * b.v) AS v
+  FROM h{s} a JOIN {inverse} b ON a.j = b.i GROUP BY a.i, b.j),
+{better} AS MATERIALIZED (
+  SELECT a.i, b.j, sum(a.v * b.v) AS v FROM {inverse} a JOIN m{s}_{t} b ON a.j = b.i GROUP BY a.i, b.j)""")
+            inverse = better
+        parts.append(f"""w{s + 1} AS MATERIALIZED (
+  SELECT w.i, any_value(w.v) - sum(z.v * g.v) AS v
+  FROM w{s} w JOIN {inverse} z ON z.i = w.i JOIN g{s} g ON g.i = z.j GROUP BY w.i)""")
+    parts.append(f"fitted AS MATERIALIZED (SELECT i, v FROM w{steps})")
+    return ",\n".join(parts)
+
+
+def chances_sql(rows: str) -> str:
+    """(k, y, p) of rows (k, y, x) under fitted."""
+    return f"""(SELECT k, any_value(y) AS y, 1 / (1 + exp(-(sum(c.v * f.v) + (SELECT arg_max(v, i) FROM fitted)))) AS p
+    FROM (SELECT k, y, CAST(unnest(range(len(x))) AS INTEGER) AS i, unnest(x) AS v FROM {rows}) c
+    JOIN fitted f USING (i) GROUP BY k)"""
+
+
+# The embeddings, split by their target as the queries split them.
+SPLIT_EMBEDDINGS = """every AS MATERIALIZED (
+  SELECT vec_id AS k, CAST(label < 5 AS INTEGER) AS y, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+class_counts AS (SELECT y, count(*) AS n FROM every GROUP BY y),
+sizes AS (SELECT sum(n) - CAST(ceil(0.3e0 * sum(n)) AS BIGINT) AS n_train, sum(n) AS rows FROM class_counts),
+class_shares AS (SELECT y, n, (n * n_train) // rows AS share, (n * n_train) % rows AS rest, n_train
+           FROM class_counts, sizes),
+class_quota AS (SELECT y, share + CASE WHEN row_number() OVER (ORDER BY rest DESC, y)
+            <= n_train - sum(share) OVER () THEN 1 ELSE 0 END AS quota FROM class_shares),
+assigned AS MATERIALIZED (
+  SELECT e.*, row_number() OVER (PARTITION BY y ORDER BY md5('42:' || k)) <= quota AS training
+  FROM every e JOIN class_quota USING (y)),
+train AS MATERIALIZED (SELECT k, y, x FROM assigned WHERE training),
+test AS MATERIALIZED (SELECT k, y, x FROM assigned WHERE NOT training)"""
+
+# The job's own preparation: features scaled and chosen on all rows, in their own order.
+JOB_EMBEDDINGS = f"""{SPLIT_EMBEDDINGS},
+values_of AS MATERIALIZED (
+  SELECT k, y, training, unnest(x) AS v, CAST(unnest(range(len(x))) AS INTEGER) AS i FROM assigned),
+centres AS MATERIALIZED (SELECT i, avg(v) AS mean, stddev_pop(v) AS std FROM values_of GROUP BY i),
+by_class AS (SELECT i, y, count(*) AS n, avg(v) AS m, var_pop(v) AS s FROM values_of GROUP BY i, y),
+scores_of AS (
+  SELECT i, sum(n * (m - mean) ** 2) / (sum(n * s) / (sum(n) - 2)) AS f FROM by_class JOIN centres USING (i) GROUP BY i),
+chosen AS MATERIALIZED (SELECT i FROM scores_of ORDER BY f DESC, i DESC LIMIT {K}),
+scaled AS MATERIALIZED (
+  SELECT k, y, training, list((v - mean) / std ORDER BY i) AS x
+  FROM values_of JOIN centres USING (i) JOIN chosen USING (i) GROUP BY k, y, training),
+scaled_train AS MATERIALIZED (SELECT k, y, x FROM scaled WHERE training),
+scaled_test AS MATERIALIZED (SELECT k, y, x FROM scaled WHERE NOT training)"""
+
+
 REGRESSION = f"""{EVENT_BANDS},
 folded AS (SELECT band AS x, count(*) AS n, sum(CAST(event_type = 'click' AS INTEGER)) AS k
            FROM bands GROUP BY band),
@@ -837,6 +911,22 @@ MODEL_SQL = {
       chance AS (SELECT event_id, 1 / (1 + exp(-(w * band + b))) AS p FROM bands, s12)
       SELECT event_id, CASE WHEN p > 0.5 THEN 'yes' ELSE 'no' END AS y_pred,
              round(p, 4) + 0e0 AS y_pred_proba FROM chance""",
+    "train_logistic_regression": f"""WITH {SPLIT_EMBEDDINGS},
+      {gram_newton_sql("train", DIMENSIONS)},
+      scored AS MATERIALIZED (SELECT y, p, CAST(p > 0.5 AS INTEGER) AS hit FROM {chances_sql("train")}),
+      {SCORED_METRICS}""",
+    "predict_proba": f"""WITH {SPLIT_EMBEDDINGS},
+      {gram_newton_sql("train", DIMENSIONS)}
+      SELECT k AS vec_id, y AS target, round(1 - p, 6) + 0e0 AS p0, round(p, 6) + 0e0 AS p1
+      FROM {chances_sql("test")}""",
+    "positive_score": f"""WITH {SPLIT_EMBEDDINGS},
+      {gram_newton_sql("train", DIMENSIONS)}
+      SELECT k AS vec_id, CAST(p > 0.5 AS INTEGER) AS y_pred, round(p, 6) + 0e0 AS y_pred_proba
+      FROM {chances_sql("test")}""",
+    "run_job_logistic": f"""WITH {JOB_EMBEDDINGS},
+      {gram_newton_sql("scaled_train", K)},
+      scored AS MATERIALIZED (SELECT y, p, CAST(p > 0.5 AS INTEGER) AS hit FROM {chances_sql("scaled_test")}),
+      {SCORED_METRICS}""",
     "train_exact_tree": f"""WITH {forest_sql(1, 3, 2, DIMENSIONS, False)}
       SELECT node, CAST(f AS INTEGER) AS feature, round(cut, 6) + 0e0 AS threshold, n,
              round(p, 6) + 0e0 AS chance FROM nodes""",
@@ -879,20 +969,28 @@ def fitted_model(spark, sf_dir, algorithm, params=None):
     return model, train, assigned
 
 
-def training_metrics(spark, sf_dir, algorithm):
+# The solver with the same result however the rows are laid out.
+NEWTON = {"solver": "newton-cholesky", "tol": 1e-13}
+
+
+def training_metrics(spark, sf_dir, algorithm, params=None):
     """Metrics on the training side; scored once, since the area reads scores again."""
-    model, train, _ = fitted_model(spark, sf_dir, algorithm)
+    model, train, _ = fitted_model(spark, sf_dir, algorithm, params)
     scored = models.score(model, train).withColumnRenamed("target", "y_true")
     kept = stored(scored.select("vec_id", "y_true", "y_pred", "y_pred_proba"))
     return metrics.binary_metrics(kept, score="y_pred_proba")
 
 
+def rounded_metrics(found: DataFrame) -> DataFrame:
+    return found.select("n", *[rounded(c).alias(c) for c in [*RATES, "roc_auc"]], *CELLS)
+
+
 def train_random_forest(spark, sf_dir):
     return training_metrics(spark, sf_dir, "random_forest")
 
 
 def train_logistic_regression(spark, sf_dir):
-    return training_metrics(spark, sf_dir, "logistic_regression")
+    return rounded_metrics(training_metrics(spark, sf_dir, "logistic_regression", NEWTON))
 
 
 def held_out(assigned: DataFrame) -> DataFrame:
@@ -905,13 +1003,15 @@ def predict(spark, sf_dir):
 
 
 def predict_proba(spark, sf_dir):
-    model, _, assigned = fitted_model(spark, sf_dir, "logistic_regression")
-    return models.predict_proba(model, held_out(assigned)).select("vec_id", "target", "y_proba")
+    model, _, assigned = fitted_model(spark, sf_dir, "logistic_regression", NEWTON)
+    chances = [rounded(F.get("y_proba", F.lit(i))).alias(f"p{i}") for i in range(2)]
+    return models.predict_proba(model, held_out(assigned)).select("vec_id", "target", *chances)
 
 
 def positive_score(spark, sf_dir):
-    model, _, assigned = fitted_model(spark, sf_dir, "logistic_regression")
-    return models.score(model, held_out(assigned)).select("vec_id", "y_pred", "y_pred_proba")
+    model, _, assigned = fitted_model(spark, sf_dir, "logistic_regression", NEWTON)
+    found = models.score(model, held_out(assigned))
+    return found.select("vec_id", "y_pred", rounded("y_pred_proba").alias("y_pred_proba"))
 
 
 def whole_job(spark, sf_dir, **changes):
@@ -925,7 +1025,10 @@ def run_job_forest(spark, sf_dir):
 
 
 def run_job_logistic(spark, sf_dir):
-    return whole_job(spark, sf_dir, algorithm="logistic_regression", fit_on="all").metrics
+    found = whole_job(
+        spark, sf_dir, algorithm="logistic_regression", logistic_regression=NEWTON, fit_on="all"
+    ).metrics
+    return rounded_metrics(found)
 
 
 # ---------------------------------------------------------------------------

@@ -22,6 +22,8 @@ MAX_FEATURES = 2_000
 #: Rows whose matrix a task holds at a time.
 CHUNK = 8_192
 HALVINGS = 40
+#: Gains of a step, as a share of the loss, that rounding hides.
+ROUNDING = 1e-15
 ABOUT = (
     "features array<string>, classes array<string>, class_type string, coefficients array<double>, "
     "intercept double, n_steps int"
@@ -96,7 +98,7 @@ def fit_newton(
 ) -> LinearModel:
     """Minimise the sum of the rows' losses plus ``penalty`` / 2 times the squared length of
     the coefficients; the intercept isn't penalised. ``label`` is 0 or 1. Ends where no part of
-    the gradient exceeds ``tolerance`` per row, or no step lowers the loss any more."""
+    the gradient exceeds ``tolerance`` per row, or a step's gain is lost in rounding."""
     require_columns(df, features)
     if len(classes) != 2:
         raise ValueError(f"this solver takes two classes, the rows have {len(classes)}")
@@ -123,6 +125,9 @@ def fit_newton(
     while steps < max_steps and np.abs(gradient[free]).max(initial=0.0) > tolerance * max(n, 1):
         step = np.zeros(size)
         step[free] = np.linalg.lstsq(gram[np.ix_(free, free)], gradient[free], rcond=None)[0]
+        if gradient @ step <= ROUNDING * abs(loss):
+            beta, steps = beta - step, steps + 1  # the loss can't show what is left to gain
+            break
         for halved in range(HALVINGS):
             tried = beta - step / 2**halved
             found = at(tried)
