@@ -20,6 +20,7 @@ import os
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +34,7 @@ from rowmill.llm.units import LETTER, MARK, ranges, unit_codes
 #: Documents of a block and entries (pair, document) after which one is closed.
 BLOCK_DOCS, BLOCK_ENTRIES = 1 << 16, 4 << 20
 #: Distinct units that a worker keeps aligned, when a slice begins.
-MAX_UNITS = 150_000
-NO_UNIT = ("", (), (), ())
+MAX_UNITS = 400_000
 
 
 class Aligner:
@@ -74,13 +74,18 @@ class Aligner:
             both = LETTER[data[:-1]] & MARK[data[1:]]
             self.joined[data[:-1][both], data[1:][both]] = True
         self.n_b = len(pieces)
+        self.length_a, self.length_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
+        numbers = [str(i).encode() for i in range(max(len(self.bytes_a), self.n_b))]
+        self.digits = np.frombuffer(b"".join(numbers), np.uint8)
+        self.n_digits = np.array([len(x) for x in numbers], np.int64)
+        self.first_digit = np.cumsum(self.n_digits) - self.n_digits
         self.max_units = max_units
         self.number: dict[bytes, int] = {}
         self.clear()
 
     def clear(self) -> None:
         self.number.clear()
-        self.texts: list[str] = []  # the groups of a unit as text
+        self.texts: list[bytes] = []  # the groups of a unit as text, each with a ; behind it
         self.sizes = np.zeros((0, 4), np.int64)  # tokens of A, of B, groups, links
         self.good = np.zeros(0, bool)
         self.pairs = np.zeros(0, np.int64)
@@ -101,43 +106,67 @@ class Aligner:
         texts = [u.decode() for u in new]
         ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
         skip = len(self.head)
-        ids_b = self.b.encode(["\n" + t for t in texts], num_threads=1)
-        good, sizes, pairs, first = [], [], [], [int(self.first[-1])]
-        for unit, a, b in zip(new, ids_a, ids_b):
-            b = b[skip:]
-            fits = (
-                b"".join(map(self.bytes_a.__getitem__, a)) == unit and b"".join(map(self.bytes_b.__getitem__, b)) == unit
-            )
-            groups = self._groups(a, b) if fits else []
-            links = [x * self.n_b + y for p, q in groups for x in p for y in q]
-            self.number[unit] = len(self.texts)
-            self.texts.append(";".join(f"{','.join(map(str, p))}|{','.join(map(str, q))}" for p, q in groups))
-            good.append(fits)
-            sizes.append((len(a), len(b), len(groups), len(links)))
-            pairs += links
-            first.append(first[-1] + len(links))
+        ids_b = [b[skip:] for b in self.b.encode(["\n" + t for t in texts], num_threads=1)]
+        size = np.array([len(u) for u in new])
+        good = self._fitting(new, size, ids_a, ids_b)
+        size = np.where(good, size, 0)
+        n_a, n_b = (np.where(good, [len(x) for x in ids], 0) for ids in (ids_a, ids_b))
+        a, b = (
+            np.fromiter(chain.from_iterable(compress(ids, good)), np.int64, int(n.sum()))
+            for ids, n in ((ids_a, n_a), (ids_b, n_b))
+        )
+        # all units one behind the other: their ends are ends of tokens of both
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        beside = np.searchsorted(ends_b, ends_a)
+        both = ends_b[np.minimum(beside, len(b) - 1)] == ends_a if len(b) else np.zeros(len(a), bool)
+        stop_a, stop_b = np.flatnonzero(both) + 1, beside[both] + 1
+        of_a, of_b = np.diff(stop_a, prepend=0), np.diff(stop_b, prepend=0)
+        until = np.searchsorted(ends_a[both], np.cumsum(size), "right")  # groups up to the end of each unit
+        links = of_a * of_b
+        upto = np.concatenate(([0], np.cumsum(links)))[until]
+        start_a, start_b = stop_a - of_a, stop_b - of_b
+        k, wide = ranges(np.zeros(len(links), np.int64), links), np.repeat(of_b, links)
+        pairs = a[np.repeat(start_a, links) + k // wide] * self.n_b + b[np.repeat(start_b, links) + k % wide]
+        text = self._written(a, b, of_a, of_b, stop_a, stop_b)
+        tokens = np.cumsum(n_a + n_b)
+        cuts = [0, *text[1][tokens].tolist()]
+        self.number.update(zip(new, range(len(self.texts), len(self.texts) + len(new))))
+        self.texts += [text[0][x:y] for x, y in zip(cuts, cuts[1:])]
         self.good = np.append(self.good, good)
-        self.sizes = np.concatenate((self.sizes, np.array(sizes, np.int64)))
-        self.pairs = np.append(self.pairs, np.array(pairs, np.int64))
-        self.first = np.append(self.first, first[1:])
-
-    def _groups(self, a: list[int], b: list[int]) -> list[tuple[list[int], list[int]]]:
-        """Tokens between offsets where tokens of both end."""
-        if len(a) == 1 or len(b) == 1:
-            return [(a, b)]
-        out, i, j, p, q = [], 0, 0, 0, 0
-        end_a = end_b = 0
-        while i < len(a) or j < len(b):
-            if end_a <= end_b:
-                end_a += len(self.bytes_a[a[i]])
-                i += 1
-            else:
-                end_b += len(self.bytes_b[b[j]])
-                j += 1
-            if end_a == end_b:
-                out.append((a[p:i], b[q:j]))
-                p, q = i, j
-        return out
+        sizes = np.stack((n_a, n_b, np.diff(until, prepend=0), np.diff(upto, prepend=0)), axis=1)
+        self.sizes = np.concatenate((self.sizes, sizes))
+        self.pairs = np.append(self.pairs, pairs)
+        self.first = np.append(self.first, self.first[-1] + upto)
+
+    def _fitting(self, new: list[bytes], size: np.ndarray, ids_a: list, ids_b: list) -> np.ndarray:
+        """Which units are what their tokens of A and those of B join to."""
+        whole, fits = b"".join(new), True
+        for ids, table, lengths in ((ids_a, self.bytes_a, self.length_a), (ids_b, self.bytes_b, self.length_b)):
+            flat = np.fromiter(chain.from_iterable(ids), np.int64)
+            until = np.concatenate(([0], np.cumsum(lengths[flat])))[np.cumsum([len(x) for x in ids])]
+            fits = fits and np.array_equal(until, np.cumsum(size)) and b"".join(map(table.__getitem__, flat.tolist())) == whole
+        if fits:
+            return np.ones(len(new), bool)
+        return np.array([
+            b"".join(map(self.bytes_a.__getitem__, a)) == u and b"".join(map(self.bytes_b.__getitem__, b)) == u
+            for u, a, b in zip(new, ids_a, ids_b)
+        ])
+
+    def _written(
+        self, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, stop_a: np.ndarray, stop_b: np.ndarray
+    ) -> tuple[bytes, np.ndarray]:
+        """The groups as text, ids of A before those of B, and where each token's text begins."""
+        ids, behind = np.zeros(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint8)
+        ids[np.arange(len(a)) + np.repeat(stop_b - of_b, of_a)] = a
+        ids[np.arange(len(b)) + np.repeat(stop_a, of_b)] = b
+        behind[stop_a + stop_b - of_b - 1] = ord("|")
+        behind[stop_a + stop_b - 1] = ord(";")
+        width = self.n_digits[ids]
+        ends = np.concatenate(([0], np.cumsum(width + 1)))
+        out = np.empty(int(ends[-1]), np.uint8)
+        out[ranges(ends[:-1], width)] = self.digits[ranges(self.first_digit[ids], width)]
+        out[ends[1:] - 1] = behind
+        return out.tobytes(), ends
 
 
 @lru_cache(1)
@@ -254,7 +283,7 @@ def entry_table(docs: DataFrame, path_a: str, path_b: str, key: str, text: str,
             totals = np.concatenate((np.zeros((1, 4), np.int64), np.cumsum(units_of.sizes[number], axis=0)))
             counts = np.where(bad[:, None], 0, totals[ends[1:]] - totals[ends[:-1]])
             named = [
-                hashlib.sha256(";".join(map(units_of.texts.__getitem__, number[a:b].tolist())).encode()).hexdigest()
+                hashlib.sha256(b"".join(map(units_of.texts.__getitem__, number[a:b].tolist()))[:-1]).hexdigest()
                 if b > a and not wrong else ""
                 for a, b, wrong in zip(ends[:-1].tolist(), ends[1:].tolist(), bad.tolist())
             ]
