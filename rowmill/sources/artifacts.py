@@ -11,6 +11,7 @@ from rowmill.functions import match_flag, quoted, require_columns
 from rowmill.operators.metrics import confusion_table, report_text
 from rowmill.operators.models import read_model, store_model
 from rowmill.sources.tables import write_dataset
+from rowmill.sources.versions import commit, read_committed
 
 # Layout of a stored scaler.
 SCALER_SCHEMA = StructType(
@@ -74,23 +75,21 @@ def load_model(path: str):
 
 def write_run_result(df: DataFrame, path: str, run_id: str, key: str) -> None:
     """Store one run's (key, y_true, y_pred, y_pred_proba) in a table partitioned by
-    run. Repeating a run replaces its own partition and no other."""
+    run. Repeating a run replaces its own rows and no others, in one step: until the new ones
+    are complete, and if their write fails, readers get the old ones."""
     require_columns(df, [key, "y_true", "y_pred", "y_pred_proba"])
     rows = df.select(
         F.col(quoted(key)), "y_true", "y_pred", "y_pred_proba", F.lit(str(run_id)).alias("run_id")
     )
     if str(run_id) == "":
         raise ValueError("a run needs a name")
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy("run_id").parquet(path)
+    commit(rows, path, str(run_id), ["run_id"])
 
 
 def read_run_results(spark: SparkSession, path: str) -> DataFrame:
     """All stored runs; a filter on run_id reads only that run's files.
 
     Run names are text, whatever they look like: their type isn't inferred, so runs "1"
-    and "01" stay two. The other types come from the files.
+    and "01" stay two.
     """
-    kinds = spark.read.option("recursiveFileLookup", True).parquet(path).schema
-    schema = StructType([*kinds.fields, StructField("run_id", StringType())])
-    return spark.read.schema(schema).parquet(path)
+    return read_committed(spark, path, ["run_id"])

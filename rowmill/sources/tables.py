@@ -11,6 +11,7 @@ from pyspark.sql.types import DataType, StringType, StructField, StructType
 from rowmill.functions import join_path, quoted
 from rowmill.operators.models import read_model, store_model
 from rowmill.operators.prepare import label_table
+from rowmill.sources.versions import commit, read_committed
 
 
 def labelled_schema(
@@ -25,6 +26,13 @@ def labelled_schema(
     return ", ".join(f"{quoted(name)} {types.get(name, 'double')}" for name in names)
 
 
+# Cells that stand for a missing value.
+MISSING_CELLS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>",
+    "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
 def read_labeled(
     spark: SparkSession,
     path: str,
@@ -34,13 +42,14 @@ def read_labeled(
     target: str = "target",
     schema: StructType | str | None = None,
     key_type: str = "bigint",
+    missing: Sequence[str] = MISSING_CELLS,
 ) -> DataFrame:
     """(key, target, features) from CSV files with a header line.
 
     The schema follows from the header, so nothing is read for inference and one odd cell
-    cannot turn a column into text. Cells that are empty, NA or NaN are missing values; any
-    other cell that isn't of its column's type fails the query and is named, with its
-    column. A missing path raises. Files whose headers disagree raise too.
+    cannot turn a column into text. Cells that are empty or one of ``missing`` are missing
+    values (NaN stays NaN, which counts as missing); any other cell that isn't of its column's type fails the query
+    and is named, with its column. A missing path raises. Files whose headers disagree raise too.
     """
     if schema is None:
         header = spark.read.csv(path, header=True, inferSchema=False).columns
@@ -49,15 +58,11 @@ def read_labeled(
         schema = spark.createDataFrame([], schema).schema
     texts = StructType([StructField(f.name, StringType()) for f in schema])
     raw = spark.read.schema(texts).csv(path, header=True, mode="FAILFAST", enforceSchema=False)
-    cells = raw.select(*[_typed(f.name, f.dataType) for f in schema])
+    cells = raw.select(*[_typed(f.name, f.dataType, missing) for f in schema])
     return label_table(cells, key, label, positive, target)
 
 
-# Cells that stand for a missing value.
-MISSING_CELLS = ("", "NA", "NaN")
-
-
-def _typed(name: str, data_type: DataType) -> Column:
+def _typed(name: str, data_type: DataType, missing: Sequence[str]) -> Column:
     """The text cells of a column in its type; what is neither missing nor of it fails."""
     cell = F.trim(F.col(quoted(name)))
     if isinstance(data_type, StringType):
@@ -66,7 +71,7 @@ def _typed(name: str, data_type: DataType) -> Column:
     wrong = F.raise_error(F.concat(F.lit(f"column {name} holds a cell that is no {data_type.simpleString()}: "), cell))
     return (
         F.when(value.isNotNull(), value)
-        .when(cell.isNull() | cell.isin(*MISSING_CELLS), F.lit(None).cast(data_type))
+        .when(cell.isNull() | cell.isin(*missing), F.lit(None).cast(data_type))
         .otherwise(wrong.cast(data_type))
         .alias(name)
     )
@@ -178,6 +183,18 @@ def write_dataset(
 
 def write_stage(df: DataFrame, path: str, format: str = "parquet") -> DataFrame:
     """Write a stage table and return it as read back, so that later steps scan
-    only the columns they need and never recompute what led to it."""
+    only the columns they need and never recompute what led to it.
+
+    A Parquet stage is replaced in one step: if the write fails, ``read_stage`` gives the old
+    table. Other formats are replaced in place.
+    """
+    if format == "parquet":
+        commit(df, path)
+        return read_stage(df.sparkSession, path)
     write_dataset(df, path, format)
     return read_dataset(df.sparkSession, path, format, df.schema)
+
+
+def read_stage(spark: SparkSession, path: str) -> DataFrame:
+    """The stage table that was last written completely."""
+    return read_committed(spark, path)

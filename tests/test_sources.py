@@ -5,14 +5,16 @@ from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rowmill.functions import remove_folders, shared_folder, small_table, stored, tables
 from rowmill.operators import metrics
-from rowmill.sources import artifacts
-from rowmill.sources.tables import Catalog, read_dataset, read_labeled, write_dataset
+from rowmill.sources import artifacts, versions
+from rowmill.sources.tables import (
+    Catalog, read_dataset, read_labeled, read_stage, write_dataset, write_stage,
+)
 
 CSV = """id,diagnosis,concave points_mean,area
 7,M,1.5,10
@@ -183,3 +185,61 @@ def test_the_catalogue_keeps_a_scaler(spark, tmp_path, events):
     scaler = events.agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
     catalog.write("scaler", scaler)
     assert rows(catalog.read("scaler")) == rows(scaler)
+
+
+def test_usual_spellings_of_missing_cells(spark, tmp_path):
+    cells = ["N/A", "n/a", "null", "NULL", "nan", "None", "#N/A", "<NA>", "-1.#IND", ""]
+    lines = "".join(f"{i},M,{c},1\n" for i, c in enumerate(cells))
+    (tmp_path / "t.csv").write_text("id,diagnosis,a,b\n" + lines + "99,B,2.5,1\n")
+    table = read_labeled(spark, str(tmp_path / "t.csv"))
+    assert table.where("a IS NULL OR isnan(a)").count() == len(cells)
+    assert table.where("id = 99").first()["a"] == 2.5
+    with pytest.raises(Exception, match="holds a cell that is no double"):
+        read_labeled(spark, str(tmp_path / "t.csv"), missing=["N/A", "n/a"]).collect()
+    (tmp_path / "u.csv").write_text("id,diagnosis,a\n1,M,absent\n")
+    assert read_labeled(spark, str(tmp_path / "u.csv"), missing=["absent"]).first()["a"] is None
+
+
+def broken(df, column):
+    """The table, but reading its largest key fails."""
+    last = df.agg(F.max(column)).first()[0]
+    wrong = F.raise_error(F.lit("lost half-way")).cast(dict(df.dtypes)[column])
+    return df.repartition(3).withColumn(column, F.when(F.col(column) == last, wrong).otherwise(F.col(column)))
+
+
+def test_a_failed_write_leaves_the_old_run(spark, tmp_path):
+    path, df = str(tmp_path / "runs"), predictions(spark)
+    artifacts.write_run_result(df, path, "a", "id")
+    artifacts.write_run_result(df, path, "b", "id")
+    before = rows(artifacts.read_run_results(spark, path))
+    with pytest.raises(Exception, match="half-way"):
+        artifacts.write_run_result(broken(df, "id"), path, "a", "id")
+    assert rows(artifacts.read_run_results(spark, path)) == before
+    assert len(versions.clear_unfinished(spark, path)) == 1
+    assert rows(artifacts.read_run_results(spark, path)) == before
+    artifacts.write_run_result(df.where("id = 1"), path, "a", "id")
+    assert rows(artifacts.read_run_results(spark, path).groupBy("run_id").count()) == [("a", 1), ("b", 3)]
+    one = artifacts.read_run_results(spark, path).where("run_id = 'b'")
+    assert "PartitionFilters: [isnotnull(run_id" in plan(one)
+
+
+def test_a_failed_write_leaves_the_old_stage(spark, tmp_path):
+    path, df = str(tmp_path / "stage"), predictions(spark)
+    assert rows(write_stage(df, path)) == rows(df)
+    with pytest.raises(Exception, match="half-way"):
+        write_stage(broken(df, "id"), path)
+    assert rows(read_stage(spark, path)) == rows(df)
+    smaller = df.where("id > 1").drop("y_pred")
+    assert rows(write_stage(smaller, path)) == rows(smaller)
+    assert spark.read.parquet(path).count() == 2  # nothing but the current version is left
+    with pytest.raises(FileNotFoundError):
+        read_stage(spark, str(tmp_path / "nothing"))
+
+
+def test_a_switch_that_never_comes_leaves_the_old_rows(spark, tmp_path, monkeypatch):
+    path, df = str(tmp_path / "stage"), predictions(spark)
+    write_stage(df, path)
+    monkeypatch.setattr(versions.Folder, "replace_text", lambda *_: (_ for _ in ()).throw(OSError("no switch")))
+    with pytest.raises(OSError):
+        write_stage(df.where("id = 1"), path)
+    assert rows(read_stage(spark, path)) == rows(df)
