@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from rowmill.functions import (
     binary_target,
@@ -12,7 +12,7 @@ from rowmill.functions import (
     require_columns,
     stored,
 )
-from rowmill.operators.ranges import dense_index
+from rowmill.operators.ranges import POSITION_BITS, dense_index
 
 # The label types that are taken as numeric codes already.
 NUMERIC_LABEL_TYPES = ("bigint", "int", "double")
@@ -39,7 +39,8 @@ def label_table(
 
     The target comes from ``label`` if that column exists, else an existing
     ``target`` column is taken as it is. Without a key column, one is derived
-    from the row's content; equal rows then share a key and count as duplicates.
+    from the row's content, and equal rows are numbered, so each row has a key of its own
+    however the table is laid out; see ``content_key``.
     """
     if label in df.columns:
         labelled = derive_binary_target(df, label, positive, target)
@@ -53,11 +54,41 @@ def label_table(
     values = [F.col(quoted(c)).cast("double").alias(c) for c in names]
     if key is None or key not in labelled.columns:
         key = key or "id"
-        content = F.md5(F.to_json(F.struct(F.col(quoted(target)), *values)))
-        return labelled.select(content.alias(key), F.col(quoted(target)), *values)
+        return content_key(labelled.select(F.col(quoted(target)), *values), key)
     return labelled.select(F.col(quoted(key)), F.col(quoted(target)), *values)
 
 
+def content_key(df: DataFrame, key: str) -> DataFrame:
+    """The table with a text key in front: the digest of the row's content, and behind it -1, -2
+    and so on for the second and further rows with the same content.
+
+    Equal rows are alike but for their numbers, so the result doesn't depend on the layout of
+    the table. They are numbered within the parts of the stored table, and a row per content
+    and part carries what lies before, so content that a third of all rows share is no one
+    task's work; rows whose content is their own take no part in it.
+    """
+    columns = [F.col(quoted(c)) for c in df.columns]
+    digest = F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    rows = stored(df.select(digest.alias("_content"), F.monotonically_increasing_id().alias("_row"), *columns))
+    # the upper bits of such a number are the part, the lower ones count its rows
+    part = F.shiftright("_row", POSITION_BITS).alias("_part")
+    groups = stored(rows.groupBy("_content", part).agg(F.count(F.lit(1)).alias("_n")))
+    several = groups.groupBy("_content").agg(F.sum("_n").alias("_all")).where("_all > 1").select("_content")
+    upward = Window.partitionBy("_content").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = groups.join(several, "_content").select(
+        "_content", "_part", F.coalesce(F.sum("_n").over(upward), F.lit(0)).alias("_before")
+    )
+    inside = Window.partitionBy("_content", "_part").orderBy("_row")
+    numbers = (
+        rows.select("_content", "_row", part)
+        .join(before, ["_content", "_part"])
+        .select("_row", (F.col("_before") + F.row_number().over(inside) - 1).alias("_number"))
+        .where("_number > 0")
+    )
+    own = F.when(F.col("_number").isNull(), F.col("_content")).otherwise(F.concat_ws("-", "_content", "_number"))
+    return rows.join(numbers, "_row", "left").select(own.alias(key), *columns)
+
+
 def feature_names(df: DataFrame, key: str, target: str) -> list[str]:
     """Columns other than key and target, in table order."""
     return [c for c in df.columns if c not in (key, target)]

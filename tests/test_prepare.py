@@ -4,7 +4,7 @@ import pytest
 from conftest import plan, rows
 from pyspark.sql import functions as F
 
-from rowmill.operators import prepare
+from rowmill.operators import models, prepare, splitting
 
 SCHEMA = "id long, target int, `concave points` double, area double"
 
@@ -49,12 +49,31 @@ def test_label_table_without_label_or_target_raises(spark):
 def test_label_table_derives_a_key_from_the_content(spark):
     df = spark.createDataFrame([("M", 1.0), ("M", 1.0), ("B", 1.0)], "diagnosis string, a double")
     shaped = prepare.label_table(df, None)
-    assert shaped.select("id").distinct().count() == 2
+    assert shaped.select("id").distinct().count() == 3
+    assert shaped.select(F.split("id", "-")[0]).distinct().count() == 2
     other = prepare.label_table(df.repartition(3), None)
     assert rows(shaped) == rows(other)
     assert prepare.clean_data(shaped, ["a"], "id").count() == 1
 
 
+def test_equal_rows_without_a_key_stay_apart(spark):
+    """Through loading, split and scoring, in any layout, one content held by most rows."""
+    source = [("M", 1.0, 2.0)] * 70 + [("B", 0.0, 2.0)] * 50 + [("M", 1.0 + i, None) for i in range(3)]
+    df = spark.createDataFrame(source, "diagnosis string, a double, b double")
+    shaped = prepare.label_table(df, None, features=["a", "b"])
+    assert shaped.columns == ["id", "target", "a", "b"]
+    assert rows(shaped) == rows(prepare.label_table(df.repartition(7), None, features=["a", "b"]))
+    assert shaped.select("id").distinct().count() == len(source)
+    numbers = [int((r["id"].split("-") + ["0"])[1]) for r in shaped.where("a = 1 AND b = 2").collect()]
+    assert sorted(numbers) == list(range(70))
+    whole = shaped.where("b IS NOT NULL")
+    train, test = splitting.train_test_split(whole, "id", "target", 0.25)
+    assert (train.count(), test.count()) == (90, 30)
+    model = models.train_model(train, ["a"], "target", "id", params={"n_estimators": 3})
+    assert models.score(model, test).select("id", "y_pred").distinct().count() == 30
+    assert prepare.label_table(df.limit(0), None, features=["a", "b"]).count() == 0
+
+
 def test_incomplete_rows_are_dropped_for_null_and_nan(table):
     assert [r[0] for r in rows(prepare.drop_incomplete(table, FEATURES))] == [1, 3, 7, 8, 9]
     # The target is not inspected.
