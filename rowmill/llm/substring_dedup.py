@@ -6,8 +6,8 @@ them. Where ``FORCED_WORDS`` words have none, as in a passage that repeats few w
 a word start whose hash is the smallest of them: that too depends on these words alone. A chunk reaches from a cut to the first cut at least ``MIN_WORDS`` words on, and one
 more from the last cut that leaves as many words to the end of the text: chunks overlap, and
 each is long enough not to repeat by chance. Chunks are told apart by a 64-bit
-digest of their bytes. Each row has a number of its own; a digest belongs to the row with the
-smallest id that holds it (null last; of rows that share an id the first by number), and in a
+digest of their bytes. A digest belongs to the row with the smallest id that holds it (null
+last; rows that share an id or have none are numbered, and the first by number counts), and in a
 row to its first chunk; other chunks are copies, and what copies cover is cut out of the text.
 """
 
@@ -26,7 +26,7 @@ from rowmill.llm.common import filled, mix, offsets_of, small_batches, text_slic
 #: Bytes that the rolling hash covers: each doubling in ``gear`` adds as many again.
 GEAR_BYTES = 16
 #: A cut falls at a word start with a probability of 1 in 2 ** CUT_BITS.
-CUT_BITS = 1
+CUT_BITS = 2
 #: Word starts without a cut, the last included, after which the smallest hash cuts.
 FORCED_WORDS = 8
 #: Words of a chunk, at least.
@@ -39,8 +39,9 @@ FACTOR = 0x9E3779B97F4A7C15
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 COPIES = "copied_chunks"
-#: The number of a row, and of the row that copied digests are for.
-ROW, COPY_OF = "_row", "_copy_of"
+#: The number of a row among those with its id (0 if the id is its own), and the id and the
+#: number of the row that copied digests are for.
+ROW, COPY_OF, COPY_ROW = "_row", "_copy_of", "_copy_row"
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -159,6 +160,19 @@ def chunk_table(
     return small_batches(rows).mapInArrow(run, "digest long, row long, doc_id long")
 
 
+def numbered_rows(docs: DataFrame, key: str) -> DataFrame:
+    """The table with a number ROW: 0 where the id is held by one row, else from 1 on. Only rows
+    that share an id or have none are stored, since their numbers have to stay the same."""
+    own = F.col(key).cast("long")
+    counts = docs.groupBy(own.alias(COPY_OF)).agg(F.count(F.lit(1)).alias("n"))
+    shared = stored(counts.where(F.col(COPY_OF).isNull() | (F.col("n") > 1)).select(COPY_OF))
+    if shared.isEmpty():
+        return docs.withColumn(ROW, F.lit(0).cast("long"))
+    same = own.eqNullSafe(F.col(COPY_OF))
+    several = stored(docs.join(shared, same, "left_semi").withColumn(ROW, F.monotonically_increasing_id() + 1))
+    return docs.join(shared, same, "left_anti").withColumn(ROW, F.lit(0).cast("long")).union(several)
+
+
 def remove_repeats(
     docs: DataFrame, key: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS,
     report: bool = False,
@@ -171,28 +185,29 @@ def remove_repeats(
     chunks, and characters cut out. Rows that share an id or have none count one by one, in the
     order in which the table is read; those without an id come after all others.
     """
-    if {c.lower() for c in docs.columns} & {COPIES, ROW, COPY_OF}:
-        raise ValueError(f"the table already has a column {COPIES}, {ROW} or {COPY_OF}")
+    if {c.lower() for c in docs.columns} & {COPIES, ROW, COPY_OF, COPY_ROW}:
+        raise ValueError(f"the table already has a column {COPIES}, {ROW}, {COPY_OF} or {COPY_ROW}")
     kept = docs.columns
     schema: StructType | str = docs.schema
     if report:
         docs = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
         key, text, kept = "doc_id", "text", ["doc_id"]
-    # the numbers have to be the same in all that follows
-    numbered = stored(docs.withColumn(ROW, F.monotonically_increasing_id()))
+    numbered = numbered_rows(docs, key)
     chunks = chunk_table(numbered, key, text, min_words)
     # a row gives a digest once
     repeated = stored(chunks.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest"))
     # both sides meet by digest alone, so the joins can split a digest that many hold
     shared = stored(chunks.join(repeated, "digest"))
     first = shared.groupBy("digest").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).getField("row").alias("first")
+        F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("row").alias("number"))).alias("first")
     )
     copies = stored(
-        shared.join(first, "digest").where("row <> first")
-        .groupBy(F.col("row").alias(COPY_OF)).agg(F.collect_set("digest").alias(COPIES))
+        shared.join(first, "digest").where("NOT (doc_id <=> first.id AND row = first.number)")
+        .groupBy(F.col("doc_id").alias(COPY_OF), F.col("row").alias(COPY_ROW))
+        .agg(F.collect_set("digest").alias(COPIES))
     )
-    joined = numbered.join(copies, F.col(ROW) == F.col(COPY_OF), "left").drop(ROW, COPY_OF)
+    of_row = F.col(key).cast("long").eqNullSafe(F.col(COPY_OF)) & (F.col(ROW) == F.col(COPY_ROW))
+    joined = numbered.join(copies, of_row, "left").drop(ROW, COPY_OF, COPY_ROW)
     counts = ["n_chunks", "n_copied", "n_removed"]
     if report:
         schema = "doc_id long, n_chunks long, n_copied long, n_removed long, text string"

@@ -143,3 +143,31 @@ def test_a_digest_of_the_largest_id_belongs_to_it(spark):
     text, largest = words(random.Random(5), 100), (1 << 63) - 1
     got = collected(sd.remove_repeats(documents(spark, [(None, text), (largest, text)])))
     assert {r["doc_id"]: r["text"] for r in got} == {largest: text, None: ""}
+
+
+def test_what_goes_is_repeated_and_long_repeats_go(spark):
+    """Word by word, without chunks: each word cut lies in 25 words that stand earlier too, and
+    of 50 words that stand earlier none stay whole."""
+    rng = random.Random(21)
+    rows, _, _ = corpus(22)
+    whole = [text for _, text in rows]
+    rows += [(300 + i, f"{words(rng, 30)} {whole[i]} {words(rng, 30)}") for i in range(0, 20, 3)]
+    rows += [(400, f"{whole[1]} {words(rng, 10)} {whole[1]}"), (401, whole[2]), (402, whole[2])]
+    got = {r["doc_id"]: r["text"] for r in collected(sd.remove_repeats(documents(spark, rows)))}
+    seen = {}
+    for i, text in sorted(rows):
+        own = text.split()
+        repeated = [False] * len(own)
+        for s in range(len(own) - sd.MIN_WORDS + 1):
+            window = tuple(own[s : s + sd.MIN_WORDS])
+            if seen.setdefault(window, (i, s)) != (i, s):
+                repeated[s : s + sd.MIN_WORDS] = [True] * sd.MIN_WORDS
+        left, at = got[i].split(), 0
+        for word, again in zip(own, repeated):
+            if at < len(left) and left[at] == word:
+                at += 1
+            else:
+                assert again, (i, word)
+        assert at == len(left)
+        earlier = [t for j, t in rows if j < i]
+        assert not shared_windows(got[i], earlier, 50), i
