@@ -10,17 +10,20 @@ from rowmill.functions.columns import (
     within_tolerance,
 )
 from rowmill.functions.tables import (
+    SMALL_ROWS,
     join_path,
     local_table,
     new_folder,
     remove_folders,
     require_columns,
+    settled,
     shared_folder,
     small_table,
     stored,
 )
 
 __all__ = [
+    "SMALL_ROWS",
     "binary_target",
     "join_path",
     "key_hash",
@@ -32,6 +35,7 @@ __all__ = [
     "remove_folders",
     "require_columns",
     "safe_ratio",
+    "settled",
     "shared_folder",
     "small_table",
     "stored",

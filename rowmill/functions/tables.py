@@ -14,6 +14,9 @@ from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+#: Rows that a table may have to be handled as a whole, by the driver or by one task.
+SMALL_ROWS = 10_000
+
 # Folders that this process has asked for and not yet removed.
 _folders: list[tuple[SparkSession, str]] = []
 
@@ -27,6 +30,13 @@ def small_table(df: DataFrame) -> DataFrame:
     return df.sparkSession.createDataFrame(df.toArrow(), schema=df.schema)
 
 
+def settled(df: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
+    """The table evaluated once: a local relation if it has ``most`` rows at most, else stored.
+    The rows are the same either way; what a task or the driver gets is bounded."""
+    head = df.limit(most + 1).toArrow()
+    return df.sparkSession.createDataFrame(head, schema=df.schema) if head.num_rows <= most else stored(df)
+
+
 def require_columns(df: DataFrame, names: Iterable[str]) -> None:
     """Raise ValueError naming the columns that the table lacks."""
     absent = [n for n in names if n not in df.columns]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.functions import match_flag, quoted, require_columns, stored, within_tolerance
+from rowmill.functions import match_flag, quoted, require_columns, settled, within_tolerance
 from rowmill.operators.metrics import metrics_by_run
 
 # Tolerances of the score comparison.
@@ -171,4 +171,4 @@ def run_summary(runs: DataFrame, first: str, key: str, run_id: str = "run_id") -
     flags = compare_runs(runs, first, key, run_id).select(
         F.col(quoted(run_id)), "same_labels", "same_predictions", "same_scores"
     )
-    return metrics_by_run(runs, run_id).join(stored(flags), run_id, "left")
+    return metrics_by_run(runs, run_id).join(settled(flags), run_id, "left")

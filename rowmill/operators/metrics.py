@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowmill.functions import match_flag, quoted, require_columns, safe_ratio, stored
+from rowmill.functions import match_flag, quoted, require_columns, safe_ratio, settled, stored
 from rowmill.operators.ranges import ROWS_PER_BUCKET, dense_index, with_range
 
 # Names and order of the binary metrics.
@@ -44,7 +44,7 @@ def confusion_matrix(
     raises ValueError. A dense matrix has a row per pair of labels; with ``dense`` off
     only pairs that occur have one, which suits columns of very many values.
     """
-    cells = stored(confusion_cells(df, y_true, y_pred))
+    cells = settled(confusion_cells(df, y_true, y_pred))
     require_labels(cells)
     return matrix_from_cells(cells, labels) if dense else cells
 
@@ -244,7 +244,7 @@ def classification_report(
     The accuracy row has its value in ``f1`` and no precision or recall, as in
     the printed report.
     """
-    cells = stored(confusion_cells(df, y_true, y_pred))
+    cells = settled(confusion_cells(df, y_true, y_pred))
     require_labels(cells)
     return report_from_cells(cells)
 
@@ -275,7 +275,7 @@ def report_from_cells(cells: DataFrame) -> DataFrame:
         *[F.sum(c).alias(c) for c in ("support", "predicted", "tp")]
     )
     # One row per class from here on.
-    per_class = dense_index(stored(classes), "value", "_place").select(
+    per_class = dense_index(settled(classes), "value", "_place").select(
         (F.col("_place") + 1).alias("position"),
         F.col("value").cast("string").alias("label"),
         safe_ratio(F.col("tp"), F.col("predicted")).alias("precision"),

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowmill.functions import quoted, require_columns, stored
+from rowmill.functions import quoted, require_columns, settled
 
 
 def long_features(df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -73,8 +73,8 @@ def combine_classes(class_moments: DataFrame) -> DataFrame:
     ``between`` and ``within`` are the sums of squares of the class means around
     the overall mean and of the values around their class mean.
     """
-    # read twice, so stored; classes meet in sums, however many there are
-    class_moments = stored(class_moments)
+    # read twice, so evaluated once; classes meet in sums, however many there are
+    class_moments = settled(class_moments)
     # A class in which every value is missing has neither mean nor variance.
     overall = class_moments.groupBy("position", "feature").agg(
         F.sum("n").alias("n"),

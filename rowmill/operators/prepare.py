@@ -10,6 +10,7 @@ from rowmill.functions import (
     missing_condition,
     quoted,
     require_columns,
+    settled,
     stored,
 )
 from rowmill.operators.ranges import POSITION_BITS, dense_index
@@ -135,9 +136,9 @@ def label_codes(df: DataFrame, label: str) -> DataFrame:
     """Codes 0..k-1 of the distinct label values in ascending order.
 
     A missing label, if there is one, gets the last code. The distinct values are
-    found once and stored.
+    found once.
     """
-    values = stored(df.select(F.col(quoted(label))).distinct())
+    values = settled(df.select(F.col(quoted(label))).distinct())
     present = F.col(quoted(label)).isNotNull()
     coded = dense_index(values.where(present), label, "code")
     coded = coded.select(F.col(quoted(label)), F.col("code").cast("int").alias("code"))

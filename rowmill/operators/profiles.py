@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from rowmill.functions import missing_condition, quoted, require_columns, stored
+from rowmill.functions import missing_condition, quoted, require_columns, settled
 from rowmill.operators.moments import moments
 
 
 def class_distribution(df: DataFrame, target: str) -> DataFrame:
     """(class, n, share)."""
-    counts = stored(df.groupBy(F.col(quoted(target))).agg(F.count(F.lit(1)).alias("n")))
+    counts = settled(df.groupBy(F.col(quoted(target))).agg(F.count(F.lit(1)).alias("n")))
     total = F.lit(counts.agg(F.sum("n")).first()[0]).cast("double")
     share = F.try_divide(F.col("n").cast("double"), total)
     return counts.withColumn("share", share)

@@ -3,7 +3,8 @@
 A window without partitioning sends a whole table through one task. Here Spark cuts
 the rows into ranges of about equal size first; each range is a task of its own, and
 one row per range carries what lies before it. The number of ranges follows from the
-number of rows, and the result is the same wherever the cuts fall.
+number of rows, and the result is the same wherever the cuts fall. Only tables of SMALL_ROWS
+rows at most are numbered by one task.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowmill.functions import quoted, require_columns, stored
+from rowmill.functions import SMALL_ROWS, quoted, require_columns, stored
 
 ROWS_PER_BUCKET = 100_000
 # monotonically_increasing_id: partition above, position in the partition below.
@@ -46,7 +47,11 @@ def dense_index(
     if isinstance(key, str):
         require_columns(df, [key])
         key = [F.col(quoted(key))]
-    ranges = range_count(df, rows_per_bucket)
+    rows = df.count()
+    if rows <= min(SMALL_ROWS, rows_per_bucket):  # so few may be numbered by one task
+        place = F.row_number().over(Window.orderBy(*key)) - 1
+        return df.withColumn(name, place.cast("long"))
+    ranges = max(1, math.ceil(rows / rows_per_bucket))
     ordered = df.repartitionByRange(ranges, *key).sortWithinPartitions(*key)
     placed = stored(ordered.withColumn("_place", F.monotonically_increasing_id()))
     part = F.shiftright("_place", POSITION_BITS)

@@ -19,7 +19,7 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from rowmill.functions import key_hash, quoted, require_columns, stored
+from rowmill.functions import key_hash, quoted, require_columns, settled
 from rowmill.operators.ranges import dense_index
 
 # Half width of the first bracket in standard deviations of the cut's position.
@@ -44,7 +44,7 @@ def side_sizes(rows: int, test_size: float | int) -> tuple[int, int]:
 
 
 def class_quotas(counts: DataFrame, test_size: float | int) -> DataFrame:
-    """(value, rows, train, test) from a stored table (value, rows) of class counts.
+    """(value, rows, train, test) from a settled table (value, rows) of class counts.
 
     Training rows are the proportional share rounded down, and one more for the largest
     remainders (ties by class value) until the total is met.
@@ -85,9 +85,9 @@ def class_quotas(counts: DataFrame, test_size: float | int) -> DataFrame:
 
 
 def class_counts(df: DataFrame, target: str, key: str | None = None) -> DataFrame:
-    """Stored (value, rows); a missing key raises, since it would fall on no side for sure."""
+    """Settled (value, rows); a missing key raises, since it would fall on no side for sure."""
     absent = F.count_if(F.col(quoted(key)).isNull()) if key else F.lit(0)
-    counts = stored(
+    counts = settled(
         df.groupBy(F.col(quoted(target)).alias("value")).agg(
             F.count(F.lit(1)).alias("rows"), absent.cast("long").alias("absent")
         )
@@ -138,7 +138,7 @@ def split_cuts(
     belong below it, no cut meets the quota, and ValueError is raised.
     """
     require_columns(df, [key, target])
-    quotas = stored(class_quotas(class_counts(df, target, key), test_size))
+    quotas = settled(class_quotas(class_counts(df, target, key), test_size))
     hashed = df.select(F.col(quoted(target)).alias("_class"), key_hash(key, seed).alias("_hash"))
 
     cuts = quotas.where("train = 0").select(F.col("value").alias("_class"), F.lit("").alias("cut"))
@@ -155,7 +155,7 @@ def split_cuts(
         # The rows below the bracket are one row here, and come first.
         upward = Window.partitionBy("_class").orderBy(F.col("_digest").asc_nulls_first())
         upto = F.sum("_rows").over(upward.rowsBetween(Window.unboundedPreceding, 0))
-        found = stored(
+        found = settled(
             counted.withColumn("_upto", upto)
             .where(F.col("_digest").isNotNull() & (F.col("_upto") >= F.col("_wanted")))
             .where(F.col("_upto") - F.col("_rows") < F.col("_wanted"))
@@ -173,7 +173,7 @@ def split_cuts(
         )
         left -= done[0]
         sigmas *= 8
-    return stored(cuts.select(F.col("_class").alias(target), "cut"))
+    return settled(cuts.select(F.col("_class").alias(target), "cut"))
 
 
 def assign_split(
@@ -245,7 +245,7 @@ def split_balance(assigned: DataFrame, target: str) -> DataFrame:
         in_train.alias("_train"),
         F.count_if(F.col("split") == "test").alias("_test"),
     )
-    counts = stored(counts)
+    counts = settled(counts)
     names = (("_all", "share"), ("_train", "train_share"), ("_test", "test_share"))
     totals = counts.agg(*[F.sum(c) for c, _ in names]).first()
     return counts.select(

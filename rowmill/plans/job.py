@@ -13,8 +13,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, functions as F
 
-from rowmill.functions import join_path, match_flag, quoted, require_columns, small_table
-from rowmill.functions import stored as kept
+from rowmill.functions import join_path, match_flag, quoted, require_columns, settled, small_table
 from rowmill.operators import metrics as m
 from rowmill.operators.models import TreeModel, score, train_model
 from rowmill.operators.moments import combine_classes, moments
@@ -119,7 +118,7 @@ def run_job(
     area = "y_pred_proba" if "roc_auc" in config.metrics else None
     evaluated = m.binary_metrics(predictions, score=area)
     evaluated = small_table(evaluated.select("n", *config.metrics, "tn", "fp", "fn", "tp"))
-    cells = kept(m.confusion_cells(predictions))
+    cells = settled(m.confusion_cells(predictions))
     m.require_labels(cells)
     confusion = m.matrix_from_cells(cells, labels=[0, 1])
     report = m.report_from_cells(cells)
