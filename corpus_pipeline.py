@@ -20,13 +20,22 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies, at five-word
-    shingles and a similarity of 0.8. Of rows that share an id one stays; rows without an
-    id all stay."""
-    found = setsketch.near_duplicates(docs)
-    kept = found.where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rows.select(*docs.columns).union(docs.where("doc_id IS NULL"))
+    """One row of each group of near copies, at five-word shingles and a similarity of 0.8: the
+    one with the smallest id, null ids last, of equal ids the first in the table as read. Each
+    row is judged by its own text, also where rows share an id or have none; rows without words
+    all stay."""
+    number = "_row"
+    while number in docs.columns:
+        number += "_"
+    # the numbers have to be the same in all that follows
+    numbered = stored(docs.withColumn(number, F.monotonically_increasing_id()))
+    found = setsketch.near_duplicates(numbered.select(number, "text"), key=number)
+    ids = numbered.select(F.col(number).alias("node"), F.col("doc_id").alias("id"))
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "node")
+    groups = found.select(F.col("doc_id").alias("node"), "component_id").join(ids, "node")
+    first = groups.groupBy("component_id").agg(F.min(place).alias("first")).select(F.col("first.node").alias("kept"))
+    kept = numbered.join(stored(first), F.col(number) == F.col("kept"), "left_semi")
+    return kept.select(*docs.columns)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
