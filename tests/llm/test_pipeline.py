@@ -1,3 +1,4 @@
+import random
 import re
 
 import pyarrow as pa
@@ -97,3 +98,24 @@ def test_near_dedup_keeps_one_row_of_an_id(spark, sf_dir):
     got = collected(STAGES["near_dedup"](spark, documents(spark, AWKWARD), sf_dir))
     ids = [r["doc_id"] for r in got]
     assert sorted(i for i in ids if i is not None) == [1, 2, 3, 4, 5, 6, 7, 8, 9] and ids.count(None) == 2
+
+
+def test_near_dedup_judges_rows_by_their_own_texts(spark, sf_dir):
+    """Ids that are shared, also by unrelated texts, and rows without one."""
+    rng = random.Random(31)
+    text = lambda n: " ".join(f"w{rng.randrange(400)}" for _ in range(n))
+    a, b, c, d, e = (text(80) for _ in range(5))
+    near = lambda t: t.replace(t.split()[40], "other", 1)
+    rows = [(7, a), (7, b), (7, a), (3, near(a)), (None, a), (None, c), (None, near(c)), (9, d), (9, e), (None, e), (5, near(b)), (6, "")]
+    docs = documents(spark, rows, ["_row"]).repartition(4)
+    got = collected(STAGES["near_dedup"](spark, docs, sf_dir))
+    # numbered in the order of ids, null ids last, every row is a document of its own
+    order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
+    groups = brute_components([(n, rows[k][1]) for n, k in enumerate(order)], 5, 80)
+    wanted = {n for n, g in groups.items() if n == g}
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in got) == sorted(
+        (rows[order[n]][0] is None, rows[order[n]][0] or 0) for n in wanted
+    )
+    left = [r["text"] for r in got]
+    assert sum(t in (a, near(a)) for t in left) == sum(t in (c, near(c)) for t in left) == 1
+    assert d in left and left.count(e) == 1 and sum(t in (b, near(b)) for t in left) == 1
