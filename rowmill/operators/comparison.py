@@ -11,6 +11,9 @@ from rowmill.operators.metrics import metrics_by_run
 RTOL = 1e-8
 ATOL = 1e-10
 
+#: Ranges of keys that runs are digested in.
+RANGES = 1024
+
 
 def require_unique(df: DataFrame, key: str) -> None:
     """Raise ValueError if a key value occurs more than once."""
@@ -83,44 +86,56 @@ def compare_runs(
     Labels are the same only if both runs hold exactly the same keys; if they are
     not, predictions and scores count as different too.
 
-    Each other run's rows meet the first run's in one join on the key, followed by
-    a grouped count per run; keys missing on either side show in the counts. A first run
-    without rows raises ValueError; a key that a run holds twice fails the query.
+    Runs are compared by digests of key ranges first: counts and order-free digests of labels,
+    predictions and scores. Where a range's digests agree with the first run's, so do its
+    rows; rows meet in a join on the key only in ranges that differ, and equal runs are never
+    joined. Keys missing on either side show in the counts. A first run without rows raises
+    ValueError, a key that it holds twice too; a key that another run holds twice fails the query.
     """
     require_columns(runs, [run_id, key, "y_true", "y_pred", "y_pred_proba"])
-    base = runs.where(F.col(quoted(run_id)) == F.lit(first)).select(
-        F.col(quoted(key)).alias("_key"),
-        F.col("y_true").alias("_true"),
-        F.col("y_pred").alias("_pred"),
-        F.col("y_pred_proba").cast("double").alias("_score"),
-    )
-    others = runs.where(F.col(quoted(run_id)) != F.lit(first)).select(
-        F.col(quoted(run_id)),
-        F.col(quoted(key)).alias("_key"),
-        "y_true",
-        "y_pred",
-        F.col("y_pred_proba").cast("double").alias("y_pred_proba"),
-        F.lit(True).alias("_other"),
-    )
-    n_first = base.count()
+    is_first = F.col(quoted(run_id)) == F.lit(first)
+    digests = settled(run_digests(runs, key, run_id))
+    base, others = digests.where(is_first), digests.where(~is_first)
+    n_first = base.agg(F.sum("n")).first()[0]
     if not n_first:
         raise ValueError(f"no run {first!r} in {run_id}")
-    base = _once_per_key(base, ["_key"], first)
-    others = _once_per_key(others, [run_id, "_key"], "compared with it")
-    joined = others.join(base.withColumn("_base", F.lit(True)), "_key", "left")
-    matched = F.col("_base").isNotNull()
-    close = within_tolerance(F.col("_score"), F.col("y_pred_proba"), rtol, atol)
-
-    def differing(same: Column) -> Column:
-        return F.count_if(matched & ~F.coalesce(same, F.lit(False)))
-
-    counts = joined.groupBy(F.col(quoted(run_id))).agg(
-        F.lit(n_first).cast("long").alias("n_first"),
-        F.count(F.lit(1)).alias("n_run"),
-        F.count_if(matched).alias("n_matched"),
-        differing(F.col("y_true").eqNullSafe(F.col("_true"))).alias("n_label_diff"),
-        differing(F.col("y_pred").eqNullSafe(F.col("_pred"))).alias("n_prediction_diff"),
-        differing(close).alias("n_score_diff"),
+    repeated = runs.where(is_first).groupBy(F.col(quoted(key))).count().where("count > 1").limit(1)
+    if not repeated.isEmpty():
+        raise ValueError(f"a run ({first}) holds a key more than once")
+
+    # equal digests, so equal rows: what holds for the run's range holds for the first run's
+    marks = [c for c in digests.columns if c not in (run_id, "_range", "n_unscored")]
+    known = base.select("_range", *[F.col(c).alias(f"_first_{c}") for c in marks])
+    same = F.lit(True)
+    for c in marks:
+        same = same & F.coalesce(F.col(c) == F.col(f"_first_{c}"), F.lit(False))
+    judged = settled(
+        others.join(known, "_range", "left").select(F.col(quoted(run_id)), "_range", "n", "n_unscored", same.alias("_same"))
+    )
+    equal = F.when(F.col("_same"), F.col("n")).otherwise(F.lit(0))
+    totals = judged.groupBy(F.col(quoted(run_id))).agg(
+        F.sum("n").alias("n_run"),
+        F.sum(equal).alias("n_matched"),
+        # a missing score is close to nothing, not even to another one
+        F.sum(F.when(F.col("_same"), F.col("n_unscored")).otherwise(F.lit(0))).alias("n_score_diff"),
+    )
+    differing = judged.where(~F.col("_same")).select(F.col(quoted(run_id)), "_range")
+    zero = F.lit(0).cast("long")
+    if differing.isEmpty():
+        counts = totals.withColumns({"n_label_diff": zero, "n_prediction_diff": zero})
+    else:
+        found = _row_differences(runs, first, key, run_id, differing, rtol, atol)
+        joined = totals.join(settled(found), run_id, "left")
+        counts = joined.select(
+            F.col(quoted(run_id)), "n_run",
+            (F.col("n_matched") + F.coalesce("_matched", zero)).alias("n_matched"),
+            F.coalesce("_labels", zero).alias("n_label_diff"),
+            F.coalesce("_predictions", zero).alias("n_prediction_diff"),
+            (F.col("n_score_diff") + F.coalesce("_scores", zero)).alias("n_score_diff"),
+        )
+    counts = counts.select(
+        F.col(quoted(run_id)), F.lit(n_first).cast("long").alias("n_first"),
+        *[F.col(c).cast("long").alias(c) for c in ("n_run", "n_matched", "n_label_diff", "n_prediction_diff", "n_score_diff")],
     )
     same_keys = (F.col("n_matched") == F.col("n_first")) & (F.col("n_matched") == F.col("n_run"))
     labels = same_keys & (F.col("n_label_diff") == 0)
@@ -131,6 +146,54 @@ def compare_runs(
     )
 
 
+def run_digests(runs: DataFrame, key: str, run_id: str = "run_id") -> DataFrame:
+    """(run_id, _range, n, n_unscored, digests): a row per run and key range, mergeable in any
+    order. Each digest is 128 bits over (key, value) of a column, a missing value included."""
+    own = F.col(quoted(key))
+    values = {"label": F.col("y_true"), "prediction": F.col("y_pred"), "score": F.col("y_pred_proba").cast("double")}
+    score = values["score"]
+    digests = [
+        F.bit_xor(F.xxhash64(F.lit(salt), own, value.isNull(), value)).alias(f"{name}_{salt}")
+        for name, value in values.items() for salt in (1, 2)
+    ]
+    place = F.pmod(F.xxhash64(own), F.lit(RANGES)).alias("_range")
+    return runs.groupBy(F.col(quoted(run_id)), place).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(score.isNull() | F.isnan(score)).alias("n_unscored"), *digests
+    )
+
+
+def _row_differences(
+    runs: DataFrame, first: str, key: str, run_id: str, differing: DataFrame, rtol: float, atol: float
+) -> DataFrame:
+    """(run_id, _matched, _labels, _predictions, _scores) from a join of rows on the key, in
+    the key ranges that differ."""
+    own = F.col(quoted(key))
+    placed = runs.select(
+        F.col(quoted(run_id)), own.alias("_key"), "y_true", "y_pred",
+        F.col("y_pred_proba").cast("double").alias("y_pred_proba"), F.pmod(F.xxhash64(own), F.lit(RANGES)).alias("_range"),
+    )
+    is_first = F.col(quoted(run_id)) == F.lit(first)
+    base = placed.where(is_first).join(differing.select("_range").distinct(), "_range", "left_semi").select(
+        "_key", F.col("y_true").alias("_true"), F.col("y_pred").alias("_pred"), F.col("y_pred_proba").alias("_score"),
+        F.lit(True).alias("_base"),
+    )
+    others = placed.where(~is_first).join(differing, [run_id, "_range"], "left_semi").drop("_range")
+    others = _once_per_key(others, [run_id, "_key"], "compared with it")
+    joined = others.join(base, "_key", "left")
+    matched = F.col("_base").isNotNull()
+    close = within_tolerance(F.col("_score"), F.col("y_pred_proba"), rtol, atol)
+
+    def differ(same: Column) -> Column:
+        return F.count_if(matched & ~F.coalesce(same, F.lit(False)))
+
+    return joined.groupBy(F.col(quoted(run_id))).agg(
+        F.count_if(matched).alias("_matched"),
+        differ(F.col("y_true").eqNullSafe(F.col("_true"))).alias("_labels"),
+        differ(F.col("y_pred").eqNullSafe(F.col("_pred"))).alias("_predictions"),
+        differ(close).alias("_scores"),
+    )
+
+
 def _once_per_key(rows: DataFrame, names: list[str], run: str) -> DataFrame:
     """The rows, folded by key; the query fails where a key is repeated."""
     once = F.when(F.count(F.lit(1)) == 1, F.lit(True)).otherwise(

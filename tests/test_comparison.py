@@ -1,7 +1,7 @@
 import math
 
 import pytest
-from conftest import rows
+from conftest import plan, rows
 from pyspark.sql import functions as F
 
 from rowmill.operators import comparison
@@ -131,3 +131,60 @@ def test_unmatched_keys(spark):
     a, b = spark.range(4).toDF("id"), spark.range(2, 7).toDF("id")
     assert tuple(comparison.unmatched_keys(a, b, "id").first()) == (2, 2, 3)
     assert comparison.unmatched_keys(a.where(F.lit(False)), b, "id").first()["n_matched"] == 0
+
+
+def many(spark, n=3000):
+    """A first run, and others that differ from it in few places or none."""
+    base = spark.range(n).select(
+        "id", (F.col("id") % 3 == 0).cast("int").alias("y_true"), (F.col("id") % 5 == 0).cast("int").alias("y_pred"),
+        F.when(F.col("id") % 100 != 7, F.col("id") / 7).alias("y_pred_proba"),
+    )
+    def run(name, df):
+        return df.select(F.lit(name).alias("run_id"), "id", "y_true", "y_pred", "y_pred_proba")
+
+    score = F.col("y_pred_proba")
+    return {
+        "first": run("first", base), "echo": run("echo", base.repartition(5)),
+        "one": run("one", base.withColumn("y_pred", F.when(F.col("id") == 11, 9).otherwise(F.col("y_pred")))),
+        "short": run("short", base.where("id <> 12")), "nudged": run("nudged", base.withColumn("y_pred_proba", score * (1 + 1e-12))),
+        "swapped": run("swapped", base.withColumns({"y_true": F.col("y_pred"), "y_pred": F.col("y_true")})),
+    }
+
+
+def brute(df):
+    """All counts by one join of every row."""
+    base = df.where("run_id = 'first'").select("id", *[F.col(c).alias(f"_{c}") for c in ("y_true", "y_pred", "y_pred_proba")])
+    close = F.abs(F.col("_y_pred_proba") - F.col("y_pred_proba")) <= 1e-10 + 1e-8 * F.abs("y_pred_proba")
+    met = F.col("_y_true").isNotNull()
+    return df.where("run_id <> 'first'").join(base, "id", "left").groupBy("run_id").agg(
+        F.count(F.lit(1)).alias("n_run"), F.count_if(met).alias("n_matched"),
+        F.count_if(met & (F.col("y_true") != F.col("_y_true"))).alias("n_label_diff"),
+        F.count_if(met & (F.col("y_pred") != F.col("_y_pred"))).alias("n_prediction_diff"),
+        F.count_if(met & ~F.coalesce(close, F.lit(False))).alias("n_score_diff"),
+    )
+
+
+def test_ranges_that_differ_are_found(spark):
+    every = many(spark)
+    df = every["first"]
+    for name, other in every.items():
+        if name != "first":
+            df = df.unionByName(other)
+    wanted = brute(df)
+    found = comparison.compare_runs(df, "first", "id")
+    assert rows(found.select(wanted.columns)) == rows(wanted)
+    # a missing score is no agreement, though the runs are equal
+    assert found.where("run_id = 'echo'").select("same_predictions", "same_scores").first() == (True, False)
+
+
+def test_equal_runs_are_compared_without_their_rows(spark, tmp_path):
+    every = many(spark)
+    every["first"].unionByName(every["echo"]).write.parquet(str(tmp_path / "r"))
+    df = spark.read.parquet(str(tmp_path / "r"))
+    found = comparison.compare_runs(df, "first", "id")
+    assert "FileScan" not in plan(found) and found.first()["same_labels"]
+    every["one"].write.mode("append").parquet(str(tmp_path / "r"))
+    differing = comparison.run_digests(spark.read.parquet(str(tmp_path / "r")), "id")
+    marks = [c for c in differing.columns if c not in ("run_id",)]
+    first, one = (differing.where(F.col("run_id") == n).select(marks) for n in ("first", "one"))
+    assert first.exceptAll(one).count() == 1
