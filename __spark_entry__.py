@@ -1055,6 +1055,19 @@ def run_summary(spark, sf_dir):
     )
 
 
+def run_summary_from_states(spark, sf_dir):
+    """The same summary from what was stored with each run as it came."""
+    folder, results = new_folder(spark), runs(spark, sf_dir)
+    for name in ("first", "echo", "longer", "swapped"):
+        artifacts.write_run_result(results.where(F.col("run_id") == name).drop("run_id"), folder, name, "doc_id")
+        artifacts.write_run_state(spark, folder, name, "doc_id")
+    summary = artifacts.summarise_runs(spark, folder, "first", "doc_id")
+    flags = ["same_labels", "same_predictions", "same_scores"]
+    return summary.select(
+        "run_id", "n", *[rounded(c).alias(c) for c in [*RATES, "roc_auc"]], *CELLS, *flags
+    )
+
+
 def class_distribution(spark, sf_dir):
     found = profiles.class_distribution(table(spark, sf_dir, "events"), "event_type")
     return found.select("event_type", "n", rounded("share").alias("share"))
@@ -1160,6 +1173,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "compare_predictions": compare_predictions,
         "compare_scores": compare_scores,
         "run_summary": run_summary,
+        "run_summary_from_states": run_summary_from_states,
         "class_distribution": class_distribution,
         "feature_profile": feature_profile,
         "profile_summary": profile_summary,
@@ -1366,4 +1380,5 @@ def oracle_sql() -> dict[str, str]:
               / sum(count(*) FILTER (split = 'test')) OVER (), 6) + 0e0 AS test_share
           FROM assigned GROUP BY event_type""",
     }
+    own["run_summary_from_states"] = own["run_summary"]
     return own | MODEL_SQL | (corpus.ORACLES if corpus else {})

@@ -78,6 +78,7 @@ def compare_runs(
     run_id: str = "run_id",
     rtol: float = RTOL,
     atol: float = ATOL,
+    digests: DataFrame | None = None,
 ) -> DataFrame:
     """(run_id, n_first, n_run, n_matched, n_label_diff, n_prediction_diff,
     n_score_diff, same_labels, same_predictions, same_scores) of every other run
@@ -89,12 +90,13 @@ def compare_runs(
     Runs are compared by digests of key ranges first: counts and order-free digests of labels,
     predictions and scores. Where a range's digests agree with the first run's, so do its
     rows; rows meet in a join on the key only in ranges that differ, and equal runs are never
-    joined. Keys missing on either side show in the counts. A first run without rows raises
+    joined. ``digests`` are those of ``run_digests``, if they are known already.
+    Keys missing on either side show in the counts. A first run without rows raises
     ValueError, a key that it holds twice too; a key that another run holds twice fails the query.
     """
     require_columns(runs, [run_id, key, "y_true", "y_pred", "y_pred_proba"])
     is_first = F.col(quoted(run_id)) == F.lit(first)
-    digests = settled(run_digests(runs, key, run_id))
+    digests = settled(run_digests(runs, key, run_id) if digests is None else digests)
     base, others = digests.where(is_first), digests.where(~is_first)
     n_first = base.agg(F.sum("n")).first()[0]
     if not n_first:
@@ -229,9 +231,27 @@ def compare_scores(
     return compared.select(F.col(quoted(run_id)), "same_scores")
 
 
-def run_summary(runs: DataFrame, first: str, key: str, run_id: str = "run_id") -> DataFrame:
-    """Metrics of every run and its agreement with the first (NULL for the first)."""
-    flags = compare_runs(runs, first, key, run_id).select(
+def run_summary(
+    runs: DataFrame, first: str, key: str, run_id: str = "run_id",
+    scores: DataFrame | None = None, digests: DataFrame | None = None,
+) -> DataFrame:
+    """Metrics of every run and its agreement with the first (NULL for the first).
+
+    With the runs' states, ``scores`` of ``run_scores`` and ``digests`` of ``run_digests``, rows are
+    read only of the first run, for its keys, and in key ranges that differ.
+    """
+    flags = compare_runs(runs, first, key, run_id, digests=digests).select(
         F.col(quoted(run_id)), "same_labels", "same_predictions", "same_scores"
     )
-    return metrics_by_run(runs, run_id).join(settled(flags), run_id, "left")
+    if scores is None:
+        found = metrics_by_run(runs, run_id)
+    else:
+        found = metrics_by_run(scores, run_id, weight="n")
+    return found.join(settled(flags), run_id, "left")
+
+
+def run_scores(runs: DataFrame, run_id: str = "run_id") -> DataFrame:
+    """(run_id, y_true, y_pred, y_pred_proba, n): how often each run has each combination. All
+    metrics of a run follow from it, and those of two parts of a run add up."""
+    names = [quoted(run_id), "y_true", "y_pred", "y_pred_proba"]
+    return runs.groupBy(*names).agg(F.count(F.lit(1)).alias("n"))

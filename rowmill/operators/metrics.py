@@ -106,6 +106,7 @@ def binary_metrics(
     by: Sequence[str] = (),
     positive=1,
     rows_per_bucket: int = ROWS_PER_BUCKET,
+    weight: str | None = None,
 ) -> DataFrame:
     """accuracy, precision, recall, f1, the cells tn, fp, fn, tp and, when a score
     is given, roc_auc; one row per ``by`` group. A rate with nothing to divide by
@@ -118,18 +119,20 @@ def binary_metrics(
     distinct scores are then cut into ranges: each range counts the negatives below a
     score inside the range, and one row per range carries the count below the whole range.
 
+    ``weight`` names a column that says how many rows a row stands for.
+
     The query fails if a label is missing or a group holds more than one label
     besides ``positive``: such rows have no place in two classes.
     """
-    require_columns(df, [*by, y_true, y_pred, *([score] if score else [])])
+    require_columns(df, [*by, y_true, y_pred, *([score] if score else []), *([weight] if weight else [])])
     actual = match_flag(F.col(quoted(y_true)), F.lit(positive)).cast("long")
     called = match_flag(F.col(quoted(y_pred)), F.lit(positive)).cast("long")
     counts = [
-        F.count(F.lit(1)).alias("n"),
-        F.sum("_hit").alias("_hits"),
-        F.sum(F.col("_actual") * F.col("_called")).alias("tp"),
-        F.sum((F.lit(1) - F.col("_actual")) * F.col("_called")).alias("fp"),
-        F.sum("_actual").alias("_pos"),
+        F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"),
+        F.sum(F.col("_hit") * F.col("_rows")).alias("_hits"),
+        F.sum(F.col("_actual") * F.col("_called") * F.col("_rows")).alias("tp"),
+        F.sum((F.lit(1) - F.col("_actual")) * F.col("_called") * F.col("_rows")).alias("fp"),
+        F.sum(F.col("_actual") * F.col("_rows")).alias("_pos"),
         F.count_if(F.col("_gap")).alias("_gaps"),
         F.min("_low").alias("_low"),
         F.max("_high").alias("_high"),
@@ -139,6 +142,7 @@ def binary_metrics(
     flagged = df.select(
         *_columns(by),
         *([F.col(quoted(score)).alias("_score")] if score else []),
+        (F.col(quoted(weight)) if weight else F.lit(1)).cast("long").alias("_rows"),
         actual.alias("_actual"),
         called.alias("_called"),
         match_flag(truth, call).cast("long").alias("_hit"),

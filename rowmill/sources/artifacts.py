@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StringType, StructField, StructType
 
-from rowmill.functions import match_flag, quoted, require_columns
+from rowmill.functions import join_path, match_flag, quoted, require_columns
+from rowmill.operators.comparison import run_digests, run_scores, run_summary
 from rowmill.operators.metrics import confusion_table, report_text
 from rowmill.operators.models import read_model, store_model
 from rowmill.sources.tables import write_dataset
-from rowmill.sources.versions import commit, read_committed
+from rowmill.sources.versions import commit, manifests, read_committed
 
 # Layout of a stored scaler.
 SCALER_SCHEMA = StructType(
@@ -93,3 +94,29 @@ def read_run_results(spark: SparkSession, path: str) -> DataFrame:
     and "01" stay two.
     """
     return read_committed(spark, path, ["run_id"])
+
+
+# Where the states of a table of runs lie below it; readers of the rows don't see them.
+SCORES, DIGESTS = "_scores", "_digests"
+
+
+def write_run_state(spark: SparkSession, path: str, run_id: str, key: str) -> None:
+    """Store what a summary needs of one stored run, reading only that run: how often it has each
+    combination of labels and score, and digests of its key ranges. To be called after
+    ``write_run_result``; a repeated call replaces the state."""
+    one = read_run_results(spark, path).where(F.col("run_id") == F.lit(str(run_id)))
+    if one.isEmpty():
+        raise ValueError(f"no run {run_id!r} is stored at {path}")
+    commit(run_scores(one), join_path(path, SCORES), str(run_id), ["run_id"])
+    commit(run_digests(one, key), join_path(path, DIGESTS), str(run_id), ["run_id"])
+
+
+def summarise_runs(spark: SparkSession, path: str, first: str, key: str) -> DataFrame:
+    """``run_summary`` of all stored runs from their states. Runs without a state raise."""
+    runs = read_run_results(spark, path)
+    states = [set(manifests(spark, join_path(path, x))) for x in (SCORES, DIGESTS)]
+    lacking = sorted(set(manifests(spark, path)) - (states[0] & states[1]))
+    if lacking:
+        raise ValueError(f"runs without a state: {lacking}")
+    scores, digests = (read_committed(spark, join_path(path, x), ["run_id"]) for x in (SCORES, DIGESTS))
+    return run_summary(runs, first, key, scores=scores, digests=digests)

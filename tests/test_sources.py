@@ -10,7 +10,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from rowmill.functions import remove_folders, shared_folder, small_table, stored, tables
-from rowmill.operators import metrics
+from rowmill.operators import comparison, metrics
 from rowmill.sources import artifacts, versions
 from rowmill.sources.tables import (
     Catalog, read_dataset, read_labeled, read_stage, write_dataset, write_stage,
@@ -243,3 +243,34 @@ def test_a_switch_that_never_comes_leaves_the_old_rows(spark, tmp_path, monkeypa
     with pytest.raises(OSError):
         write_stage(df.where("id = 1"), path)
     assert rows(read_stage(spark, path)) == rows(df)
+
+
+def test_a_summary_from_states_equals_the_full_one(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    base = spark.range(400).select(
+        "id", (F.col("id") % 3 == 0).cast("int").alias("y_true"), (F.col("id") % 4 == 0).cast("int").alias("y_pred"),
+        ((F.col("id") * 7 % 50) / 50).alias("y_pred_proba"),
+    )
+    made = {"a": base, "b": base.repartition(3), "c": base.withColumn("y_pred", 1 - F.col("y_pred"))}
+    for name, df in made.items():
+        artifacts.write_run_result(df, path, name, "id")
+    with pytest.raises(ValueError, match="without a state"):
+        artifacts.summarise_runs(spark, path, "a", "id")
+    for name in made:
+        artifacts.write_run_state(spark, path, name, "id")
+    # another run comes: only its own rows are read for its state
+    artifacts.write_run_result(base.where("id < 300"), path, "d", "id")
+    artifacts.write_run_state(spark, path, "d", "id")
+    runs = artifacts.read_run_results(spark, path)
+    full = comparison.run_summary(runs, "a", "id")
+    assert rows(artifacts.summarise_runs(spark, path, "a", "id")) == rows(full)
+    one = comparison.run_scores(runs.where("run_id = 'd'"))
+    assert "PartitionFilters: [isnotnull(run_id" in plan(one)
+    assert rows(runs.groupBy("run_id").count())[0] == ("a", 400)
+    with pytest.raises(ValueError, match="no run 'x'"):
+        artifacts.write_run_state(spark, path, "x", "id")
+    # a run that is written again needs its state again
+    artifacts.write_run_result(base, path, "d", "id")
+    artifacts.write_run_state(spark, path, "d", "id")
+    again = {r["run_id"]: r for r in artifacts.summarise_runs(spark, path, "a", "id").collect()}
+    assert again["d"]["same_scores"] is True and again["d"]["n"] == 400
