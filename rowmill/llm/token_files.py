@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from rowmill.functions import stored
 from rowmill.llm.bpe import unit_table
-from rowmill.llm.common import as_uri, binary_rows, filled, keyed_texts, mkdirs, text_slices
+from rowmill.llm.common import SLICE_BYTES, as_uri, binary_rows, filled, keyed_texts, mkdirs, text_slices
 from rowmill.llm.seekable import SeekableReader, SeekableWriter
 
 #: Ids after which a file is closed.
@@ -47,7 +47,6 @@ def write_token_files(
         table = unit_table(tokenizer)
         kind = np.uint16 if max(len(table.pieces) - 1, end_id) < 1 << 16 else np.uint32
         part, seq, out, held = TaskContext.get().partitionId(), 0, None, 0
-        end = np.array([end_id], np.uint32).tobytes()
 
         def closed() -> pa.RecordBatch:
             columns = [pa.concat_arrays(c) for c in zip(*index)]
@@ -60,15 +59,16 @@ def write_token_files(
                 ["part", "seq", "path", "n_docs", "n_tokens", "id_bytes"],
             )
 
-        for piece in text_slices(batches):
+        for piece in text_slices(batches, max_bytes=2 * SLICE_BYTES):
             if out is None:
                 path, index = f"{target}/{uuid.uuid4().hex}.ids.zst", []
                 out, held = SeekableWriter(path), 0
-            places, counts = [], []
-            for ids in table.encode(filled(piece.column("text")).to_pylist()):
-                codes = np.frombuffer(ids + end, np.uint32)
-                places.append(out.add(codes.astype(kind).tobytes()))
-                counts.append(len(codes))
+            first, ids = table.encode_array(filled(piece.column("text")))
+            # each text's ids, then the end
+            closing = np.insert(ids.astype(kind), first[1:], kind(end_id)).tobytes()
+            counts = (np.diff(first) + 1).tolist()
+            cuts = ((first + np.arange(len(first))) * np.dtype(kind).itemsize).tolist()
+            places = [out.add(closing[a:b]) for a, b in zip(cuts, cuts[1:])]
             frames, offsets = zip(*places)
             index.append([
                 piece.column("doc_id"), pa.array(frames, pa.int32()),
@@ -80,6 +80,7 @@ def write_token_files(
                 seq, out = seq + 1, None
         if out is not None:
             yield closed()
+        table.release()
 
     rows = keyed_texts(docs, key, text).withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
