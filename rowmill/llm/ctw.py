@@ -7,10 +7,12 @@ its children, half and half before any data, so all depths share in every predic
 
 The corpus is cut into chunks as tasks read it. A chunk writes its texts and, per bucket
 of keys, which byte windows and words it holds and how often they occur in training texts.
-Buckets add these up over all chunks and answer with one value per key, and each chunk
-scores its own texts from the answers. So texts are shuffled once, in compressed chunks,
-keys once per chunk, and nothing that grows with the corpus passes through the driver: it
-gets two counts of words and the nodes of depth 0 and 1, at most 256 * 255.
+Buckets add these up over all chunks. The distinct windows, no longer one copy per chunk, go
+on to the trees, which keep the windows after the same two bytes together and return a value
+for each. Buckets answer each chunk from these, and each chunk scores its own texts. So texts
+are shuffled once, in compressed chunks, keys twice per chunk, and nothing that grows with
+the corpus passes through the driver: it gets two counts of words and the nodes of depth 0
+and 1, at most 256 * 255.
 """
 
 from __future__ import annotations
@@ -28,19 +30,30 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from rowmill.functions import stored
-from rowmill.llm.common import binary_rows, hash_words, mix, offsets_of, small_batches, split_words, text_slices
+from rowmill.llm.common import (
+    binary_rows, give_back, hash_words, mix, offsets_of, small_batches, split_words, text_slices,
+)
 
 #: Bytes of context. Windows of DEPTH + 1 bytes have to fit into 64 bits.
 DEPTH = 5
 #: Bytes of text in a chunk.
 CHUNK_BYTES = 16 << 20
+#: Keys of several chunks that are added up at a time, unless the sum is larger.
+MERGE_KEYS = 1 << 20
+#: Buckets per group of trees.
+BUCKETS_PER_TREE = 4
 END = "\n"
 END_KEY = np.uint64(xxhash.xxh3_64_intdigest(END.encode()))
 TEXTS, GRAMS, WORDS = 0, 1, 2
 LOG2 = math.log(2.0)
 
+#: Context bytes, nearest first, whose windows share a bucket, and a group of trees.
+BUCKET_DEPTH, TREE_DEPTH = 3, 2
+
 CHUNKS = "kind int, chunk string, bucket int, total long, keys binary, counts binary, blob binary"
 ANSWERS = "chunk string, kind int, bucket int, answers binary"
+MERGED = "tree int, bucket int, keys binary, counts binary"
+VALUES = "bucket int, keys binary, found binary"
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -127,21 +140,25 @@ class Slice:
 
 def summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and their added counts."""
-    distinct, place = np.unique(keys, return_inverse=True)
-    return distinct, np.bincount(place, counts, len(distinct)).astype(np.int64)
+    order = np.argsort(keys, kind="stable")  # fast where sorted keys follow sorted keys
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+    return keys[first], np.add.reduceat(counts[order], first, dtype=np.int64)
 
 
-def buckets_of(kind: int, keys: np.ndarray, buckets: int) -> np.ndarray:
-    """The bucket of each key. Windows with the same two bytes before the last one share
-    a bucket, so it holds every node below depth 1 whole."""
+def buckets_of(kind: int, keys: np.ndarray, buckets: int, depth: int = BUCKET_DEPTH) -> np.ndarray:
+    """The bucket of each key. Windows with the same ``depth`` bytes before the last one share
+    a bucket, so it holds every node of that depth and below whole."""
     if kind == GRAMS:
-        keys = mix((keys >> np.uint64(8 * (DEPTH - 1))) + np.uint64(1))
+        keys = mix((keys >> np.uint64(8 * (DEPTH - depth + 1))) + np.uint64(1))
     return ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
 
 
-def dealt(kind: int, keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
+def dealt(
+    kind: int, keys: np.ndarray, buckets: int, depth: int = BUCKET_DEPTH
+) -> Iterator[tuple[int, np.ndarray]]:
     """Of each bucket that some of the sorted keys fall into: its number, and which do."""
-    place = buckets_of(kind, keys, buckets)
+    place = buckets_of(kind, keys, buckets, depth)
     order = np.argsort(place, kind="stable")
     cuts = np.searchsorted(place[order], np.arange(buckets + 1))
     for number in np.flatnonzero(np.diff(cuts)).tolist():
@@ -213,16 +230,23 @@ def _chunk_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 
 
-def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Of a bucket: distinct keys, their counts in all chunks, and each chunk's keys."""
-    own = [unpacked_keys(k) for k in table.column("keys").to_pylist()]
-    counts = [unpacked(c, np.int64) for c in table.column("counts").to_pylist()]
-    keys, total = summed(np.concatenate(own), np.concatenate(counts))
-    return keys, total, own
+def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys and their added counts. Rows are unpacked and added up a few at a time,
+    so what is held follows the distinct keys and not the number of rows."""
+    keys, counts, held, most = [], [], 0, MERGE_KEYS
+    for k, c in zip(table.column("keys"), table.column("counts")):
+        keys.append(unpacked_keys(k.as_py()))
+        counts.append(unpacked(c.as_py(), np.int64))
+        held += len(keys[-1])
+        if held >= most:
+            added = summed(np.concatenate(keys), np.concatenate(counts))
+            keys, counts, held = [added[0]], [added[1]], len(added[0])
+            most = max(MERGE_KEYS, 2 * held)
+    return summed(np.concatenate(keys), np.concatenate(counts))
 
 
-def _answers(table: pa.Table, kind: int, keys: np.ndarray, values: np.ndarray, own: list) -> pa.Table:
-    found = [packed(values[np.searchsorted(keys, k)]) for k in own]
+def _answers(table: pa.Table, kind: int, keys: np.ndarray, values: np.ndarray) -> pa.Table:
+    found = [packed(values[np.searchsorted(keys, unpacked_keys(k.as_py()))]) for k in table.column("keys")]
     n = table.num_rows
     return pa.table({
         "chunk": table.column("chunk"), "kind": pa.array([kind] * n, pa.int32()),
@@ -233,7 +257,7 @@ def _answers(table: pa.Table, kind: int, keys: np.ndarray, values: np.ndarray, o
 def bucket_count(chunks: float) -> int:
     """Buckets for so many chunks. Both a bucket, which holds keys of all chunks, and the
     number of rows, one per chunk and bucket, grow slower than with a fixed share."""
-    return max(64, 1 << math.ceil(math.log2(max(1.0, 8 * math.sqrt(chunks)))))
+    return max(128, 1 << math.ceil(math.log2(max(1.0, 16 * math.sqrt(chunks)))))
 
 
 # --- words ------------------------------------------------------------------------
@@ -241,47 +265,51 @@ def bucket_count(chunks: float) -> int:
 
 def _word_answers(table: pa.Table) -> pa.Table:
     """The counts in all chunks; the bucket's distinct training words stand in one row."""
-    keys, total, own = _merged(table)
+    keys, total = _merged(table)
     distinct = [int((total > 0).sum())] + [0] * (table.num_rows - 1)
-    return _answers(table, WORDS, keys, total, own).append_column("distinct", pa.array(distinct, pa.int64()))
+    out = _answers(table, WORDS, keys, total).append_column("distinct", pa.array(distinct, pa.int64()))
+    del keys, total
+    give_back()
+    return out
 
 
 # --- the tree ---------------------------------------------------------------------
 
 
 class Tree:
-    """The nodes from depth 2 to DEPTH for windows whose first two context bytes are whole
-    in one place. Per depth and bit: node of each window, counts, weighted log probability
-    and the share of the node's own estimate."""
+    """The nodes from depth 2 to DEPTH for sorted distinct windows whose first two context
+    bytes are whole in one place. The levels are made for one bit at a time."""
 
     def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        self.contexts, self.counts = keys >> np.uint64(8), counts
         self.symbols = (keys & np.uint64(255)).astype(np.int64)
         self.first = (keys >> np.uint64(8 * DEPTH)).astype(np.int64)
-        self.levels: dict[tuple[int, int], tuple] = {}
-        for bit in range(8):
-            prefix = ((1 << bit) | (self.symbols >> (8 - bit))).astype(np.uint64)
-            value = (self.symbols >> (7 - bit)) & 1
-            below = None
-            for depth in range(DEPTH, 1, -1):
-                context = keys >> np.uint64(8 * (DEPTH - depth + 1))
-                nodes, place = np.unique((context << np.uint64(8)) | prefix, return_inverse=True)
-                n1 = np.bincount(place, counts * value, len(nodes))
-                n0 = np.bincount(place, counts * (1 - value), len(nodes))
-                if below is None:
-                    weighted, share = log_kt(n0, n1), np.ones(len(nodes))
-                else:
-                    children, child_weighted = below
-                    parent = ((children >> np.uint64(16)) << np.uint64(8)) | (children & np.uint64(255))
-                    added = np.bincount(np.searchsorted(nodes, parent), child_weighted, len(nodes))
-                    weighted, share = mixed(n0, n1, added)
-                below = (nodes, weighted)
-                self.levels[depth, bit] = (nodes, place, n0, n1, weighted, share)
+
+    def levels(self, bit: int) -> Iterator[tuple]:
+        """From DEPTH up to 2: nodes, the node of each one of the level below (of each window
+        at DEPTH), counts, weighted log probability and the share of the node's own estimate."""
+        prefix = ((1 << bit) | (self.symbols >> (8 - bit))).astype(np.uint64)
+        value = (self.symbols >> (7 - bit)) & 1
+        nodes = (self.contexts << np.uint64(8)) | prefix  # in order, as the windows are
+        fresh = np.append(True, nodes[1:] != nodes[:-1])[: len(nodes)]
+        nodes, place = nodes[fresh], np.cumsum(fresh) - 1
+        n1 = np.bincount(place, self.counts * value, len(nodes))
+        n0 = np.bincount(place, self.counts * (1 - value), len(nodes))
+        weighted = log_kt(n0, n1)
+        yield nodes, place, n0, n1, weighted, np.ones(len(nodes))
+        for _ in range(DEPTH - 1, 1, -1):
+            above = ((nodes >> np.uint64(16)) << np.uint64(8)) | (nodes & np.uint64(255))
+            nodes, place = np.unique(above, return_inverse=True)
+            n0, n1, added = (np.bincount(place, x, len(nodes)) for x in (n0, n1, weighted))
+            weighted, share = mixed(n0, n1, added)
+            yield nodes, place, n0, n1, weighted, share
 
     def upper_sums(self) -> pa.Table:
         """What depth 1 needs: per first byte and prefix the counts and the children's sum."""
         out = np.zeros((3, 256 * 256))
         for bit in range(8):
-            nodes, _, n0, n1, weighted, _ = self.levels[2, bit]
+            for nodes, _, n0, n1, weighted, _ in self.levels(bit):
+                pass  # only the last, of depth 2, is used
             at = ((nodes >> np.uint64(16)) << np.uint64(8) | (nodes & np.uint64(255))).astype(np.int64)
             for row, values in zip(out, (n0, n1, weighted)):
                 row += np.bincount(at, values, 256 * 256)
@@ -293,11 +321,11 @@ class Tree:
         add, scale = upper
         out = np.zeros(len(self.symbols))
         for bit in range(8):
-            chance = None
-            for depth in range(DEPTH, 1, -1):
-                _, place, n0, n1, _, share = self.levels[depth, bit]
-                own = ones(n0, n1)[place]
-                chance = own if chance is None else share[place] * own + (1 - share[place]) * chance
+            chance = where = None
+            for _, place, n0, n1, _, share in self.levels(bit):
+                where = place if where is None else place[where]
+                own = ones(n0, n1)[where]
+                chance = own if chance is None else share[where] * own + (1 - share[where]) * chance
             at = self.first * 256 + ((1 << bit) | (self.symbols >> (8 - bit)))
             chance = add[at] + scale[at] * chance
             value = (self.symbols >> (7 - bit)) & 1
@@ -348,29 +376,65 @@ def score_texts(
     word_answers = stored(words.groupBy("bucket").applyInArrow(_word_answers, f"{ANSWERS}, distinct long"))
     distinct = word_answers.agg(F.sum("distinct")).first()[0] or 0
 
+    trees = max(1, buckets // BUCKETS_PER_TREE)
+
+    def merge(table: pa.Table) -> pa.Table:
+        found, counts = _merged(table)
+        own = table.column("bucket")[0].as_py()
+        rows = [
+            (tree, own, packed_keys(found[at]), packed(counts[at]))
+            for tree, at in dealt(GRAMS, found, trees, TREE_DEPTH)
+        ]
+        del found, counts
+        give_back()
+        kinds = {"tree": pa.int32(), "bucket": pa.int32(), "keys": pa.binary(), "counts": pa.binary()}
+        return pa.table([pa.array(c, k) for c, k in zip(zip(*rows), kinds.values())], list(kinds))
+
+    merged = stored(grams.groupBy("bucket").applyInArrow(merge, MERGED))
+
+    def upper_sums(table: pa.Table) -> pa.Table:
+        out = Tree(*_merged(table)).upper_sums()
+        give_back()
+        return out
+
     # depth 1: at most 256 * 255 rows
     sums = np.zeros((3, 256 * 256))
     found = (
-        grams.groupBy("bucket")
-        .applyInArrow(lambda t: Tree(*_merged(t)[:2]).upper_sums(), "node long, n0 double, n1 double, weighted double")
+        merged.groupBy("tree").applyInArrow(upper_sums, "node long, n0 double, n1 double, weighted double")
         .groupBy("node").agg(*(F.sum(c).alias(c) for c in ("n0", "n1", "weighted"))).toArrow()
     )
     for row, c in zip(sums, ("n0", "n1", "weighted")):
         row[found.column("node").to_numpy()] = found.column(c).to_numpy()
     upper = upper_nodes(sums)
 
-    def gram_answers(table: pa.Table) -> pa.Table:
-        distinct_keys, counts, own = _merged(table)
-        values = Tree(distinct_keys, counts).log10(upper).astype(np.float32)
-        return _answers(table, GRAMS, distinct_keys, values, own)
+    def values(table: pa.Table) -> pa.Table:
+        """Of each row the values of its keys."""
+        found, counts = _merged(table)
+        scores = Tree(found, counts).log10(upper).astype(np.float32)
+        own = [packed(scores[np.searchsorted(found, unpacked_keys(k.as_py()))]) for k in table.column("keys")]
+        del found, counts, scores
+        give_back()
+        return table.select(["bucket", "keys"]).append_column("found", binary_rows(own))
+
+    def gram_answers(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = np.concatenate([unpacked_keys(k.as_py()) for k in right.column("keys")])
+        scores = np.concatenate([unpacked(v.as_py(), np.float32) for v in right.column("found")])
+        order = np.argsort(found, kind="stable")
+        out = _answers(left, GRAMS, found[order], scores[order])
+        del found, scores, order
+        give_back()
+        return out
 
+    scored = merged.groupBy("tree").applyInArrow(values, VALUES)
     answers = word_answers.drop("distinct").union(
-        grams.groupBy("bucket").applyInArrow(gram_answers, ANSWERS)
+        grams.groupBy("bucket").cogroup(scored.groupBy("bucket")).applyInArrow(gram_answers, ANSWERS)
     )
     total, denominator = int(tokens), tokens + 0.5 * (distinct + 1)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _scored(left, right, buckets, total, denominator)
+        out = _scored(left, right, buckets, total, denominator)
+        give_back()
+        return out
 
     texts = chunks.where(F.col("kind") == TEXTS).select("chunk", "blob")
     return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(

@@ -1,9 +1,11 @@
 import math
 import re
+import tracemalloc
 from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -144,3 +146,38 @@ def test_held_out_texts_cost_less_than_their_letters(spark, sf_dir):
     got = ctw.score_texts(docs, F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
     bits = got.where("held_out").agg((-F.sum("score") / math.log10(2) / F.sum("n_bytes")).alias("x")).first()["x"]
     assert bits < 2.6
+
+
+def test_counts_of_many_chunks_are_added_up_in_little_memory():
+    """A bucket's keys of 64 chunks, mostly the same ones: never held all at once."""
+    rng = np.random.default_rng(1)
+    rows, wanted = [], Counter()
+    for _ in range(64):
+        keys = np.unique(rng.integers(0, 1 << 17, 1 << 17).astype(np.uint64))
+        counts = rng.integers(0, 5, len(keys))
+        rows.append((ctw.packed_keys(keys), ctw.packed(counts)))
+        wanted.update(dict(zip(keys.tolist(), counts.tolist())))
+    table = pa.table({"keys": [k for k, _ in rows], "counts": [c for _, c in rows]})
+    tracemalloc.start()
+    keys, counts = ctw._merged(table)[:2]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert dict(zip(keys.tolist(), counts.tolist())) == wanted and (np.diff(keys) > 0).all()
+    assert peak < 100 << 20
+
+
+def test_tree_keeps_one_bit_at_a_time():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 48, 1 << 17).astype(np.uint64))
+    tracemalloc.start()
+    ctw.Tree(keys, np.ones(len(keys), np.int64)).upper_sums()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 400 * len(keys)
+
+
+def test_windows_after_a_frequent_pair_are_in_several_buckets():
+    """Windows after the same two bytes: only the trees keep them together."""
+    windows = np.array([int.from_bytes(b"e " + bytes([c]) + b"xyz", "big") for c in range(97, 123)], np.uint64)
+    assert len(set(ctw.buckets_of(ctw.GRAMS, windows, 64).tolist())) > 8
+    assert len(set(ctw.buckets_of(ctw.GRAMS, windows, 64, ctw.TREE_DEPTH).tolist())) == 1
